@@ -1,0 +1 @@
+"""Monthly panels arrive as whole snapshots: there is no streaming operator to offer."""

@@ -54,6 +54,16 @@ def best_point(curve: DataFrame, prob: str, by: Sequence[str] = ()) -> DataFrame
                     F.col("b.prob").alias("umbral"), "filas"))
 
 
+def study_report(df: DataFrame, prob: str, truth: str, ties: Sequence[str], threshold: float = BREAK_EVEN,
+                 hit: int = HIT, contact: int = CONTACT) -> DataFrame:
+    """One row: class distribution, optimum of the curve, gain at the threshold."""
+    best = best_point(gain_curve(df, prob, truth, ties, hit=hit, contact=contact), prob)
+    fixed = df.agg(F.count_if(F.col(truth) == 1).alias("positivos"),
+                   F.coalesce(F.sum(F.when(F.col(prob) > threshold, _earned(truth, hit, contact))), F.lit(0)).alias("ganancia_umbral"))
+    row = fixed.select(F.struct("positivos", "ganancia_umbral")).scalar()
+    return best.withColumns({"positivos": row["positivos"], "ganancia_umbral": row["ganancia_umbral"]})
+
+
 def plateau(curve: DataFrame, window: int = 2001, edges: str = "partial", by: Sequence[str] = ()) -> DataFrame:
     """Centred mean of ``window`` points of the curve at every position.
 

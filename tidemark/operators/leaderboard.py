@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import KEYS, Keys, ratio
 from ..functions.stats import EXACT_UP_TO, normal_upper_tail, signed_rank_exact_p, signed_rank_normal_p
+from ..session import materialize
 from .gain import BREAK_EVEN
 from .labels import CONTACT, HIT, gain
 from .ordering import exact_quantiles, rank_counts, running_totals
@@ -140,7 +141,8 @@ def wilcoxon(pairs: DataFrame, x: str, y: str, by: Sequence[str], correction: bo
 
     Exact for up to 50 differences without ties or zeros, else the normal approximation.
     """
-    ranks = signed_ranks(pairs, x, y, by)
+    # the pairs are read several times over: paid for once
+    ranks = signed_ranks(materialize(pairs.select(*by, x, y), "pairs"), x, y, by)
     return ranks.withColumns({"estadistico": F.least("w_plus", "w_minus"), "p": _p_value(correction)})
 
 
@@ -159,6 +161,7 @@ def compare_models(results: DataFrame, model: str = "model", run: str = "run", v
 def rank_models(results: DataFrame, model: str = "model", run: str = "run", value: str = "ganancia",
                 alpha: float = 0.05) -> DataFrame:
     """Models by significant wins, then by median. A significant pair goes to the higher median."""
+    results = materialize(results.select(model, run, value), "results")
     medians = exact_quantiles(results, [value], [0.5], [model]).select(model, F.col("q0").alias("mediana"))
     tests = compare_models(results, model, run, value).filter(F.col("p") < alpha)
     a = medians.select(F.col(model).alias("model_a"), F.col("mediana").alias("_ma"))
@@ -187,6 +190,7 @@ def sequential_comparison(pairs: DataFrame, x: str, y: str, run: str, by: Sequen
     grouped pass; a run belongs to the at most ``cap`` prefixes that contain it.
     """
     by = list(by)
+    pairs = materialize(pairs.select(*by, run, x, y), "pairs")
     numbered = running_totals(pairs, run, [run], by=by, position="_i", top=cap)
     prefixes = numbered.withColumn("n_runs", F.explode(F.sequence(F.col("_i").cast("int"), F.lit(cap))))
     lengths = numbered.groupBy(*by).agg(F.max("_i").alias("_len"))

@@ -191,7 +191,7 @@ def long_with_cells(df: DataFrame, keep: Sequence[str], columns: Sequence[str],
                  _in(F.col(cell), points).alias(POINT))
         for c, cell, (_, points) in zip(columns, names, parts)
     ])
-    salt = F.pmod(F.hash(*[F.col(k) for k in keep]), F.lit(n))
+    salt = F.pmod(F.hash(*[F.col(k) for k in keep]), F.lit(n)) if keep else F.lit(0)
     return (cut.select(*keep, F.explode(entries).alias("_c")).select(*keep, "_c.*")
             .filter(F.col("value").isNotNull())
             .withColumn(SUB, F.when(F.col(POINT), salt).otherwise(0)))
@@ -233,5 +233,6 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
     for i, p in enumerate(probabilities):
         at = (F.col("size") - 1) * F.lit(float(p))
         lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        values.append((lo + (hi - lo) * (at - F.floor(at))).alias(f"q{i}"))
+        whole = F.floor(at) == F.ceil(at)
+        values.append(F.when(whole, lo).otherwise((F.ceil(at) - at) * lo + (at - F.floor(at)) * hi).alias(f"q{i}"))
     return ends.select(*by, "column", "size", *values)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import KEYS, Keys, numeric_columns, ratio, require_some
@@ -125,14 +125,9 @@ def histogram(df: DataFrame, column: str, low: float, high: float, bins: int, by
     counts = (df.filter(F.col(column).isNotNull())
               .withColumn("bin", F.width_bucket(F.col(column).cast("double"), F.lit(float(low)), F.lit(float(high)), F.lit(bins)))
               .groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("n")))
-    group = list(by) or [F.lit(0).alias("_all")]
-    sizes = counts.groupBy(*group).agg(F.sum("n").alias("_size"))
-    if by:
-        joined = counts.join(sizes, [counts[c].eqNullSafe(sizes[c]) for c in by])
-        head = [counts[c] for c in by]
-    else:
-        joined, head = counts.withColumn("_size", sizes.select("_size").scalar()), []
-    return joined.select(*head, "bin", "n", ratio(F.col("n"), F.col("_size")).alias("share"))
+    # groups x bins rows: a short table
+    size = F.sum("n").over(Window.partitionBy(*by))
+    return counts.select(*by, "bin", "n", ratio(F.col("n"), size).alias("share"))
 
 
 def five_numbers(df: DataFrame, column: str, by: Sequence[str]) -> DataFrame:

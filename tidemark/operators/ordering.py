@@ -233,6 +233,8 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
     for i, p in enumerate(probabilities):
         at = (F.col("size") - 1) * F.lit(float(p))
         lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        whole = F.floor(at) == F.ceil(at)
-        values.append(F.when(whole, lo).otherwise((F.ceil(at) - at) * lo + (at - F.floor(at)) * hi).alias(f"q{i}"))
+        part = at - F.floor(at)
+        # measured from the nearer end, which loses no digits
+        near_lo, near_hi = lo + (hi - lo) * part, hi - (hi - lo) * (1 - part)
+        values.append(F.when(part < 0.5, near_lo).otherwise(near_hi).alias(f"q{i}"))
     return ends.select(*by, "column", "size", *values)

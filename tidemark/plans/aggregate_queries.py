@@ -141,11 +141,11 @@ def _(t):
 
 @query("a14_segment_vs_rest", sql("SELECT * FROM (" + " UNION ALL ".join(f"""SELECT segmento = 2 AS en_segmento, '{c}' AS "column", count({c}) AS n,
   CAST(sum({c}) AS DOUBLE) / count({c}) AS media, round(stddev_samp({c}), 2) AS desvio, CAST(min({c}) AS DOUBLE) AS minimo, CAST(max({c}) AS DOUBLE) AS maximo,
-  count(DISTINCT {c}) AS distintos, quantile_cont(CAST({c} AS DOUBLE), 0.25) AS q25, quantile_cont(CAST({c} AS DOUBLE), 0.5) AS mediana,
-  quantile_cont(CAST({c} AS DOUBLE), 0.75) AS q75, count(*) - count({c}) AS faltantes FROM segmented GROUP BY 1""" for c in MEASURES) + ")", LABELLED, _SEGMENTED))
+  count(DISTINCT {c}) AS distintos, round(quantile_cont(CAST({c} AS DOUBLE), 0.25), 4) AS q25, quantile_cont(CAST({c} AS DOUBLE), 0.5) AS mediana,
+  round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 4) AS q75, count(*) - count({c}) AS faltantes FROM segmented GROUP BY 1""" for c in MEASURES) + ")", LABELLED, _SEGMENTED))
 def _(t):
     table = aggregates.segment_vs_rest(segmented(t), MEASURES, F.col("segmento") == 2)
-    return table.withColumn("desvio", F.round("desvio", 2))
+    return table.withColumns({"desvio": F.round("desvio", 2), "q25": F.round("q25", 4), "q75": F.round("q75", 4)})
 
 
 @query("a15_medians_by_segment", sql("SELECT segmento, " + ", ".join(
@@ -225,10 +225,10 @@ def _(t):
     return _psi(t, MEASURES)
 
 
-@query("d6_bin_counts", sql("SELECT * FROM counted", *_psi_ctes(f"mes = {TRAIN_MONTH}", f"mes = {SCORE_MONTH}", AMOUNTS)))
+@query("d6_bin_counts", sql("SELECT * REPLACE (round(low, 4) AS low, round(high, 4) AS high) FROM counted", *_psi_ctes(f"mes = {TRAIN_MONTH}", f"mes = {SCORE_MONTH}", AMOUNTS)))
 def _(t):
-    return quality.bin_counts(t.panel(), AMOUNTS, F.col("mes") == TRAIN_MONTH, F.col("mes") == SCORE_MONTH).withColumn(
-        "bin", F.col("bin").cast("long"))
+    return quality.bin_counts(t.panel(), AMOUNTS, F.col("mes") == TRAIN_MONTH, F.col("mes") == SCORE_MONTH).withColumns(
+        {"bin": F.col("bin").cast("long"), "low": F.round("low", 4), "high": F.round("high", 4)})
 
 
 @query("d7_histogram", sql("""SELECT clase_ternaria, bin, n, CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY clase_ternaria) AS share FROM (
@@ -245,11 +245,12 @@ def _(t):
     return quality.histogram(t.panel(), "m_net", -20000000, 20000000, 10)
 
 
-@query("d7_five_numbers", sql("""SELECT clase_ternaria, count(m_total) AS size, quantile_cont(CAST(m_total AS DOUBLE), 0) AS min, quantile_cont(CAST(m_total AS DOUBLE), 0.25) AS q25,
-  quantile_cont(CAST(m_total AS DOUBLE), 0.5) AS median, quantile_cont(CAST(m_total AS DOUBLE), 0.75) AS q75, quantile_cont(CAST(m_total AS DOUBLE), 1) AS max
+@query("d7_five_numbers", sql("""SELECT clase_ternaria, count(m_total) AS size, quantile_cont(CAST(m_total AS DOUBLE), 0) AS min, round(quantile_cont(CAST(m_total AS DOUBLE), 0.25), 4) AS q25,
+  quantile_cont(CAST(m_total AS DOUBLE), 0.5) AS median, round(quantile_cont(CAST(m_total AS DOUBLE), 0.75), 4) AS q75, quantile_cont(CAST(m_total AS DOUBLE), 1) AS max
 FROM labelled GROUP BY 1""", LABELLED))
 def _(t):
-    return quality.five_numbers(t.labelled(), "m_total", ["clase_ternaria"])
+    box = quality.five_numbers(t.labelled(), "m_total", ["clase_ternaria"])
+    return box.withColumns({"q25": F.round("q25", 4), "q75": F.round("q75", 4)})
 
 
 def _imputed(fill: str) -> str:

@@ -97,8 +97,9 @@ def _(t):
     return gain.gain_at_cuts(t.scored(), "prob", "y", TIES, CUTS)
 
 
-@query("g7_gain_at_cuts_by_model", sql("""SELECT model, CAST(corte AS INTEGER) AS corte, gan_acum AS ganancia
-FROM (SELECT unnest([50, 500, 1500]) AS corte) JOIN curves ON pos = corte""", SCORES, CURVES))
+@query("g7_gain_at_cuts_by_model", sql("""SELECT m.model, CAST(corte AS INTEGER) AS corte, gan_acum AS ganancia
+FROM (SELECT DISTINCT model FROM scores) m CROSS JOIN (SELECT unnest([50, 500, 1500]) AS corte)
+LEFT JOIN curves c ON c.model = m.model AND pos = corte""", SCORES, CURVES))
 def _(t):
     return gain.gain_at_cuts(t.scores(), "prob", "y", TIES, [50, 500, 1500], ["model"])
 
@@ -349,7 +350,7 @@ _PLAYERS = "players AS (SELECT mes, id, c_final AS aciertos, c_total + 10 AS tir
 
 @query("g25_winner_vs_rest", sql(f"""SELECT mes, jugadores, mejor, tiros, round(resto, 12) AS resto, round(percentil, 9) AS percentil, round(z, 9) AS z, round({_upper('z')}, 9) AS p
 FROM (SELECT *, (mejor - resto) / nullif(sqrt(resto * (1 - resto) / tiros), 0) AS z FROM (
-  SELECT mes, count(*) AS jugadores, max(tasa) AS mejor, arg_max(tiros, (tasa, tiros)) AS tiros, (sum(tasa) - max(tasa)) / (count(*) - 1) AS resto,
+  SELECT mes, count(*) AS jugadores, max(tasa) AS mejor, arg_max(tiros, (tasa, tiros)) AS tiros, (sum(tasa) - max(tasa)) / nullif(count(*) - 1, 0) AS resto,
     (SELECT CAST(count(*) AS DOUBLE) FROM rated r WHERE r.mes = q.mes AND r.tasa < (SELECT max(tasa) FROM rated s WHERE s.mes = q.mes)) / count(*) * 100 AS percentil
   FROM rated q GROUP BY mes))""", _PLAYERS, "rated AS (SELECT *, CAST(aciertos AS DOUBLE) / tiros AS tasa FROM players)"))
 def _(t):

@@ -68,14 +68,17 @@ def total(*columns: str, null_as_zero: bool = False) -> Column:
 def z_score(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """``{c}_z``: centred and scaled by the sample deviation of the group.
 
-    Group moments are one row per group, joined back; no row is moved to another task unless Spark finds
-    the moments too large to broadcast.
+    Group moments are one row per group, joined back, or a scalar for the whole table; no row moves to
+    another task unless Spark finds the moments too large to broadcast.
     """
     require_some(columns, "z_score")
     moments = [e for c in columns for e in (F.avg(c).alias(f"_avg_{c}"), F.stddev_samp(c).alias(f"_sd_{c}"))]
-    group = list(by) or ["_all"]
-    base = df if by else df.withColumn("_all", F.lit(0))
-    joined = base.join(base.groupBy(*group).agg(*moments), group, "left")
+    if by:
+        joined = df.join(df.groupBy(*by).agg(*moments), list(by), "left")
+    else:
+        names = [f"{m}_{c}" for c in columns for m in ("_avg", "_sd")]
+        whole = df.agg(*moments).select(F.struct(*names)).scalar()
+        joined = df.withColumns({n: whole[n] for n in names})
     scaled = {f"{c}_z": F.try_divide(F.col(c) - F.col(f"_avg_{c}"), F.col(f"_sd_{c}")) for c in columns}
     return joined.withColumns(scaled).select(*df.columns, *scaled)
 

@@ -79,9 +79,21 @@ def plateau(curve: DataFrame, window: int = 2001, edges: str = "partial", by: Se
     home = F.floor(F.col("pos") / stretch)
     reach = F.sequence(F.floor((F.col("pos") - half) / stretch), F.floor((F.col("pos") + half) / stretch))
     copies = curve.select(*by, "pos", "gan_acum", home.alias("_home"), F.explode(reach).alias("_stretch"))
-    frame = Window.partitionBy(*by, "_stretch").orderBy("pos").rowsBetween(-half, half)
-    means = copies.withColumn("_n", F.count(F.lit(1)).over(frame)).withColumn(
-        "meseta", F.sum("gan_acum").over(frame) / F.col("_n")).filter("_home = _stretch")
+    stretch_rows = Window.partitionBy(*by, "_stretch")
+    ordered = stretch_rows.orderBy("pos")
+    # sums from the start of the stretch, counted from its first point to keep them small; a window's sum is
+    # the difference of two of them, so its length costs nothing
+    local = copies.withColumns({
+        "_base": F.first("gan_acum").over(ordered), "_from": F.min("pos").over(stretch_rows), "_to": F.max("pos").over(stretch_rows),
+    }).withColumn("_upto", F.sum(F.col("gan_acum") - F.col("_base")).over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
+    summed = local.select(
+        *by, "pos", "_home", "_stretch", "_base",
+        (F.least(F.col("pos") + half, "_to") - F.greatest(F.col("pos") - half, "_from") + 1).alias("_n"),
+        (F.coalesce(F.lead("_upto", half).over(ordered), F.sum(F.col("gan_acum") - F.col("_base")).over(stretch_rows))
+         - F.coalesce(F.lag("_upto", half + 1).over(ordered), F.lit(0))).alias("_sum"),
+    ).filter("_home = _stretch")
+    total = F.col("_base").cast("decimal(20,0)") * F.col("_n").cast("decimal(10,0)") + F.col("_sum")
+    means = summed.withColumn("meseta", total.cast("double") / F.col("_n"))
     if edges == "drop":
         means = means.filter(F.col("_n") == window)
     return means.select(*by, "pos", "meseta")

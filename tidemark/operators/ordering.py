@@ -20,7 +20,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-CELL, SUB, POINT, KEY = "_cell", "_sub", "_point", "_key"
+CELL, SUB, POINT, KEY, TIE = "_cell", "_sub", "_point", "_key", "_tie"
 EXACT_LONG = float(2**53)
 
 
@@ -62,20 +62,24 @@ def with_cells(df: DataFrame, key: Column, tie: str | None = None, uniform: bool
     df = df.withColumn(KEY, key.cast("double") + F.lit(0.0))
     if uniform:
         return df.withColumns({CELL: F.floor(F.col(KEY) * n).cast("int"), SUB: F.lit(0), POINT: F.lit(False)})
-    quantiles = df.approxQuantile(KEY, [i / n for i in range(1, n)], 1 / (4 * n))
-    borders, points = _edges(quantiles)
+    rows = [c for c in df.columns if c != KEY]
+    looked_at = [KEY]
+    if tie is not None:
+        df = df.withColumn(TIE, F.col(tie).cast("double"))
+        looked_at.append(TIE)
+    quantiles = df.select(*looked_at).approxQuantile(looked_at, [i / n for i in range(1, n)], 1 / (4 * n))
+    borders, points = _edges(quantiles[0])
     # nulls, all equal to each other, go to a last cell of their own
     last = len(borders) - 1
-    rows = df.columns
-    df = _bucket(df, [KEY], [borders], [CELL])
-    df = df.withColumn(CELL, F.coalesce(CELL, F.lit(last))).withColumn(POINT, _in(F.col(CELL), [*points, last]))
+    point = _in(F.col(CELL), [*points, last])
     if tie is None:
         salt = F.pmod(F.xxhash64(*[F.col(c) for c in rows]), F.lit(n)).cast("int")
-        return df.withColumn(SUB, F.when(F.col(POINT), salt).otherwise(0))
-    tied = df.filter(POINT).withColumn("_tie", F.col(tie).cast("double"))
-    tie_borders, _ = _edges(tied.approxQuantile("_tie", [i / n for i in range(1, n)], 1 / (4 * n)))
-    df = _bucket(df.withColumn("_tie", F.col(tie).cast("double")), ["_tie"], [tie_borders], ["_tie_cell"])
-    return df.withColumn(SUB, F.when(F.col(POINT), F.coalesce("_tie_cell", F.lit(0))).otherwise(0)).drop("_tie", "_tie_cell")
+        df = _bucket(df, [KEY], [borders], [CELL]).withColumn(CELL, F.coalesce(CELL, F.lit(last)))
+        return df.withColumns({POINT: point, SUB: F.when(point, salt).otherwise(0)})
+    # a cell of the tie-break holds 1/n of the table, and so at most that of any single value
+    df = _bucket(df, looked_at, [borders, _edges(quantiles[1])[0]], [CELL, SUB])
+    df = df.withColumn(CELL, F.coalesce(CELL, F.lit(last)))
+    return df.withColumns({POINT: point, SUB: F.when(point, F.coalesce(SUB, F.lit(0))).otherwise(0)}).drop(TIE)
 
 
 def _same(left: DataFrame, right: DataFrame, columns: Sequence[str], prefix: str) -> Column:
@@ -146,23 +150,23 @@ def rank_counts_in_cells(work: DataFrame, value: str, by: Sequence[str]) -> Data
     """The same for a frame that already carries its cells."""
     by = list(by)
     keep = [c for c in work.columns if c not in (KEY, CELL, SUB, POINT)]
-    place = [*by, CELL]
+    place = [*by, CELL, SUB]
     totals = work.groupBy(*place).agg(F.count(F.lit(1)).alias("_n"))
     group = Window.partitionBy(*by)
-    before = group.orderBy(CELL).rowsBetween(Window.unboundedPreceding, -1)
+    # all parts of a cell start after the cells below, since the rows of a divided cell are tied
+    before = group.orderBy(CELL).rangeBetween(Window.unboundedPreceding, -1)
     starts = totals.select(
         *[F.col(c).alias(f"_at_{c}") for c in place],
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n_before"),
-        F.col("_n").alias("_n_cell"),
+        F.sum("_n").over(Window.partitionBy(*by, CELL)).alias("_n_cell"),
         F.sum("_n").over(group).alias("_size"),
     )
-    inside = Window.partitionBy(*place, SUB)
+    inside = Window.partitionBy(*place)
     return work.join(starts, _same(work, starts, place, "_at_")).select(
         *keep,
-        # in a single-value cell every row is tied, so the salted parts all start at 1
         (F.col("_n_before") + F.rank().over(inside.orderBy(value))).alias("_rank"),
         F.when(F.col(POINT), F.col("_n_cell"))
-        .otherwise(F.count(F.lit(1)).over(Window.partitionBy(*place, SUB, value))).alias("_ties"),
+        .otherwise(F.count(F.lit(1)).over(Window.partitionBy(*place, value))).alias("_ties"),
         "_size",
     )
 

@@ -33,7 +33,8 @@ def group_proximity(leaves: DataFrame, entity: Sequence[str], group: str) -> Dat
     The mean over a group needs only the group's row count per leaf, so no pair of rows is ever formed: the
     count table has at most trees x leaves x groups rows.
     """
-    placed = leaves.select(*entity, group, F.posexplode("leaves").alias("tree", "leaf"))
+    # spread by row before the arrays are unfolded, so that the sums per row need no second shuffle
+    placed = leaves.repartition(*entity).select(*entity, group, F.posexplode("leaves").alias("tree", "leaf"))
     counts = placed.groupBy("tree", "leaf", F.col(group).alias("grupo")).agg(F.count(F.lit(1)).alias("_n"))
     sizes = leaves.groupBy(F.col(group).alias("grupo")).agg(F.count(F.lit(1)).alias("_size"), F.max(F.size("leaves")).alias("_trees"))
     met = placed.select(*entity, "tree", "leaf").join(counts, ["tree", "leaf"])

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import KEYS, hash_uniform
 from ..operators import aggregates, features, history, labels, leaderboard, panel, quality, ranks
+from . import chains
 from .registry import query
 from .tables import AMOUNTS, DENSE, LABELLED, MEASURES, SCORED, TRAIN_MONTH, sql, u
 
@@ -334,3 +335,22 @@ def _(t):
 def _(t):
     aligned = aggregates.months_to_churn(t.labelled(), "clase_ternaria")
     return aggregates.mean_by(aligned.withColumn("segmento", (F.col("id") % 3).cast("int")), "m_total", "meses_hasta_baja", "segmento")
+
+
+_RANKED = "ranked AS (SELECT id, mes, periodo, " + ", ".join(f"{_sign_rank(c, '')} AS {c}" for c in AMOUNTS) + ", c_total, c_final FROM panel)"
+
+
+def _engineered(c: str) -> str:
+    frame = _frame("3 PRECEDING", "1 PRECEDING")
+    mean = f"sum({c}) OVER {frame} / nullif(count({c}) OVER {frame}, 0)"
+    return (f"{c}, round({mean}, 9) AS {c}_rolling_mean_3, lag({c}) OVER {W} AS {c}_lag_1, "
+            f"round({c} - lag({c}) OVER {W}, 9) AS {c}_delta_1")
+
+
+@query("feature_chain", sql(f"""SELECT r.id, r.mes, {', '.join(f'r.{c}, {c}_rolling_mean_3, {c}_lag_1, {c}_delta_1' for c in AMOUNTS)}, l.clase_ternaria
+FROM (SELECT id, mes, {', '.join(_engineered(c) for c in AMOUNTS)} FROM ranked) r JOIN ({_EXISTS}) l ON l.id = r.id AND l.mes = r.mes""", _RANKED))
+def _(t):
+    made = chains.engineer_features(t.panel())
+    kept = [f"{c}{s}" for c in AMOUNTS for s in ("", "_rolling_mean_3", "_lag_1", "_delta_1")]
+    return made.select("id", "mes", "clase_ternaria", *[
+        F.round(c, 9).alias(c) if c.endswith(("_3", "_delta_1")) else F.col(c) for c in kept])

@@ -13,6 +13,7 @@ from ..operators import gain, history, modeling, segments
 from ..operators.aggregates import class_by_segment, medians_by
 from ..operators.sampling import undersample_rows
 from ..session import materialize, scratch_path
+from . import chains
 from .registry import query
 from .tables import MEASURES, sql, u
 
@@ -148,6 +149,13 @@ def _(t):
     return modeling.tree_shapes(_nodes(t))
 
 
+@query("backtest")
+def _(t):
+    return chains.backtest(t.labelled(), MEASURES, "clase_ternaria", [199801, 199802, 199803], 199805, 199807,
+                           modeling.random_forest(numTrees=4, maxDepth=4), SEEDS[:2], [5, 20, 60],
+                           folder=scratch_path(t.spark, "models"))
+
+
 # --- segments
 
 TREES, LEAVES = 6, 8

@@ -29,6 +29,8 @@ def scratch_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     root = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
         root = tempfile.mkdtemp(prefix="tidemark-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(root)

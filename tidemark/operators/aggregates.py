@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import KEYS, Keys, ratio
+from ..session import materialize
 from .labels import LEAVES_AFTER, LEAVES_NEXT, STAYS
 from .ordering import exact_quantiles, running_totals, to_long
 
@@ -73,17 +74,18 @@ def class_by_segment(df: DataFrame, segment: str, label: str, prob: str, classes
 def segment_vs_rest(df: DataFrame, columns: Sequence[str], inside: Column) -> DataFrame:
     """Count, mean, deviation, min, quartiles, max, distinct and missing of a segment and of the rest."""
     columns = list(columns)
-    flagged = df.select(F.coalesce(inside, F.lit(False)).alias("en_segmento"), *columns)
+    # read several times below: written once, with only the columns described
+    flagged = materialize(df.select(F.coalesce(inside, F.lit(False)).alias("en_segmento"), *columns), "segment")
     long = to_long(flagged, ["en_segmento"], columns)
     by = ["en_segmento", "column"]
     moments = long.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), ratio(F.sum("value"), F.count("value")).alias("media"),
                                     F.stddev_samp("value").alias("desvio"), F.min("value").alias("minimo"),
                                     F.max("value").alias("maximo"))
-    distinct = long.distinct().groupBy(*by).agg(F.count(F.lit(1)).alias("distintos"))
-    quartiles = exact_quantiles(flagged, columns, [0.25, 0.5, 0.75], ["en_segmento"]).select(
-        *by, F.col("q0").alias("q25"), F.col("q1").alias("mediana"), F.col("q2").alias("q75"))
+    quartiles = exact_quantiles(flagged, columns, [0.25, 0.5, 0.75], ["en_segmento"],
+                                extra={"distintos": F.count(F.lit(1))}).select(
+        *by, "distintos", F.col("q0").alias("q25"), F.col("q1").alias("mediana"), F.col("q2").alias("q75"))
     sizes = flagged.groupBy("en_segmento").agg(F.count(F.lit(1)).alias("_rows"))
-    return (moments.join(distinct, by).join(quartiles, by).join(sizes, "en_segmento")
+    return (moments.join(quartiles, by).join(sizes, "en_segmento")
             .withColumn("faltantes", F.col("_rows") - F.col("n")).drop("_rows"))
 
 

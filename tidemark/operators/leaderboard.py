@@ -55,7 +55,7 @@ def simulate_cuts(df: DataFrame, prob: str, truth: str, cuts: Sequence[int], n_s
     # the order of the scores is the same in every split: found once, it serves all as an even key
     ordered = running_totals(df.select(*keys.pair, prob, truth), prob, keys.pair, descending=True,
                              position="_p", size="_size")
-    ordered = ordered.select(*keys.pair, truth, ((F.col("_p") - 1) / F.col("_size")).alias("_order"))
+    ordered = materialize(ordered.select(*keys.pair, truth, ((F.col("_p") - 1) / F.col("_size")).alias("_order")), "ordered")
     split = shuffle_splits(ordered, n_splits, public_share, seed, [truth], keys)
     sided = split.withColumn("tipo", F.when(F.col("side") == "test", "public").otherwise("private"))
     first = running_totals(sided.withColumn("_gain", gain(F.col(truth) == 1)), "_order", [], by=["split", "tipo"],

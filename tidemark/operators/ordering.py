@@ -100,6 +100,7 @@ def running_totals(
     position: str = "pos",
     size: str | None = None,
     top: int | None = None,
+    ranks: bool = False,
     cells: int | None = None,
 ) -> DataFrame:
     """Position (from 1) and running sums of each row in the order of ``value``, then ``ties``.
@@ -107,7 +108,7 @@ def running_totals(
     ``sums`` maps new columns to the columns they accumulate. ``by`` starts afresh in every group.
     ``size`` names a column for the group's row count. ``top`` returns only the rows at positions up
     to it; cells that lie wholly beyond are dropped before the shuffle, so a short top list moves
-    little data.
+    little data. ``ranks`` adds ``_rank`` and ``_ties`` as ``rank_counts`` does, in the same pass.
     """
     sums = dict(sums or {})
     by = list(by)
@@ -126,6 +127,7 @@ def running_totals(
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n_before"),
         F.sum("_n").over(group).alias("_size"),
         *[F.coalesce(F.sum(f"_sum_{out}").over(before), F.lit(0)).alias(f"_before_{out}") for out in sums],
+        *(_cell_totals(by) if ranks else []),
     )
     if top is not None:
         starts = starts.filter(F.col("_n_before") < top)
@@ -137,6 +139,7 @@ def running_totals(
         (F.col("_n_before") + F.row_number().over(inside)).alias(position),
         *[(F.col(f"_before_{out}") + F.coalesce(F.sum(c).over(upto), F.lit(0))).alias(out) for out, c in sums.items()],
         *([F.col("_size").alias(size)] if size else []),
+        *(_ranks_in(place, value) if ranks else []),
     )
     return result if top is None else result.filter(F.col(position) <= top)
 
@@ -152,23 +155,26 @@ def rank_counts_in_cells(work: DataFrame, value: str, by: Sequence[str]) -> Data
     keep = [c for c in work.columns if c not in (KEY, CELL, SUB, POINT)]
     place = [*by, CELL, SUB]
     totals = work.groupBy(*place).agg(F.count(F.lit(1)).alias("_n"))
-    group = Window.partitionBy(*by)
-    # all parts of a cell start after the cells below, since the rows of a divided cell are tied
-    before = group.orderBy(CELL).rangeBetween(Window.unboundedPreceding, -1)
-    starts = totals.select(
-        *[F.col(c).alias(f"_at_{c}") for c in place],
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n_before"),
-        F.sum("_n").over(Window.partitionBy(*by, CELL)).alias("_n_cell"),
-        F.sum("_n").over(group).alias("_size"),
-    )
-    inside = Window.partitionBy(*place)
-    return work.join(starts, _same(work, starts, place, "_at_")).select(
-        *keep,
-        (F.col("_n_before") + F.rank().over(inside.orderBy(value))).alias("_rank"),
-        F.when(F.col(POINT), F.col("_n_cell"))
-        .otherwise(F.count(F.lit(1)).over(Window.partitionBy(*place, value))).alias("_ties"),
-        "_size",
-    )
+    starts = totals.select(*[F.col(c).alias(f"_at_{c}") for c in place],
+                           F.sum("_n").over(Window.partitionBy(*by)).alias("_size"), *_cell_totals(by))
+    return work.join(starts, _same(work, starts, place, "_at_")).select(*keep, *_ranks_in(place, value), "_size")
+
+
+def _cell_totals(by: Sequence[str]) -> list[Column]:
+    """Rows below a cell and rows in it, over the table of cell totals.
+
+    All parts of a divided cell start after the cells below it, since their rows are tied.
+    """
+    below = Window.partitionBy(*by).orderBy(CELL).rangeBetween(Window.unboundedPreceding, -1)
+    return [F.coalesce(F.sum("_n").over(below), F.lit(0)).alias("_n_below"),
+            F.sum("_n").over(Window.partitionBy(*by, CELL)).alias("_n_cell")]
+
+
+def _ranks_in(place: Sequence[str], value: str) -> list[Column]:
+    local = F.rank().over(Window.partitionBy(*place).orderBy(value))
+    tied = F.count(F.lit(1)).over(Window.partitionBy(*place, value))
+    return [(F.col("_n_below") + local).alias("_rank"),
+            F.when(F.col(POINT), F.col("_n_cell")).otherwise(tied).alias("_ties")]
 
 
 def to_long(df: DataFrame, keep: Sequence[str], columns: Sequence[str], name: str = "column",
@@ -223,8 +229,13 @@ def value_counts_in_order(df: DataFrame, columns: Sequence[str], by: Sequence[st
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
-                    by: Sequence[str] = (), cells: int | None = None) -> DataFrame:
-    """Linearly interpolated quantiles per (group, column): columns ``column``, ``size``, ``q0``, ``q1``..."""
+                    by: Sequence[str] = (), cells: int | None = None,
+                    extra: Mapping[str, Column] | None = None) -> DataFrame:
+    """Linearly interpolated quantiles per (group, column): columns ``column``, ``size``, ``q0``, ``q1``...
+
+    ``extra`` adds aggregates over the distinct values (``value``) and their counts (``n``).
+    """
+    extra = dict(extra or {})
     counts = value_counts_in_order(df, columns, by, cells)
     picks = []
     for i, p in enumerate(probabilities):
@@ -232,7 +243,8 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
         for side, place in (("lo", F.floor(at)), ("hi", F.ceil(at))):
             hit = (F.col("first") <= place) & (place <= F.col("last"))
             picks.append(F.max(F.when(hit, F.col("value"))).alias(f"_{side}{i}"))
-    ends = counts.groupBy(*by, "column", "size").agg(*picks)
+    ends = counts.groupBy(*by, "column", "size").agg(
+        *picks, *[e.alias(name) for name, e in extra.items()])
     values = []
     for i, p in enumerate(probabilities):
         at = (F.col("size") - 1) * F.lit(float(p))
@@ -241,4 +253,4 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
         # measured from the nearer end, which loses no digits
         near_lo, near_hi = lo + (hi - lo) * part, hi - (hi - lo) * (1 - part)
         values.append(F.when(part < 0.5, near_lo).otherwise(near_hi).alias(f"q{i}"))
-    return ends.select(*by, "column", "size", *values)
+    return ends.select(*by, "column", "size", *values, *extra)

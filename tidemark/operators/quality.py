@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import KEYS, Keys, numeric_columns, ratio, require_some
-from .ordering import exact_quantiles, long_with_cells, to_long
+from ..session import materialize
+from .ordering import exact_quantiles, to_long
 
 
 def _month_all_zero(df: DataFrame, columns: Sequence[str], month: str) -> DataFrame:
@@ -66,13 +67,21 @@ def bin_counts(df: DataFrame, columns: Sequence[str], expected: Column, actual:
     Bins are [a, b), the last one closed; values outside the expected range fall in no bin. Returns
     ``column, bin, low, high, n_expected, n_actual``.
     """
-    columns = list(columns)
-    edges = exact_quantiles(df.filter(expected), columns, [i / bins for i in range(bins + 1)]).select(
+    return _bin_counts(_two_sides(df, columns, expected, actual), list(columns), bins)
+
+
+def _two_sides(df: DataFrame, columns: Sequence[str], expected: Column, actual: Column) -> DataFrame:
+    """The rows and columns a comparison needs, written once because it reads them several times."""
+    flags = [F.coalesce(side, F.lit(False)).alias(name) for name, side in (("_e", expected), ("_a", actual))]
+    return materialize(df.select(*flags, *columns).filter("_e or _a"), "sides")
+
+
+def _bin_counts(sides: DataFrame, columns: Sequence[str], bins: int) -> DataFrame:
+    edges = exact_quantiles(sides.filter("_e"), columns, [i / bins for i in range(bins + 1)]).select(
         "column", F.array_sort(F.array_distinct(F.array(*[f"q{i}" for i in range(bins + 1)]))).alias("edges"))
     # bins + 1 numbers per column: small whatever the data
     edges = F.broadcast(edges)
-    flagged = df.select(expected.alias("_e"), actual.alias("_a"), *columns).filter("_e or _a")
-    long = to_long(flagged, ["_e", "_a"], columns).join(edges, "column")
+    long = to_long(sides, ["_e", "_a"], columns).join(edges, "column")
     last = F.size("edges")
     below = F.size(F.filter("edges", lambda e: e <= F.col("value")))
     bin_no = F.when(F.col("value") == F.col("edges")[last - 1], F.greatest(last - 1, F.lit(1))).otherwise(below)
@@ -95,11 +104,12 @@ def psi(df: DataFrame, columns: Sequence[str], expected: Column, actual: Column,
     both sides have some. An empty bin makes the index null unless ``epsilon`` stands in for its share.
     """
     columns = list(columns)
-    counts = bin_counts(df, columns, expected, actual, bins)
-    sides = [F.count(F.when(s & (F.col(c).isNotNull() if known else F.lit(True)), 1)).alias(f"_{name}{known:d}_{i}")
-             for i, c in enumerate(columns) for name, s in (("e", expected), ("a", actual)) for known in (True, False)]
+    sides = _two_sides(df, columns, expected, actual)
+    counts = _bin_counts(sides, columns, bins)
+    rows = [F.count(F.when(F.col(f"_{s}") & (F.col(c).isNotNull() if known else F.lit(True)), 1)).alias(f"_{s}{known:d}_{i}")
+            for i, c in enumerate(columns) for s in "ea" for known in (True, False)]
     names = ("e1", "a1", "e0", "a0")
-    sizes = df.agg(*sides).select(F.explode(F.array(*[
+    sizes = sides.agg(*rows).select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), *[F.col(f"_{n}_{i}").alias(n) for n in names])
         for i, c in enumerate(columns)])).alias("s")).select("s.*")
 

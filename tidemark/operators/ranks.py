@@ -67,12 +67,11 @@ def month_position(df: DataFrame, column: str, tiles: Sequence[int] = (4, 10), k
     Tiles are cut by position with the customer id as tie-break, the larger ones first.
     """
     require(df, [*keys.pair, column])
-    ranked = rank_counts(df, column, [keys.month])
-    shares = ranked.select(
+    placed = running_totals(df, column, [keys.id], by=[keys.month], position="_pos", size="_size", ranks=True)
+    return placed.select(
         *df.columns, _percent(F.col("_rank"), F.col("_size")).alias("percent_rank"),
-        ((F.col("_rank") + F.col("_ties") - 1) / F.col("_size")).alias("cume_dist"))
-    placed = running_totals(shares, column, [keys.id], by=[keys.month], position="_pos", size="_size")
-    return placed.select(*shares.columns, *[_tile(F.col("_pos"), F.col("_size"), n).alias(f"ntile_{n}") for n in tiles])
+        ((F.col("_rank") + F.col("_ties") - 1) / F.col("_size")).alias("cume_dist"),
+        *[_tile(F.col("_pos"), F.col("_size"), n).alias(f"ntile_{n}") for n in tiles])
 
 
 def _tile(position: Column, size: Column, n: int) -> Column:

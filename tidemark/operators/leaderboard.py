@@ -11,7 +11,7 @@ from ..functions.columns import KEYS, Keys, ratio
 from ..functions.stats import EXACT_UP_TO, normal_upper_tail, signed_rank_exact_p, signed_rank_normal_p
 from ..session import materialize
 from .gain import BREAK_EVEN
-from .labels import CONTACT, HIT, gain
+from .labels import gain
 from .ordering import exact_quantiles, rank_counts, running_totals
 from .sampling import partition, shuffle_splits
 

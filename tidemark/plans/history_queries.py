@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.columns import KEYS, hash_uniform
 from ..operators import aggregates, features, history, labels, leaderboard, panel, quality, ranks
 from . import chains
 from .registry import query
-from .tables import AMOUNTS, DENSE, LABELLED, MEASURES, SCORED, TRAIN_MONTH, sql, u
+from .tables import AMOUNTS, DENSE, LABELLED, MEASURES, SCORED, TRAIN_MONTH, sql
 
 W = "(PARTITION BY id ORDER BY periodo)"
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import bpe, decontaminate, warc
 from .common import table
 from .minhash import near_duplicates
 
@@ -23,6 +25,31 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def tokenizer() -> str:
+    """Place of the public tokenizer file."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op1_warc")
+def op1(spark, folder):
+    return warc.round_trip(table(spark, folder, "pages"))
+
+
+@query("op3_bpe")
+def op3(spark, folder):
+    return bpe.digests(table(spark, folder, "documents"), tokenizer())
+
+
+@query("op4_decontaminate")
+def op4(spark, folder):
+    found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated")
+    )
+
+
 @query("op5_minhash")
 def op5(spark, folder):
     return near_duplicates(table(spark, folder, "documents"), width=2)

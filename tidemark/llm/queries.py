@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, warc
+from . import bpe, decontaminate, html_text, urls, warc
 from .common import table
 from .minhash import near_duplicates
 
@@ -37,6 +37,11 @@ def op1(spark, folder):
     return warc.round_trip(table(spark, folder, "pages"))
 
 
+@query("op2_html_text")
+def op2(spark, folder):
+    return html_text.extract(table(spark, folder, "pages"))
+
+
 @query("op3_bpe")
 def op3(spark, folder):
     return bpe.digests(table(spark, folder, "documents"), tokenizer())
@@ -53,3 +58,8 @@ def op4(spark, folder):
 @query("op5_minhash")
 def op5(spark, folder):
     return near_duplicates(table(spark, folder, "documents"), width=2)
+
+
+@query("op10_urls")
+def op10(spark, folder):
+    return urls.judge(table(spark, folder, "pages"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html_text, urls, warc
+from . import bpe, decontaminate, html_text, pii, urls, warc
 from .common import table
 from .minhash import near_duplicates
 
@@ -60,6 +60,13 @@ def op5(spark, folder):
     return near_duplicates(table(spark, folder, "documents"), width=2)
 
 
+@query("op9_pii")
+def op9(spark, folder):
+    found = pii.detect(table(spark, folder, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *map(count, pii.KINDS), F.sha2(pii.joined("base"), 256).alias("base_sha256"), pii.joined("spans").alias("spans"))
+
+
 @query("op10_urls")
 def op10(spark, folder):
     return urls.judge(table(spark, folder, "pages"))

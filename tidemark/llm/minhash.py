@@ -1,15 +1,20 @@
 """Near duplicates by MinHash: an inverted join over signature coordinates, confirmed on full shingle sets.
 
-Every set gets ``COORDINATES`` minimum hashes. Each (coordinate, value) pair is a posting list. A pair of
-sets at the similarity threshold agrees in about 0.8 of the coordinates; pairs agreeing in fewer than
-``MATCHES`` are not kept (at similarity 0.8 that loses one pair in 10^8). Skip merging: in any fixed order
-of the lists two sets that agree in MATCHES coordinates share at least ``SHARED`` of their first
-``COORDINATES - MATCHES + SHARED`` lists; the order is by list length, so the long lists are never merged.
+A signature has ``HASHES`` minimum hashes, two for each of its ``COORDINATES``. Each (coordinate, value)
+pair is a posting list; two values in a coordinate keep the lists of unlike texts short. A pair of sets at
+the similarity threshold agrees in a coordinate with probability 0.64; pairs agreeing in fewer than
+``MATCHES`` coordinates or ``LIKELY`` hashes are not kept (at similarity 0.8 that loses fewer than one pair
+in 10^6, see ``expected_loss``). Skip merging: in any fixed order of the lists two sets that agree in
+MATCHES coordinates share at least ``SHARED`` of their first ``COORDINATES - MATCHES + SHARED`` lists; the
+order is by list length, so the long lists are never merged.
 
 Groups of copies: exact copies are one class before any list is built. A first round compares each class
-with the one leader it collides with most often; list members that are in one component after that are
-not compared again (they could add no new connection), so a group of n near copies costs about n
-comparisons. The second round merges what is left of the lists completely.
+with a few leaders: the first members of its lists in some fixed orders, which are the same few texts in
+all lists of a group. List members that are in one component after that are not compared again (they could
+add no new connection), so a group of n near copies costs about n comparisons. The second round merges
+what is left of the lists completely: classes that share enough lists with other components are compared
+by their rarest shingles, an exact bound that rules out the many pairs of a group that are alike but not
+enough.
 """
 
 from __future__ import annotations
@@ -23,9 +28,13 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, arrow_map, components
 
-COORDINATES = 128
-MATCHES = 72
-SHARED = 8
+HASHES = 128
+COORDINATES = HASHES // 2
+MATCHES = 20
+SHARED = 3
+LIKELY = 72
+ORDERS = 4
+LEADERS = 4
 SEED = 20240501
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -78,7 +87,7 @@ def signature(hashes: np.ndarray, a: np.ndarray, b: np.ndarray, step: int = 8192
 def _sets(docs: DataFrame, width: int, with_set: bool) -> DataFrame:
     """doc, n, fp (128-bit fingerprint of the set), and the signature or the set itself."""
     def rows(source):
-        shingle, (a, b) = Shingler(width), coefficients(COORDINATES, SEED)
+        shingle, (a, b) = Shingler(width), coefficients(HASHES, SEED)
         for row in source:
             s = shingle(row["text"])
             raw = s.tobytes()
@@ -106,11 +115,14 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     classes = scratch.keep(rows.where("doc is not null and fp is not null").groupBy("fp").agg(F.min("doc").alias("c"), F.first("n").alias("n"), F.first("data").alias("sig")))
     posts = _postings(classes, scratch)
 
-    leader = posts.groupBy("key").agg(F.min(F.struct("c", "n")).alias("lead"))
-    leader = scratch.keep(leader)
-    star = posts.join(leader, "key").where((F.col("c") != F.col("lead.c")) & _near("n", "lead.n", percent))
+    orders = [F.col("c") if k == 0 else F.xxhash64("c", F.lit(k)) for k in range(ORDERS)]
+    leader = posts.groupBy("key").agg(*[F.min(F.struct(o.alias("o"), "c", "n")).alias(f"l{k}") for k, o in enumerate(orders)])
+    leader = scratch.keep(leader.select("key", F.array_distinct(F.array(*[F.struct(f"l{k}.c", f"l{k}.n") for k in range(ORDERS)])).alias("leads")))
+    star = posts.join(leader, "key").select("c", "n", F.explode("leads").alias("lead")).where((F.col("c") != F.col("lead.c")) & _near("n", "lead.n", percent))
     star = star.groupBy("c", F.col("lead.c").alias("l")).agg(F.count("*").alias("hits"))
-    star = star.groupBy("c").agg(F.max_by("l", F.struct("hits", -F.col("l"))).alias("l"))
+    # a class has at most ORDERS leaders in each of its lists
+    star = star.groupBy("c").agg(F.slice(F.sort_array(F.collect_list(F.struct("hits", "l")), asc=False), 1, LEADERS).alias("best")).select("c", F.explode("best.l").alias("l"))
+    star = star.select(F.least("c", "l").alias("c"), F.greatest("c", "l").alias("l")).distinct()
     first = scratch.keep(_confirm(star.select(F.col("c").alias("a"), F.col("l").alias("b")), classes, source, width, percent, scratch))
 
     ids = rows.where("doc is not null and fp is not null").select("doc", "fp").distinct().join(classes.select("fp", "c"), "fp")
@@ -122,12 +134,13 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     labelled = scratch.keep(labelled)
     mixed = scratch.keep(labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key"))
     open_ = scratch.keep(labelled.join(mixed, "key", "left_semi"))
-    x = open_.select("key", F.col("c").alias("a"), F.col("n").alias("na"), F.col("component").alias("ka"))
-    y = open_.select("key", F.col("c").alias("b"), F.col("n").alias("nb"), F.col("component").alias("kb"))
-    pairs = x.join(y, "key").where((F.col("a") < F.col("b")) & (F.col("ka") != F.col("kb")) & _near("na", "nb", percent))
-    pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("hits")).where(F.col("hits") >= SHARED).select("a", "b")
-    second = scratch.keep(_confirm(pairs, classes, source, width, percent, scratch))
-    scratch.drop(labelled, mixed, open_, leader, posts)
+    # a pair of different components shares SHARED lists, all of them open
+    active = open_.groupBy("c", "n", "component").agg(F.count("*").alias("lists")).where(F.col("lists") >= SHARED).select("c", "n", "component")
+    active = scratch.keep(active)
+    full = scratch.keep(_full(active.select(F.col("c").alias("doc")), classes, source, width))
+    pairs = _open_pairs(active, full, percent, scratch)
+    second = scratch.keep(_confirm(pairs, classes, source, width, percent, scratch, full))
+    scratch.drop(labelled, mixed, open_, leader, posts, active)
 
     if not second.isEmpty():
         found = scratch.keep(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(second), scratch))
@@ -148,7 +161,7 @@ def _postings(classes: DataFrame, scratch: Scratch) -> DataFrame:
         for batch in source:
             for sig, c, n in zip(batch.column("sig").to_pylist(), batch.column("c").to_pylist(), batch.column("n").to_pylist()):
                 values = np.frombuffer(sig, np.uint32).astype(np.uint64)
-                keys = mix(values + (np.arange(len(values), dtype=np.uint64) << np.uint64(32)))
+                keys = mix(mix(values[::2] + (values[1::2] << np.uint64(32))) + np.arange(COORDINATES, dtype=np.uint64))
                 yield c, n, keys.view(np.int64)
 
     def run(source):
@@ -185,20 +198,50 @@ def _post_batch(pa, held):
     )
 
 
-def _confirm(pairs: DataFrame, classes: DataFrame, source: DataFrame, width: int, percent: int, scratch: Scratch) -> DataFrame:
+def _open_pairs(active: DataFrame, full: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """a, b: pairs of different components that can reach the threshold, by their rarest shingles.
+
+    Shingles of a set are ordered by how many open sets hold them. Two sets at the threshold share one of
+    their first ``n - ceil(percent n / 100) + 1``, and behind the first that they share there must be room
+    for the whole intersection. Sets of the component that holds most of a shingle's places are not
+    compared with each other.
+    """
+    held = scratch.keep(arrow_map(full, "h long, c long", lambda rows_: ((h, r["doc"]) for r in rows_ for h in np.frombuffer(r["data"], np.int64).tolist()), size=20_000))
+    rarity = scratch.keep(held.groupBy("h").agg(F.count("*").alias("df")))
+    order = held.join(rarity, "h").groupBy("c").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("t"))
+    first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    first = active.join(order, "c").select("c", "n", "component", F.posexplode(F.slice("t", F.lit(1), first.cast("int"))).alias("at", "s"))
+    first = scratch.keep(first.where("s.df > 1").select(F.col("s.h").alias("h"), "c", "n", "component", "at"))
+    main = first.groupBy("h", "component").agg(F.count("*").alias("places")).groupBy("h")
+    main = main.agg(F.max_by("component", F.struct("places", "component")).alias("main"), F.count("*").alias("kinds")).where("kinds > 1").select("h", "main")
+    first_open = scratch.keep(first.join(scratch.keep(main), "h"))
+    x, y = (first_open.select("h", "main", *[F.col(k).alias(f"{k}_{side}") for k in ("c", "n", "component", "at")]) for side in "xy")
+    room = (100 + percent) * F.least(F.col("n_x") - F.col("at_x"), F.col("n_y") - F.col("at_y")) >= percent * (F.col("n_x") + F.col("n_y"))
+    pairs = x.where("component_x <> main").join(y.drop("main"), "h").where((F.col("component_x") != F.col("component_y")) & _near("n_x", "n_y", percent) & room)
+    pairs = scratch.keep(pairs.select(F.least("c_x", "c_y").alias("a"), F.greatest("c_x", "c_y").alias("b")).distinct())
+    scratch.drop(held, rarity, first, first_open)
+    return pairs
+
+
+def _full(wanted: DataFrame, classes: DataFrame, source: DataFrame, width: int) -> DataFrame:
+    """doc, data: the full sets of the wanted classes, from the texts of their representatives."""
+    full = _sets(source.join(wanted, "doc", "left_semi"), width, with_set=True).where("fp is not null").dropDuplicates(["doc", "fp"])
+    return full.join(classes.select(F.col("c").alias("doc"), "fp"), ["doc", "fp"], "left_semi").select("doc", "data")
+
+
+def _confirm(pairs: DataFrame, classes: DataFrame, source: DataFrame, width: int, percent: int, scratch: Scratch, full: DataFrame | None = None) -> DataFrame:
     """Pairs (a, b) whose signatures agree in enough coordinates and whose full sets reach the threshold."""
     sig = classes.select("c", F.col("sig"))
     both = pairs.join(sig.select(F.col("c").alias("a"), F.col("sig").alias("x")), "a").join(sig.select(F.col("c").alias("b"), F.col("sig").alias("y")), "b")
 
     def agree(source):
         for r in source:
-            if int((np.frombuffer(r["x"], np.uint32) == np.frombuffer(r["y"], np.uint32)).sum()) >= MATCHES:
+            if int((np.frombuffer(r["x"], np.uint32) == np.frombuffer(r["y"], np.uint32)).sum()) >= LIKELY:
                 yield r["a"], r["b"]
 
     likely = scratch.keep(arrow_map(both.select("a", "b", "x", "y"), "a long, b long", agree))
-    wanted = scratch.keep(likely.select(F.explode(F.array("a", "b")).alias("doc")).distinct())
-    full = _sets(source.join(wanted, "doc", "left_semi"), width, with_set=True).where("fp is not null").dropDuplicates(["doc", "fp"])
-    full = scratch.keep(full.join(classes.select(F.col("c").alias("doc"), "fp"), ["doc", "fp"], "left_semi").select("doc", "data"))
+    if full is None:
+        full = scratch.keep(_full(likely.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), classes, source, width))
     both = likely.join(full.select(F.col("doc").alias("a"), F.col("data").alias("x")), "a").join(full.select(F.col("doc").alias("b"), F.col("data").alias("y")), "b")
 
     def linked(source):
@@ -209,10 +252,11 @@ def _confirm(pairs: DataFrame, classes: DataFrame, source: DataFrame, width: int
                 yield r["a"], r["b"]
 
     out = scratch.keep(arrow_map(both.select("a", "b", "x", "y"), "a long, b long", linked).distinct())
-    scratch.drop(likely, wanted, full)
+    scratch.drop(likely, full)
     return out
 
 
 def expected_loss(similarity: float) -> float:
-    """Chance that a pair of this similarity agrees in fewer than ``MATCHES`` coordinates."""
-    return sum(math.comb(COORDINATES, k) * similarity**k * (1 - similarity) ** (COORDINATES - k) for k in range(MATCHES))
+    """Bound on the chance that a pair of this similarity is not kept."""
+    tail = lambda n, p, least: sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(least))
+    return tail(COORDINATES, similarity**2, MATCHES) + tail(HASHES, similarity, LIKELY)

@@ -16,9 +16,11 @@ from __future__ import annotations
 import codecs
 import hashlib
 import json
+import sys
 import unicodedata
 from array import array
 from collections.abc import Iterable, Iterator
+from types import ModuleType
 
 import regex
 from pyspark.sql import DataFrame
@@ -163,7 +165,7 @@ class Encoder:
 
     WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^" + SPACE + r"\p{L}\p{N}]+")
 
-    def __init__(self, vocabulary: Vocabulary, cache: int = 250_000):
+    def __init__(self, vocabulary: Vocabulary, cache: int = 600_000):
         self.v, self.cache, self.known, self.words = vocabulary, cache, {}, {}
         self.bytes = byte_alphabet()
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(vocabulary.special, key=len, reverse=True))) + ")") if vocabulary.special else None
@@ -261,6 +263,15 @@ class Decoder:
         return "" if self.mode == "surface" else self.state.decode(b"", True)
 
 
+def worker_encoder(text: str) -> Encoder:
+    """The encoder of this worker process: what it has learned about frequent words serves later tasks too."""
+    home = sys.modules.setdefault("tidemark_worker_state", ModuleType("tidemark_worker_state"))
+    held = getattr(home, "encoder", None)
+    if held is None or held[0] != text:
+        home.encoder = held = (text, Encoder(Vocabulary(text)))
+    return held[1]
+
+
 def _vocabulary(docs: DataFrame, path: str):
     """The tokenizer file travels with the job: a few MB whatever the input."""
     with open(path, encoding="utf-8") as f:
@@ -275,7 +286,7 @@ def encode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str
     spec = _vocabulary(docs, path)
 
     def rows(source):
-        encoder = Encoder(Vocabulary(spec.value))
+        encoder = worker_encoder(spec.value)
         for r in source:
             yield r["doc"], encoder(r["text"]).tolist()
 
@@ -288,7 +299,7 @@ def decode(tokens: DataFrame, path: str, *, id_col: str = "doc_id", ids_col: str
     spec = _vocabulary(tokens, path)
 
     def rows(source):
-        vocabulary = Vocabulary(spec.value)
+        vocabulary = worker_encoder(spec.value).v
         for r in source:
             machine = Decoder(vocabulary, mode)
             yield r["doc"], machine.feed(r["ids"] or []) + machine.finish()
@@ -305,10 +316,9 @@ def digests(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str
     spec = _vocabulary(docs, path)
 
     def rows(source):
-        vocabulary = Vocabulary(spec.value)
-        encoder = Encoder(vocabulary)
+        encoder = worker_encoder(spec.value)
         for r in source:
-            machine, n, a, b = Decoder(vocabulary), 0, hashlib.sha256(), hashlib.sha256()
+            machine, n, a, b = Decoder(encoder.v), 0, hashlib.sha256(), hashlib.sha256()
             for piece in encoder.pieces(r["text"]):
                 ids = memoryview(piece).cast("I")
                 n += len(ids)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html_text, pii, urls, warc
+from . import bpe, decontaminate, embeddings, html_text, pii, urls, warc
 from .common import table
 from .minhash import near_duplicates
 
@@ -60,6 +60,11 @@ def op5(spark, folder):
     return near_duplicates(table(spark, folder, "documents"), width=2)
 
 
+@query("op6_embedding")
+def op6(spark, folder):
+    return embeddings.near_vectors(table(spark, folder, "embeddings"))
+
+
 @query("op9_pii")
 def op9(spark, folder):
     found = pii.detect(table(spark, folder, "documents"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, embeddings, html_text, pii, toxicity, urls, warc
+from . import bpe, decontaminate, embeddings, html_text, language, pii, toxicity, urls, warc
 from .common import table
 from .minhash import near_duplicates
 
@@ -70,6 +70,11 @@ def op7(spark, folder):
     return toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query("op8_language")
+def op8(spark, folder):
+    return language.scores(table(spark, folder, "documents"))
+
+
 @query("op9_pii")
 def op9(spark, folder):
     found = pii.detect(table(spark, folder, "documents"))

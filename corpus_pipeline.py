@@ -1,24 +1,75 @@
-"""Corpus preparation: stages applied one after the other to ``documents``."""
+"""Corpus preparation: stages applied one after the other to ``documents``.
+
+Every stage works on all that the one before kept, is written and read again, and takes effect: toxic
+documents go, one document of each group of near duplicates stays, documents that hold benchmark passages
+go, personal data is replaced by its kind, and the rest is encoded. Rows that a stage cannot judge stay:
+a row without id has no near duplicates. Extra columns are carried along up to the last stage.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.llm import bpe, decontaminate, pii, toxicity
 from tidemark.llm.common import Scratch, table
 from tidemark.llm.minhash import near_duplicates
+from tidemark.llm.queries import tokenizer
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a toxicity score of 0.7 or more go."""
+    found = toxicity.score(docs, table(spark, sf_dir, "labels"))
+    return _without(docs, found.where("predicted = 1"), "toxic")
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group stays (five-word shingles, similarity 0.8); of rows that repeat an id one stays."""
+    scratch = Scratch(spark, "pipeline")
+    found = scratch.keep(near_duplicates(docs).where("not kept"))
+    kept = _without(docs, found, "copies")
+    again = scratch.keep(kept.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
+    if again.isEmpty():
+        return kept
+    return kept.join(again, "doc_id", "left_anti").unionByName(kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(kept.columns))
+
 
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a ten-word window of a benchmark item go."""
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
+    return _without(docs, found.where("n_hit > 0"), "contaminated")
 
-def minhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: that with the smallest id."""
-    kept = near_duplicates(docs).where("kept").select("doc_id")
-    return docs.join(kept.dropDuplicates(), "doc_id", "left_semi")
 
+def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Emails, addresses, card and phone numbers become their kind in angle brackets."""
+    out = pii.redact(docs)
+    return out.withColumn("n_chars", F.char_length("text").cast(out.schema["n_chars"].dataType)) if "n_chars" in out.columns else out
 
-STAGES = [("minhash", minhash)]
 
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of what is left, with digests of ids and decoded text."""
+    return bpe.digests(docs, tokenizer())
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("minhash", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("pii", replace_personal_data),
+    ("bpe", encode),
+]
+
+#: Learned scores and byte-pair encoding can't be stated in SQL; the tests compare with brute force.
 ORACLE_SQL = None
 
 
+def _without(docs: DataFrame, found: DataFrame, name: str) -> DataFrame:
+    """Rows whose id was not found; the ids are written first, so either side of the join can be split."""
+    scratch = Scratch(docs.sparkSession, name)
+    ids = scratch.keep(found.select(F.col("doc_id").alias("gone")).distinct())
+    return docs.join(ids, docs["doc_id"] == ids["gone"], "left_anti")
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch, docs = Scratch(spark, "pipeline"), table(spark, sf_dir, "documents")
     for _, stage in STAGES:

@@ -31,7 +31,7 @@ FREQUENT, CLASSES, HELD = 1500, 256, 200_000
 OUTCOMES = FREQUENT + 1 + CLASSES
 END = FREQUENT
 WIDTH = 24
-NOISE, BATCH, RATE = 64, 4096, 0.15
+NOISE, BATCH, RATE = 64, 1024, 0.15
 #: Shares of the training documents read in each round; together all of them.
 ROUNDS = (1, 3, 4)
 SEED = 17

@@ -34,7 +34,9 @@ MATCHES = 20
 SHARED = 3
 LIKELY = 72
 ORDERS = 4
-LEADERS = 4
+LEADERS, BEST, BRIDGES = 6, 4, 8
+#: Ids up to this many are sent to all tasks (16 MB) to pick their texts; more are joined.
+SENT_IDS = 1_000_000
 SEED = 20240501
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -111,41 +113,42 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         raise ValueError("the match threshold is set for a similarity of 0.8 or more")
     scratch = Scratch(docs.sparkSession, "minhash")
     source = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    rows = scratch.keep(_sets(source, width, with_set=False))
-    classes = scratch.keep(rows.where("doc is not null and fp is not null").groupBy("fp").agg(F.min("doc").alias("c"), F.first("n").alias("n"), F.first("data").alias("sig")))
+    signed = scratch.keep(_sets(source, width, with_set=False))
+    classes = scratch.keep(signed.where("doc is not null and fp is not null").groupBy("fp").agg(F.min("doc").alias("rep"), F.first("n").alias("n"), F.first("data").alias("sig")).withColumn("c", F.monotonically_increasing_id()))
+    rows = scratch.keep(signed.select("doc", "n", "fp"))
+    scratch.drop(signed)
     posts = _postings(classes, scratch)
 
-    orders = [F.col("c") if k == 0 else F.xxhash64("c", F.lit(k)) for k in range(ORDERS)]
+    # the class that is in the longest lists is near the centre of its group
+    orders = [-F.col("weight") if k == 0 else F.xxhash64("c", F.lit(k)) for k in range(ORDERS)]
     leader = posts.groupBy("key").agg(*[F.min(F.struct(o.alias("o"), "c", "n")).alias(f"l{k}") for k, o in enumerate(orders)])
     leader = scratch.keep(leader.select("key", F.array_distinct(F.array(*[F.struct(f"l{k}.c", f"l{k}.n") for k in range(ORDERS)])).alias("leads")))
     star = posts.join(leader, "key").select("c", "n", F.explode("leads").alias("lead")).where((F.col("c") != F.col("lead.c")) & _near("n", "lead.n", percent))
     star = star.groupBy("c", F.col("lead.c").alias("l")).agg(F.count("*").alias("hits"))
     # a class has at most ORDERS leaders in each of its lists
     star = star.groupBy("c").agg(F.slice(F.sort_array(F.collect_list(F.struct("hits", "l")), asc=False), 1, LEADERS).alias("best")).select("c", F.explode("best.l").alias("l"))
-    star = star.select(F.least("c", "l").alias("c"), F.greatest("c", "l").alias("l")).distinct()
-    first = scratch.keep(_confirm(star.select(F.col("c").alias("a"), F.col("l").alias("b")), classes, source, width, percent, scratch))
+    first = scratch.keep(_confirm(star.select(F.col("c").alias("a"), F.col("l").alias("b"), F.col("c").alias("g")), classes, source, width, percent, scratch, best=BEST))
 
     ids = rows.where("doc is not null and fp is not null").select("doc", "fp").distinct().join(classes.select("fp", "c"), "fp")
     ids = ids.groupBy("doc").agg(F.min("c").alias("a"), F.max("c").alias("z"), F.collect_set("c").alias("all")).where("a <> z")
     first = scratch.keep(first.unionByName(ids.select("a", F.explode("all").alias("b"))))
     found = scratch.keep(components(first, scratch))
 
-    labelled = posts.join(found.withColumnRenamed("node", "c"), "c", "left").withColumn("component", F.coalesce("component", "c"))
-    labelled = scratch.keep(labelled)
-    mixed = scratch.keep(labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key"))
-    open_ = scratch.keep(labelled.join(mixed, "key", "left_semi"))
+    open_ = _open_lists(posts, found, scratch)
+    bridges = _confirm(_bridges(open_, percent), classes, source, width, percent, scratch, best=BRIDGES)
+    found = _joined(found, bridges, scratch)
+    open_ = _open_lists(open_.drop("component"), found, scratch)
     # a pair of different components shares SHARED lists, all of them open
     active = open_.groupBy("c", "n", "component").agg(F.count("*").alias("lists")).where(F.col("lists") >= SHARED).select("c", "n", "component")
     active = scratch.keep(active)
-    full = scratch.keep(_full(active.select(F.col("c").alias("doc")), classes, source, width))
+    full = scratch.keep(_full(active.select(F.col("c").alias("doc")), classes, source, width, scratch))
     pairs = _open_pairs(active, full, percent, scratch)
     second = scratch.keep(_confirm(pairs, classes, source, width, percent, scratch, full))
-    scratch.drop(labelled, mixed, open_, leader, posts, active)
-
-    if not second.isEmpty():
-        found = scratch.keep(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(second), scratch))
-    place = classes.select("fp", F.col("c").alias("node")).join(found, "node", "left")
-    place = scratch.keep(place.select("fp", F.coalesce("component", "node").alias("place")))
+    scratch.drop(open_, leader, posts, active)
+    found = _joined(found, second, scratch)
+    place = scratch.keep(classes.select("fp", "rep", F.col("c").alias("node")).join(found, "node", "left").withColumn("component", F.coalesce("component", "node")))
+    least = scratch.keep(place.groupBy("component").agg(F.min("rep").alias("place")))
+    place = scratch.keep(place.join(least, "component").select("fp", "place"))
     out = rows.join(place, "fp", "left").withColumn("component_id", F.when(F.col("doc").isNotNull(), F.coalesce("place", "doc")))
     return out.select(F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), "component_id", (F.col("doc") == F.col("component_id")).alias("kept"))
 
@@ -156,46 +159,54 @@ def _near(a: str, b: str, percent: int):
 
 
 def _postings(classes: DataFrame, scratch: Scratch) -> DataFrame:
-    """key, c, n, the postings of each class that are among its first ones by list length and are shared."""
-    def split(source):
-        for batch in source:
-            for sig, c, n in zip(batch.column("sig").to_pylist(), batch.column("c").to_pylist(), batch.column("n").to_pylist()):
-                values = np.frombuffer(sig, np.uint32).astype(np.uint64)
-                keys = mix(mix(values[::2] + (values[1::2] << np.uint64(32))) + np.arange(COORDINATES, dtype=np.uint64))
-                yield c, n, keys.view(np.int64)
-
+    """key, c, n, weight, the postings of each class that are among its first ones by list length and are shared."""
     def run(source):
         import pyarrow as pa
 
-        held: list = []
-        for item in split(source):
-            held.append(item)
-            if len(held) == 512:
-                yield _post_batch(pa, held)
-                held = []
-        if held:
-            yield _post_batch(pa, held)
-
-    wide = scratch.keep(classes.select("c", "n", "sig").mapInArrow(run, "key long, c long, n long"))
+        for batch in source:
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
+                values = np.frombuffer(b"".join(part.column("sig").to_pylist()), np.uint32).astype(np.uint64).reshape(-1, HASHES)
+                keys = mix(mix(values[:, ::2] + (values[:, 1::2] << np.uint64(32))) + np.arange(COORDINATES, dtype=np.uint64))
+                c = np.repeat(np.array(part.column("c").to_pylist(), np.int64), COORDINATES)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64).ravel()), pa.array(c)], names=["key", "c"])
+
+    wide = scratch.keep(classes.select("c", "sig").mapInArrow(run, "key long, c long"))
     lists = scratch.keep(wide.groupBy("key").agg(F.count("*").alias("df")).where("df > 1"))
     shared = wide.join(lists, "key")
     prefix = COORDINATES - MATCHES + SHARED
-    own = shared.groupBy("c", "n").agg(F.sort_array(F.collect_list(F.struct("df", "key"))).alias("p"))
+    own = shared.groupBy("c").agg(F.sort_array(F.collect_list(F.struct("df", "key"))).alias("p"))
     # lists that hold only this class come first in the order and are shared with nothing
     room = F.lit(prefix - COORDINATES) + F.size("p")
-    own = own.where(room > 0).select("c", "n", F.explode(F.slice("p", F.lit(1), room)).alias("q"))
-    out = scratch.keep(own.select(F.col("q.key").alias("key"), "c", "n"))
+    weight = F.aggregate("p", F.lit(0).cast("long"), lambda a, x: a + x.df).alias("weight")
+    own = own.where(room > 0).select("c", weight, F.slice("p", F.lit(1), room).alias("p")).join(classes.select("c", "n"), "c")
+    out = scratch.keep(own.select("c", "n", "weight", F.explode("p").alias("q")).select(F.col("q.key").alias("key"), "c", "n", "weight"))
     scratch.drop(wide, lists)
     return out
 
 
-def _post_batch(pa, held):
-    keys = np.concatenate([k for _, _, k in held])
-    lens = [len(k) for _, _, k in held]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(keys), pa.array(np.repeat(np.array([c for c, _, _ in held], np.int64), lens)), pa.array(np.repeat(np.array([n for _, n, _ in held], np.int64), lens))],
-        names=["key", "c", "n"],
-    )
+def _open_lists(posts: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
+    """Postings, with component, of the lists that hold classes of more than one component."""
+    labelled = scratch.keep(posts.join(found.withColumnRenamed("node", "c"), "c", "left").withColumn("component", F.coalesce("component", "c")))
+    mixed = scratch.keep(labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key"))
+    out = scratch.keep(labelled.join(mixed, "key", "left_semi"))
+    scratch.drop(labelled, mixed)
+    return out
+
+
+def _bridges(open_: DataFrame, percent: int) -> DataFrame:
+    """a, b, g: in every open list each class outside the list's main component with one class inside, another one in each list."""
+    main = open_.groupBy("key", "component").agg(F.count("*").alias("places"), F.min(F.struct(F.xxhash64("c", "key").alias("o"), "c", "n")).alias("to")).groupBy("key")
+    main = main.agg(F.max(F.struct("places", "component", "to")).alias("m")).select("key", F.col("m.component").alias("main"), F.col("m.to.c").alias("b"), F.col("m.to.n").alias("nb"))
+    pairs = open_.join(main, "key").where((F.col("component") != F.col("main")) & _near("n", "nb", percent))
+    return pairs.select(F.col("c").alias("a"), "b", F.col("component").alias("g")).distinct()
+
+
+def _joined(found: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """Components after further links."""
+    if links.isEmpty():
+        return found
+    return scratch.keep(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links), scratch))
 
 
 def _open_pairs(active: DataFrame, full: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
@@ -223,25 +234,39 @@ def _open_pairs(active: DataFrame, full: DataFrame, percent: int, scratch: Scrat
     return pairs
 
 
-def _full(wanted: DataFrame, classes: DataFrame, source: DataFrame, width: int) -> DataFrame:
+def _full(wanted: DataFrame, classes: DataFrame, source: DataFrame, width: int, scratch: Scratch) -> DataFrame:
     """doc, data: the full sets of the wanted classes, from the texts of their representatives."""
-    full = _sets(source.join(wanted, "doc", "left_semi"), width, with_set=True).where("fp is not null").dropDuplicates(["doc", "fp"])
-    return full.join(classes.select(F.col("c").alias("doc"), "fp"), ["doc", "fp"], "left_semi").select("doc", "data")
+    wanted = scratch.keep(wanted.withColumnRenamed("doc", "c").join(classes.select("c", "rep", "fp"), "c"))
+    ids = scratch.keep(wanted.select(F.col("rep").alias("doc")).distinct())
+    full = _sets(source.join(F.broadcast(ids) if ids.count() <= SENT_IDS else ids, "doc", "left_semi"), width, with_set=True).where("fp is not null")
+    # rows that repeat an id may hold other texts; a row that repeats the text is one too many
+    full = full.join(wanted.select(F.col("rep").alias("doc"), "fp", "c"), ["doc", "fp"])
+    return full.dropDuplicates(["c"]).select(F.col("c").alias("doc"), "data")
 
 
-def _confirm(pairs: DataFrame, classes: DataFrame, source: DataFrame, width: int, percent: int, scratch: Scratch, full: DataFrame | None = None) -> DataFrame:
-    """Pairs (a, b) whose signatures agree in enough coordinates and whose full sets reach the threshold."""
+def _most_alike(pairs: DataFrame, best: int) -> DataFrame:
+    """a, b of up to ``best`` pairs of each group: the most alike of each of ``best`` slots, as a group may be large."""
+    parts = pairs.withColumn("slot", F.pmod(F.xxhash64("a", "b"), F.lit(best))).groupBy("g", "slot")
+    return parts.agg(F.max(F.struct("n", "a", "b")).alias("p")).select("p.a", "p.b")
+
+
+def _confirm(pairs: DataFrame, classes: DataFrame, source: DataFrame, width: int, percent: int, scratch: Scratch, full: DataFrame | None = None, best: int | None = None) -> DataFrame:
+    """Pairs (a, b), of each group g only the ``best`` most alike ones if given, whose signatures agree in enough coordinates and whose full sets reach the threshold."""
     sig = classes.select("c", F.col("sig"))
     both = pairs.join(sig.select(F.col("c").alias("a"), F.col("sig").alias("x")), "a").join(sig.select(F.col("c").alias("b"), F.col("sig").alias("y")), "b")
 
     def agree(source):
         for r in source:
-            if int((np.frombuffer(r["x"], np.uint32) == np.frombuffer(r["y"], np.uint32)).sum()) >= LIKELY:
-                yield r["a"], r["b"]
-
-    likely = scratch.keep(arrow_map(both.select("a", "b", "x", "y"), "a long, b long", agree))
+            n = int((np.frombuffer(r["x"], np.uint32) == np.frombuffer(r["y"], np.uint32)).sum())
+            if n >= LIKELY:
+                yield r["a"], r["b"], r["g"], n
+
+    likely = arrow_map(both.select("a", "b", F.col("g") if best else F.lit(None).cast("long").alias("g"), "x", "y"), "a long, b long, g long, n long", agree)
+    if best:
+        likely = _most_alike(likely, best)
+    likely = scratch.keep(likely.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     if full is None:
-        full = scratch.keep(_full(likely.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), classes, source, width))
+        full = scratch.keep(_full(likely.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), classes, source, width, scratch))
     both = likely.join(full.select(F.col("doc").alias("a"), F.col("data").alias("x")), "a").join(full.select(F.col("doc").alias("b"), F.col("data").alias("y")), "b")
 
     def linked(source):

@@ -32,7 +32,53 @@ def tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-@query("op1_warc")
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+_OP1 = f"""
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS h, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last FROM pages)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('{warc.BASE32}', 1 + CAST((CAST('0x' || substr(h, CAST(1 + 10 * (i // 8) AS INT), 10) AS BIGINT) >> (35 - 5 * (i % 8))) & 31 AS INT), 1)), '') AS payload_digest,
+  CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> last THEN last END AS refers_to
+FROM p"""
+
+_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+_OP4 = f"""
+WITH item AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+win AS (SELECT DISTINCT item, w[k:k + n - 1] AS x, n FROM (SELECT item, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM (SELECT item, w, least(10, len(w)) AS n FROM item WHERE len(w) > 0))),
+doc AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+place AS (SELECT doc_id, n, k, w[k:k + n - 1] AS x FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM doc, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+hit AS (SELECT DISTINCT doc_id, item, k, place.n FROM place JOIN win ON place.x = win.x),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS p FROM hit) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)"""
+
+_OP5 = f"""
+WITH RECURSIVE doc AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, s FROM (SELECT doc_id, unnest(CASE WHEN len(w) < 2 THEN [w] ELSE list_transform(range(1, len(w)), lambda k: w[k:k + 1]) END) AS s FROM doc WHERE len(w) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pair AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM pair JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+edge AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM doc UNION SELECT r.a, e.b FROM reach r JOIN edge e ON e.a = r.b),
+comp AS (SELECT a, min(b) AS c FROM reach GROUP BY a)
+SELECT doc.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, c AS component_id, doc.doc_id = c AS kept
+FROM doc LEFT JOIN size USING (doc_id) JOIN comp ON comp.a = doc.doc_id"""
+
+_OP6 = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id < b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+edge AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, e.b FROM reach r JOIN edge e ON e.a = r.b),
+comp AS (SELECT a, min(b) AS c FROM reach GROUP BY a),
+deg AS (SELECT a, count(*) AS n FROM edge GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, c AS component_id, vec_id = c AS kept
+FROM v LEFT JOIN deg ON deg.a = vec_id JOIN comp ON comp.a = vec_id"""
+
+
+@query("op1_warc", _OP1)
 def op1(spark, folder):
     return warc.round_trip(table(spark, folder, "pages"))
 
@@ -47,7 +93,7 @@ def op3(spark, folder):
     return bpe.digests(table(spark, folder, "documents"), tokenizer())
 
 
-@query("op4_decontaminate")
+@query("op4_decontaminate", _OP4)
 def op4(spark, folder):
     found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select(
@@ -55,12 +101,12 @@ def op4(spark, folder):
     )
 
 
-@query("op5_minhash")
+@query("op5_minhash", _OP5)
 def op5(spark, folder):
     return near_duplicates(table(spark, folder, "documents"), width=2)
 
 
-@query("op6_embedding")
+@query("op6_embedding", _OP6)
 def op6(spark, folder):
     return embeddings.near_vectors(table(spark, folder, "embeddings"))
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 # Abramowitz and Stegun 26.2.17, error below 7.5e-8.
 NORMAL_P = 0.2316419
 NORMAL_B = (0.319381530, -0.356563782, 1.781477937, -1.821255978, 1.330274429)
+# Default of the tests' ``exact_up_to``: beyond it the exact p costs n^3 steps and the approximation is close.
 EXACT_UP_TO = 50
 
 

@@ -108,10 +108,12 @@ def adjust_by_index(df: DataFrame, index: DataFrame, columns: Sequence[str], ref
     """Express amounts in prices of the reference month; months the index lacks drop out.
 
     The index has one row per calendar month, which the reduction below makes certain, so it is safe to
-    broadcast.
+    broadcast. A month with two different values is an error.
     """
     require(index, [keys.month, value])
-    by_month = index.groupBy(keys.month).agg(F.max(value).alias("_index"))
+    by_month = index.groupBy(keys.month).agg(
+        F.when(F.min(value) < F.max(value), F.raise_error(F.concat(F.lit("the index has several values for month "), F.first(keys.month).cast("string"))))
+        .otherwise(F.max(value)).alias("_index"))
     base = by_month.filter(F.col(keys.month) == reference_month).select("_index").scalar()
     factors = by_month.select(keys.month, ratio(base, F.col("_index")).alias("_factor"))
     adjusted = df.join(F.broadcast(factors), keys.month)

@@ -46,6 +46,11 @@ def gain_curve(df: DataFrame, prob: str, truth: str, ties: Sequence[str], by: Se
     return running_totals(earned, prob, ties, by=by, sums={"gan_acum": "_gain"}, descending=True, top=top).drop("_gain")
 
 
+def truth_of_weight(weight: str, mark: float, within: float = 1e-7) -> Column:
+    """1 where a row weight carries the mark of the rows that earn, for metrics that are handed weights only."""
+    return (F.abs(F.col(weight) - F.lit(mark)) < within).cast("int")
+
+
 def best_point(curve: DataFrame, prob: str, by: Sequence[str] = ()) -> DataFrame:
     """Highest point of a curve, the earliest if several: gain, position, probability, rows."""
     best = F.max(F.struct("gan_acum", (-F.col("pos")).alias("minus_pos"), F.col(prob).alias("prob")))
@@ -139,18 +144,18 @@ def label_top(df: DataFrame, prob: str, ties: Sequence[str], cuts: int | Sequenc
     """1 for the first N rows, 0 for the rest; several cuts give ``{out}_{cut}``.
 
     The N-th row is found first; every row is then compared with it in place, so the table itself is neither
-    shuffled nor sorted. A table of fewer than N rows is all 1.
+    shuffled nor sorted. A table of fewer than N rows is all 1. Null scores come last, null ties first.
     """
     wanted = [cuts] if isinstance(cuts, int) else list(cuts)
     rows = _boundary(df, prob, ties, wanted)
     new = {}
     for c in wanted:
         row = rows[f"c{c}"]
-        before = F.col(prob) > row[prob]
-        same = F.col(prob) == row[prob]
+        before = F.coalesce(F.col(prob) > row[prob], F.col(prob).isNotNull() & row[prob].isNull())
+        same = F.col(prob).eqNullSafe(row[prob])
         for t in ties:
-            before = before | (same & (F.col(t) < row[t]))
-            same = same & (F.col(t) == row[t])
+            before = before | (same & F.coalesce(F.col(t) < row[t], F.col(t).isNull() & row[t].isNotNull()))
+            same = same & F.col(t).eqNullSafe(row[t])
         name = out if isinstance(cuts, int) else f"{out}_{c}"
         new[name] = F.when(row.isNull() | before | same, 1).otherwise(0)
     return df.withColumns(new)
@@ -190,11 +195,11 @@ def sweep_below(df: DataFrame, column: str, truth: str, thresholds: Sequence[flo
     return one.select(F.explode(rows).alias("r")).select("r.*")
 
 
-def confusion(df: DataFrame, predicted: str, truth: str, by: Sequence[str] = ()) -> DataFrame:
-    """TP, FP, TN, FN and the four rates."""
+def confusion(df: DataFrame, predicted: str, truth: str, by: Sequence[str] = (), guard: float = 0.0) -> DataFrame:
+    """TP, FP, TN, FN and the four rates; ``guard`` as in ``rates``."""
     p, t = F.col(predicted) == 1, F.col(truth) == 1
     cells = {"tp": p & t, "fp": p & ~t, "tn": ~p & ~t, "fn": ~p & t}
-    return rates(df.groupBy(*by).agg(*[F.count_if(c).alias(n) for n, c in cells.items()]))
+    return rates(df.groupBy(*by).agg(*[F.count_if(c).alias(n) for n, c in cells.items()]), guard)
 
 
 def rates(cells: DataFrame, guard: float = 0.0) -> DataFrame:
@@ -207,7 +212,8 @@ def rates(cells: DataFrame, guard: float = 0.0) -> DataFrame:
     return base.withColumn("f1", ratio(2 * pr * rc, pr + rc + g))
 
 
-def rates_of_top(df: DataFrame, prob: str, truth: str, ties: Sequence[str], top: int, by: Sequence[str]) -> DataFrame:
+def rates_of_top(df: DataFrame, prob: str, truth: str, ties: Sequence[str], top: int, by: Sequence[str],
+                 guard: float = 0.0) -> DataFrame:
     """Confusion of each model's own first ``top`` rows.
 
     Only those rows are ordered; the others are known from the totals.
@@ -219,7 +225,7 @@ def rates_of_top(df: DataFrame, prob: str, truth: str, ties: Sequence[str], top:
                            descending=True, top=top)
     chosen = first.groupBy(*by).agg(F.sum(hit).alias("tp"), F.sum(1 - hit).alias("fp"))
     return rates(chosen.join(sizes, by).select(
-        *by, "tp", "fp", (F.col("_n") - F.col("_pos") - F.col("fp")).alias("tn"), (F.col("_pos") - F.col("tp")).alias("fn")))
+        *by, "tp", "fp", (F.col("_n") - F.col("_pos") - F.col("fp")).alias("tn"), (F.col("_pos") - F.col("tp")).alias("fn")), guard)
 
 
 def predicted_counts(df: DataFrame, predicted: str) -> DataFrame:

@@ -128,22 +128,28 @@ def signed_ranks(pairs: DataFrame, x: str, y: str, by: Sequence[str]) -> DataFra
                          *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("w_plus", "w_minus", "tie_term")])
 
 
-def _p_value(correction: bool) -> Column:
+def _p_value(correction: bool, method: str, exact_up_to: int) -> Column:
+    if method not in ("auto", "exact", "normal"):
+        raise ValueError("method must be auto, exact or normal")
     n, w = F.col("n").cast("int"), F.least("w_plus", "w_minus")
-    exact = (n <= EXACT_UP_TO) & (F.col("tie_term") == 0) & (F.col("zeros") == 0)
+    # ranks that are shared or left out have no exact distribution
+    exact = (F.col("tie_term") == 0) & (F.col("zeros") == 0)
+    exact &= n <= exact_up_to if method == "auto" else F.lit(method == "exact")
     return (F.when(n == 0, F.lit(1.0))
             .when(exact, signed_rank_exact_p(F.when(exact, n).otherwise(1), F.when(exact, w).otherwise(0).cast("int")))
             .otherwise(signed_rank_normal_p(n, w, F.col("tie_term"), correction)))
 
 
-def wilcoxon(pairs: DataFrame, x: str, y: str, by: Sequence[str], correction: bool = False) -> DataFrame:
+def wilcoxon(pairs: DataFrame, x: str, y: str, by: Sequence[str], correction: bool = False,
+             method: str = "auto", exact_up_to: int = EXACT_UP_TO) -> DataFrame:
     """Paired signed-rank test per group: statistic and two-sided p.
 
-    Exact for up to 50 differences without ties or zeros, else the normal approximation.
+    ``method`` is ``exact``, ``normal`` (the approximation) or ``auto``: exact for up to ``exact_up_to``
+    differences. With ties or zeros the approximation is used, as no exact distribution exists.
     """
     # the pairs are read several times over: paid for once
     ranks = signed_ranks(materialize(pairs.select(*by, x, y), "pairs"), x, y, by)
-    return ranks.withColumns({"estadistico": F.least("w_plus", "w_minus"), "p": _p_value(correction)})
+    return ranks.withColumns({"estadistico": F.least("w_plus", "w_minus"), "p": _p_value(correction, method, exact_up_to)})
 
 
 def model_pairs(results: DataFrame, model: str, run: str, value: str) -> DataFrame:
@@ -183,7 +189,7 @@ def win_probability(pairs: DataFrame, x: str, y: str, by: Sequence[str]) -> Data
 
 
 def sequential_comparison(pairs: DataFrame, x: str, y: str, run: str, by: Sequence[str], alpha: float = 0.05,
-                          cap: int = EXACT_UP_TO, correction: bool = True) -> DataFrame:
+                          cap: int = 50, correction: bool = True) -> DataFrame:
     """Stop at the first number of runs whose signed-rank test is significant, or at ``cap`` runs.
 
     ``out`` is 1 or 2 for the better model, 0 if undecided. All prefixes of the runs are tested in one

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import zlib
 from collections.abc import Callable, Iterable, Mapping, Sequence
-from functools import reduce
 from typing import Any
 
 from pyspark.ml import Estimator, Model
@@ -17,7 +18,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import KEYS, Keys, require_some
@@ -63,16 +64,26 @@ def scaled_min_leaf(min_leaf: int, ratio: float) -> int:
     return max(1, round(min_leaf / ratio))
 
 
+def scaled_min_leaf_column(min_leaf: Column, ratio: float) -> Column:
+    """The same for a column of sizes, of any size."""
+    if ratio <= 0:
+        raise ValueError("the sampling ratio must be positive")
+    return F.greatest(F.lit(1), F.rint(min_leaf / F.lit(float(ratio))).cast("int"))
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
 def fit_seeds(matrix: DataFrame, maker: Maker, seeds: Iterable[int], folder: str | None = None) -> dict[int, Model]:
-    """One model per seed. With ``folder`` they are saved there, and a model already there is not trained again."""
+    """One model per seed. With ``folder`` they are saved there, and a model already there is not trained again.
+
+    A saved model is known by its learner, parameters, features and seed; a folder belongs to one training table.
+    """
     spark, models = matrix.sparkSession, {}
     for seed in seeds:
-        path = f"{folder}/model-{seed}" if folder else None
+        path = f"{folder}/model-{seed}-{_fingerprint(maker(seed), matrix)}" if folder else None
         # a save that was cut short leaves no success mark and is done again
         if path and _exists(spark, f"{path}/metadata/_SUCCESS") and _exists(spark, f"{path}/data/_SUCCESS"):
             models[seed] = _load(path, maker(seed))
@@ -83,6 +94,12 @@ def fit_seeds(matrix: DataFrame, maker: Maker, seeds: Iterable[int], folder: str
     return models
 
 
+def _fingerprint(estimator: Estimator, matrix: DataFrame) -> str:
+    params = sorted((p.name, repr(v)) for p, v in estimator.extractParamMap().items())
+    columns = json.dumps(matrix.schema[FEATURES].metadata, sort_keys=True)
+    return f"{zlib.crc32(repr((type(estimator).__name__, params, columns)).encode()):08x}"
+
+
 def _load(path: str, estimator: Estimator) -> Model:
     from pyspark.ml import classification
 
@@ -94,9 +111,15 @@ def probability(model: Model, matrix: DataFrame, keep: Sequence[str]) -> DataFra
 
 
 def score(models: Mapping[int, Model], matrix: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """Long prediction table: ``model``, key columns, ``prob``."""
-    tables = [probability(m, matrix, keep).withColumn("model", F.lit(seed)) for seed, m in models.items()]
-    return reduce(DataFrame.unionByName, tables).select("model", *keep, "prob")
+    """Long prediction table: ``model``, key columns, ``prob``. All models are applied in one pass over the matrix."""
+    wide, entries = matrix, []
+    for number, (seed, model) in enumerate(models.items()):
+        name = f"_probability_{number}"
+        own = model.copy().setProbabilityCol(name).setRawPredictionCol("").setPredictionCol("")
+        wide = own.transform(wide)
+        entries.append(F.struct(F.lit(seed).alias("model"), vector_to_array(name)[1].alias("prob")))
+    long = wide.select(*keep, F.explode(F.array(*entries)).alias("_s"))
+    return long.select(F.col("_s.model").alias("model"), *keep, F.col("_s.prob").alias("prob"))
 
 
 def node_table(spark: SparkSession, model: Model, path: str) -> DataFrame:
@@ -109,6 +132,7 @@ def node_table(spark: SparkSession, model: Model, path: str) -> DataFrame:
         nodes = nodes.select(F.lit(0).alias("tree"), "*")
     split = F.col("split")
     return nodes.select("tree", F.col("id").alias("node"), (F.col("leftChild") < 0).alias("leaf"), "impurity",
+                        F.col("rawCount").alias("rows"),
                         F.when(F.col("leftChild") >= 0, split.featureIndex).alias("feature"),
                         F.when((F.col("leftChild") >= 0) & (split.numCategories == -1),
                                split.leftCategoriesOrThreshold[0]).alias("threshold"))
@@ -131,6 +155,16 @@ def importances(spark: SparkSession, model: Model, features: Sequence[str], top:
     return spark.createDataFrame(rows, "feature string, importance double")
 
 
+def split_importances(nodes: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Features by how often the trees split on them, and by the rows that those splits saw; unused ones have 0."""
+    names = F.array(*[F.lit(f) for f in features])
+    used = nodes.filter(F.col("feature").isNotNull()).groupBy("feature").agg(F.count(F.lit(1)).alias("splits"), F.sum("rows").alias("cover"))
+    every = nodes.sparkSession.range(len(features)).withColumnRenamed("id", "feature")
+    return every.join(used, "feature", "left").select(
+        F.get(names, F.col("feature").cast("int")).alias("feature"),
+        F.coalesce("splits", F.lit(0)).alias("splits"), F.coalesce("cover", F.lit(0)).cast("long").alias("cover"))
+
+
 def leaf_features(train: DataFrame, df: DataFrame, features: Sequence[str], keep: Sequence[str], n_trees: int = 20,
                   depth: int = 4, seed: int = 1, prefix: str = "rf") -> DataFrame:
     """0/1 columns ``rf_{tree}_{leaf}`` of a forest's leaves.
@@ -240,6 +274,8 @@ def search(train: DataFrame, validate: DataFrame, features: Sequence[str], make:
     matrix = materialize(assemble(train, features, [LABEL]), "train")
     target = materialize(assemble(validate, features, [*keys.pair, LABEL]), "validate")
     rows, n_train = [], matrix.count()
+    if not n_train or target.isEmpty():
+        raise ValueError("search needs rows to train and to validate on")
     for number, setting in enumerate(settings):
         if fits and not fits(setting, n_train):
             rows.append((number, {k: float(v) for k, v in setting.items()}, None, None, "PRUNED"))
@@ -254,8 +290,9 @@ def search(train: DataFrame, validate: DataFrame, features: Sequence[str], make:
 
 
 def auc(df: DataFrame, prob: str, label: str = LABEL) -> float:
+    """Area under the curve over all distinct scores."""
     scored = df.select(F.col(prob).cast("double").alias("p"), F.col(label).cast("double").alias("y"))
-    return BinaryClassificationEvaluator(rawPredictionCol="p", labelCol="y").evaluate(scored)
+    return BinaryClassificationEvaluator(rawPredictionCol="p", labelCol="y", numBins=0).evaluate(scored)
 
 
 def depth_sweep(train: DataFrame, test: DataFrame, features: Sequence[str], depths: Iterable[int],

@@ -19,19 +19,37 @@ from functools import reduce
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CELL, SUB, POINT, KEY, TIE = "_cell", "_sub", "_point", "_key", "_tie"
 EXACT_LONG = float(2**53)
 
 
 def default_cells(spark: SparkSession) -> int:
-    """A few cells per shuffle task."""
-    return max(32, min(8192, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    """A few cells per shuffle task, however many tasks there are."""
+    return max(32, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def _edges(quantiles: Sequence[float], extra: Sequence[float] = ()) -> tuple[list[float], list[int]]:
+def _ordered_number(df: DataFrame, column: str) -> Column:
+    """A double that never falls where the column rises; it only has to spread the rows.
+
+    Strings count by their first six bytes, as Spark orders them by bytes.
+    """
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.StringType):
+        return F.conv(F.rpad(F.hex(F.substring(F.col(column).cast("binary"), 1, 6)), 12, "0"), 16, 10).cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(column).cast("double")
+    if isinstance(kind, (T.NumericType, T.BooleanType, T.TimestampType)):
+        return F.col(column).cast("double")
+    if isinstance(kind, T.TimestampNTZType):
+        return F.unix_micros(F.col(column).cast("timestamp")).cast("double")
+    return F.lit(0.0)
+
+
+def _edges(quantiles: Sequence[float], extra: Sequence[float] = (), limit: float = EXACT_LONG) -> tuple[list[float], list[int]]:
     """Cell borders, and the cells that hold exactly one value."""
-    frequent = {v for v, times in Counter(quantiles).items() if times > 1 and abs(v) < EXACT_LONG}
+    frequent = {v for v, times in Counter(quantiles).items() if times > 1 and abs(v) < limit}
     frequent |= set(extra)
     cuts = set(quantiles) | frequent | {math.nextafter(v, math.inf) for v in frequent}
     borders = [-math.inf, *sorted(c for c in cuts if math.isfinite(c)), math.inf]
@@ -50,11 +68,16 @@ def _in(column: Column, values: Sequence[int]) -> Column:
     return column.isin(list(values)) if values else F.lit(False)
 
 
+def _is_double(df: DataFrame, column: str) -> bool:
+    """Large longs share a double, so one double is one value only if the column holds doubles."""
+    return isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType))
+
+
 def with_cells(df: DataFrame, key: Column, tie: str | None = None, uniform: bool = False,
-               cells: int | None = None) -> DataFrame:
+               cells: int | None = None, exact: bool = False) -> DataFrame:
     """Add the ordering key as double, its cell, the sub-cell and whether the cell is a single value.
 
-    ``uniform`` says the key is a hash in [0, 1), which needs no look at the data. Without ``tie`` the
+    ``exact`` says the key came from a double. ``uniform`` says the key is a hash in [0, 1), which needs no look at the data. Without ``tie`` the
     sub-cell of a single-value cell is a mere salt.
     """
     n = cells or default_cells(df.sparkSession)
@@ -65,10 +88,10 @@ def with_cells(df: DataFrame, key: Column, tie: str | None = None, uniform: bool
     rows = [c for c in df.columns if c != KEY]
     looked_at = [KEY]
     if tie is not None:
-        df = df.withColumn(TIE, F.col(tie).cast("double"))
+        df = df.withColumn(TIE, _ordered_number(df, tie))
         looked_at.append(TIE)
     quantiles = df.select(*looked_at).approxQuantile(looked_at, [i / n for i in range(1, n)], 1 / (4 * n))
-    borders, points = _edges(quantiles[0])
+    borders, points = _edges(quantiles[0], limit=math.inf if exact else EXACT_LONG)
     # nulls, all equal to each other, go to a last cell of their own
     last = len(borders) - 1
     point = _in(F.col(CELL), [*points, last])
@@ -115,7 +138,8 @@ def running_totals(
     order = [F.col(value).desc() if descending else F.col(value).asc(), *[F.col(t) for t in ties]]
     keep = df.columns
     key = F.col(value).cast("double")
-    work = with_cells(df, -key if descending else key, tie=ties[0] if ties else None, uniform=uniform, cells=cells)
+    work = with_cells(df, -key if descending else key, tie=ties[0] if ties else None, uniform=uniform, cells=cells,
+                      exact=_is_double(df, value))
     place = [*by, CELL, SUB]
     totals = work.groupBy(*place).agg(F.count(F.lit(1)).alias("_n"),
                                       *[F.sum(c).alias(f"_sum_{out}") for out, c in sums.items()])
@@ -146,7 +170,7 @@ def running_totals(
 
 def rank_counts(df: DataFrame, value: str, by: Sequence[str], cells: int | None = None) -> DataFrame:
     """Add ``_rank`` (ties share the lowest), ``_ties`` and ``_size`` of each row within its group."""
-    return rank_counts_in_cells(with_cells(df, F.col(value), cells=cells), value, by)
+    return rank_counts_in_cells(with_cells(df, F.col(value), cells=cells, exact=_is_double(df, value)), value, by)
 
 
 def rank_counts_in_cells(work: DataFrame, value: str, by: Sequence[str]) -> DataFrame:

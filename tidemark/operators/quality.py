@@ -21,14 +21,15 @@ def _month_all_zero(df: DataFrame, columns: Sequence[str], month: str) -> DataFr
 def repair_zero_months(df: DataFrame, columns: Sequence[str] | None = None, keys: Keys = KEYS) -> DataFrame:
     """Null out a column in the months where all its known values are 0.
 
-    One map-side combined pass gives a row per calendar month; that table is broadcast.
+    One map-side combined pass gives a row per calendar month; that table is broadcast. Rows without a month
+    keep their values.
     """
     columns = list(columns) if columns is not None else numeric_columns(df, [keys.id, keys.month, keys.period])
     require_some(columns, "repair_zero_months")
     flags = _month_all_zero(df, columns, keys.month)
     joined = df.join(F.broadcast(flags), keys.month, "left")
     return joined.select(*[
-        F.when(~F.col(f"_zero_{c}"), F.col(c)).alias(c) if c in columns else F.col(c) for c in df.columns])
+        F.when(~F.coalesce(F.col(f"_zero_{c}"), F.lit(False)), F.col(c)).alias(c) if c in columns else F.col(c) for c in df.columns])
 
 
 def zero_month_report(df: DataFrame, columns: Sequence[str], keys: Keys = KEYS) -> DataFrame:

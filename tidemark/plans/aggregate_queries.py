@@ -82,6 +82,15 @@ def _(t):
     return gain.confusion(t.scored().withColumn("p", (F.col("prob") > 0.6).cast("int")), "p", "y")
 
 
+@query("a8_guarded_rates", sql("""SELECT *, 2 * "precision" * recall / ("precision" + recall + 1e-10) AS f1 FROM (
+  SELECT *, CAST(tp + tn AS DOUBLE) / (tp + fp + tn + fn) AS accuracy, tp / (tp + fp + 1e-10) AS "precision", tp / (tp + fn + 1e-10) AS recall FROM (
+  SELECT count(*) FILTER (p AND y = 1) AS tp, count(*) FILTER (p AND y = 0) AS fp, count(*) FILTER (NOT p AND y = 0) AS tn,
+    count(*) FILTER (NOT p AND y = 1) AS fn FROM (SELECT *, prob > 2 AS p FROM scored)))""", SCORED))
+def _(t):
+    """Nothing is predicted: the guard keeps the rates at 0."""
+    return gain.confusion(t.scored().withColumn("p", (F.col("prob") > 2).cast("int")), "p", "y", guard=1e-10)
+
+
 @query("a9_rates_by_model", sql(f"""SELECT *, {_F1} FROM (SELECT *, {_RATES} FROM (
   SELECT model, count(*) FILTER (p AND y = 1) AS tp, count(*) FILTER (p AND y = 0) AS fp, count(*) FILTER (NOT p AND y = 0) AS tn,
     count(*) FILTER (NOT p AND y = 1) AS fn

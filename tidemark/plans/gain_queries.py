@@ -121,6 +121,13 @@ def _(t):
     return gain.label_top(t.scored(), "prob", TIES, 1000)
 
 
+@query("g10_label_top_null_scores", sql("""SELECT id, mes, prob, CASE WHEN pos <= (SELECT count(*) - 100 FROM scored) THEN 1 ELSE 0 END AS Predicted FROM (
+  SELECT id, mes, prob, row_number() OVER (ORDER BY prob DESC NULLS LAST, id, mes) AS pos FROM (SELECT id, mes, CASE WHEN id % 3 > 0 THEN prob END AS prob FROM scored))""", SCORED))
+def _(t):
+    df = t.scored().select("id", "mes", F.when(F.col("id") % 3 > 0, F.col("prob")).alias("prob"))
+    return gain.label_top(df, "prob", TIES, df.count() - 100)
+
+
 @query("g11_label_by_thresholds", sql("""SELECT id, mes, prob, CAST(umbral AS DOUBLE) AS umbral, CAST(prob >= umbral AS INTEGER) AS Predicted
 FROM scored, (SELECT unnest([0.025e0, 0.25e0, 0.9e0]) AS umbral)""", SCORED))
 def _(t):

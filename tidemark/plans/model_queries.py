@@ -83,6 +83,29 @@ def _(t):
     return modeling.importances(t.spark, models[SEEDS[0]], FEATURES, 5)
 
 
+def forced_tree(t):
+    """A tree that one column decides: customers with two or more orders in the month."""
+    names = ["c_total", "mes"]
+    matrix = modeling.assemble(t.panel().withColumn("target", (F.col("c_total") >= 2).cast("int")), names, ["target"])
+    model = modeling.single_tree(maxDepth=3, minInstancesPerNode=1)(1).fit(matrix)
+    return modeling.node_table(t.spark, model, scratch_path(t.spark, "tree")), names
+
+
+@query("m6_split_importances", sql("SELECT 'c_total' AS feature, CAST(1 AS BIGINT) AS splits, count(*) AS cover FROM panel UNION ALL SELECT 'mes', 0, 0"))
+def _(t):
+    return modeling.split_importances(*forced_tree(t))
+
+
+@query("d9_forced_split_point", sql("SELECT 1.5e0 AS threshold, CAST(1 AS BIGINT) AS n"))
+def _(t):
+    return modeling.split_points(*forced_tree(t), "c_total")
+
+
+@query("d11_forced_tree_shape", sql("SELECT 0 AS tree, CAST(3 AS BIGINT) AS nodes, CAST(2 AS BIGINT) AS leaves"))
+def _(t):
+    return modeling.tree_shapes(forced_tree(t)[0])
+
+
 @query("m7_cross_validate")
 def _(t):
     return modeling.cross_validate(sets(t)[0], FEATURES, ["target"], modeling.single_tree(), {"maxDepth": [2, 4]}, folds=3)
@@ -106,9 +129,13 @@ def _(t):
 
 @query("m11_scaled_min_leaf", sql("SELECT id, mes, CAST(greatest(1, round_even(c_total / 0.25e0, 0)) AS INTEGER) AS hoja FROM panel"))
 def _(t):
-    sizes = {n: modeling.scaled_min_leaf(n, 0.25) for n in range(0, 200)}
-    table = F.array(*[F.lit(v) for v in sizes.values()])
-    return t.panel().select("id", "mes", F.get(table, F.col("c_total").cast("int")).alias("hoja"))
+    return t.panel().select("id", "mes", modeling.scaled_min_leaf_column(F.col("c_total"), 0.25).alias("hoja"))
+
+
+@query("m11_scaled_amounts", sql("SELECT id, mes, CAST(greatest(1, round_even((m_total // 1000) / 0.1e0, 0)) AS INTEGER) AS hoja FROM panel"))
+def _(t):
+    """Sizes far beyond the usual ones."""
+    return t.panel().select("id", "mes", modeling.scaled_min_leaf_column(F.expr("m_total div 1000"), 0.1).alias("hoja"))
 
 
 @query("m12_auc")

@@ -50,7 +50,7 @@ def _(t):
 def prediction_tree(t) -> str:
     """Prediction files of several runs: production files lack the running gain."""
     root = scratch_path(t.spark, "predictions")
-    for m in range(1, 4):
+    for m in range(1, 6):
         run = curves(t).filter(F.col("model") == m).select("id", "mes", F.col("model").alias("meta_modelo"), "prob", "gan_acum")
         run = run if m < 3 else run.drop("gan_acum")
         writers.write_csv(run.coalesce(2), f"{root}/exp{m}", sep="\t")
@@ -58,13 +58,13 @@ def prediction_tree(t) -> str:
 
 
 @query("s4_read_predictions", sql("""SELECT 'exp' || model AS modelo, id, mes, model AS meta_modelo, prob,
-  CASE WHEN model < 3 THEN gan_acum END AS gan_acum FROM curves WHERE model <= 3""", SCORES, CURVES))
+  CASE WHEN model < 3 THEN gan_acum END AS gan_acum FROM curves""", SCORES, CURVES))
 def _(t):
-    rows = readers.read_predictions(t.spark, prediction_tree(t), "*.csv", first_column="id")
+    rows = readers.read_predictions(t.spark, prediction_tree(t), "*.csv")
     return rows.withColumns({"id": F.col("id").cast("long"), "gan_acum": F.col("gan_acum").cast("long")})
 
 
-@query("s5_rows_per_file", sql("SELECT 'exp' || model AS modelo, count(*) AS filas FROM scores WHERE model <= 3 GROUP BY model", SCORES))
+@query("s5_rows_per_file", sql("SELECT 'exp' || model AS modelo, count(*) AS filas FROM scores GROUP BY model", SCORES))
 def _(t):
     counts = readers.rows_per_file(t.spark, prediction_tree(t), "*.csv")
     return counts.groupBy(F.regexp_extract("archivo", r"([^/]+)/[^/]+$", 1).alias("modelo")).agg(F.sum("filas").alias("filas"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: str = "8", memory: str = "20g") -> SparkSession:
-    """Session for tests and for the bench; a cluster brings its own."""
+    """Session for tests and for the bench, with a scratch folder of its own; a cluster brings its own."""
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("tidemark")
@@ -18,6 +18,7 @@ def local_session(cpus: str = "8", memory: str = "20g") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidemark-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -25,13 +26,13 @@ def local_session(cpus: str = "8", memory: str = "20g") -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Folder the cluster shares (``spark.checkpoint.dir``); a private one only where it is unset."""
+    """Folder the cluster shares (``spark.checkpoint.dir``); where it is unset in local mode, one in the warehouse."""
     context = spark.sparkContext
     root = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
         if not context.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
-        root = tempfile.mkdtemp(prefix="tidemark-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(root)
     return root

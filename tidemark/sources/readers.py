@@ -52,17 +52,21 @@ def _listing(spark: SparkSession, root: str, pattern: str):
 
 
 def read_predictions(spark: SparkSession, root: str, pattern: str = "*", sep: str = "\t",
-                     first_column: str = "numero_de_cliente", model: str = "modelo") -> DataFrame:
+                     model: str = "modelo") -> DataFrame:
     """All prediction files below a folder, each row tagged with the folder its file lies in.
 
-    Files may have different columns: those with the same header line are read together, the few layouts
-    are stacked, and columns a layout lacks are null.
+    Files may have different columns, in any order: those with the same first line are read together, the few
+    layouts are stacked, and columns a layout lacks are null. Empty files have no rows.
     """
     path = F.col("_metadata.file_path")
-    lines = _listing(spark, root, pattern).text(root).select("value", path.alias("path"))
-    headers = lines.filter(F.col("value").startswith(first_column + sep)).groupBy("value").agg(F.collect_set("path"))
+    # the rows of a file's first part are numbered in their order
+    lines = _listing(spark, root, pattern).text(root).filter("_metadata.file_block_start = 0")
+    lines = lines.select("value", path.alias("path"), F.monotonically_increasing_id().alias("at"))
+    layouts: dict[str, list[str]] = {}
+    for name, header in lines.groupBy("path").agg(F.min_by("value", "at")).collect():
+        layouts.setdefault(header, []).append(name)
     stacked = None
-    for _, files in headers.orderBy("value").collect():
+    for _, files in sorted(layouts.items()):
         rows = (spark.read.option("header", True).option("sep", sep).option("inferSchema", True).csv(sorted(files))
                 .withColumn(model, F.regexp_extract(path, r"([^/]+)/[^/]+$", 1)))
         stacked = rows if stacked is None else stacked.unionByName(rows, allowMissingColumns=True)
@@ -72,9 +76,14 @@ def read_predictions(spark: SparkSession, root: str, pattern: str = "*", sep: st
 
 
 def rows_per_file(spark: SparkSession, root: str, pattern: str = "*", sep: str = "\t") -> DataFrame:
-    """Data rows of every file below a folder."""
+    """Data rows of every file below a folder; 0 for files with a header only, or with nothing."""
+    path = F.regexp_replace("_metadata.file_path", "^file:/+", "file:///").alias("archivo")
+    # the listing that the driver holds for any read names empty files too
+    names = _listing(spark, root, pattern).text(root).inputFiles()
+    files = spark.createDataFrame([(re.sub("^file:/+", "file:///", n),) for n in names], "archivo string")
     df = _listing(spark, root, pattern).option("header", True).option("sep", sep).csv(root)
-    return df.groupBy(F.col("_metadata.file_path").alias("archivo")).agg(F.count(F.lit(1)).alias("filas"))
+    counts = df.groupBy(path).agg(F.count(F.lit(1)).alias("filas"))
+    return files.join(counts, "archivo", "left").select("archivo", F.coalesce("filas", F.lit(0)).alias("filas"))
 
 
 def read_trials(spark: SparkSession, path: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -43,6 +43,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def by_hash(df: DataFrame, key: Column, rows: int, total: int) -> DataFrame:
+    """About ``rows`` of ``total`` rows, never more, chosen by a hash of ``key``; all if there are no more."""
+    if total <= rows:
+        return df
+    share = 1 << 20
+    return df.where(F.pmod(F.xxhash64(key), F.lit(share)) < int(share * 0.95 * rows / total)).limit(rows)
+
+
 def arrow_map(df: DataFrame, schema: str, rows: Callable[[Iterator[dict]], Iterable[tuple]] | None = None, size: int = 2000) -> DataFrame:
     """``mapInArrow`` from an iterator of row dicts to tuples in the order of ``schema``, in batches of at most ``size``."""
     fields = df.sparkSession.createDataFrame([], schema).schema

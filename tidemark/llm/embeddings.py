@@ -20,9 +20,9 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, arrow_map, components
+from .common import Scratch, arrow_map, by_hash, components
 
-#: Vectors the basis is fitted on (those with the smallest hashes), and the bytes they may have together.
+#: Vectors the basis is fitted on (chosen by their hashes), and the bytes they may have together.
 SAMPLE_ROWS, SAMPLE_BYTES = 20_000, 32 << 20
 DIMENSIONS = 6
 BLOCK_BYTES = 1 << 20
@@ -58,9 +58,8 @@ def _parse(vectors: DataFrame) -> DataFrame:
 
 def _bases(classes: DataFrame) -> dict[int, np.ndarray]:
     """Leading principal directions for each vector length that occurs in the sample."""
-    sample = classes.select("vec", "dim").orderBy(F.xxhash64("vec")).limit(SAMPLE_ROWS)
-    widest = classes.agg(F.max("dim")).first()[0] or 1
-    sample = sample.limit(max(100, min(SAMPLE_ROWS, SAMPLE_BYTES // (8 * widest))))
+    seen = classes.agg(F.max("dim").alias("widest"), F.count("*").alias("n")).first()
+    sample = by_hash(classes.select("vec", "dim"), F.col("vec"), max(100, min(SAMPLE_ROWS, SAMPLE_BYTES // (8 * (seen["widest"] or 1)))), seen["n"])
     by: dict[int, list[np.ndarray]] = {}
     for r in sample.collect():
         by.setdefault(r["dim"], []).append(unit(bytes(r["vec"])))

@@ -143,6 +143,24 @@ def count_words(docs: DataFrame) -> DataFrame:
     return arrow_map(docs, "word binary, n long", rows, size=50_000).groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def _most_frequent(counts: DataFrame) -> list[tuple[bytes, int]]:
+    """At most ``HELD`` words, the most frequent first: all from the least count that so many words reach.
+
+    That count is found from the numbers of words per step of counts, so only the words kept are sent.
+    """
+    step = F.floor(F.log2("n") * 16)
+    sizes = sorted(((r["s"], r["words"], r["least"]) for r in counts.groupBy(step.alias("s")).agg(F.count("*").alias("words"), F.min("n").alias("least")).collect()), reverse=True)
+    total, least = 0, None
+    for _, words, low in sizes:
+        total += words
+        if total > HELD:
+            break
+        least = low
+    if least is None:
+        return []
+    return sorted(((bytes(r["word"]), r["n"]) for r in counts.where(F.col("n") >= least).collect()), key=lambda x: (-x[1], x[0]))
+
+
 def scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, held_out, n_tokens, n_known, train_tokens, base_score, score`` for every row; scores are log10.
 
@@ -161,7 +179,7 @@ def scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -
     ends = source.where("not held").count()
     total = counts.agg(F.count("*").alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
     tokens, distinct = total["n"] + ends, total["v"] + (ends > 0)
-    top = [(bytes(r["word"]), r["n"]) for r in counts.orderBy(F.col("n").desc(), "word").limit(HELD).collect()]
+    top = _most_frequent(counts)
     frequent = {w for w, _ in top[:FREQUENT]}
 
     # sizes of the classes: all words less the frequent ones

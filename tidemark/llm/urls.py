@@ -13,9 +13,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, by_hash
 
-#: Distinct labelled URLs used for training; beyond it those with the smallest hashes.
+#: Distinct labelled URLs used for training; beyond it about as many, chosen by hash.
 TRAINING_ROWS = 100_000
 RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block"))
 FEATURES = ["length", "host_length", "path_length", "depth", "labels", "digits", "marks", "entropy", "parameters", "query_length", "has_fragment", "hyphens", "suffix_rate", "part_rate", "page_suffix"]
@@ -74,7 +74,7 @@ def judge(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", ru
     Null URLs and URLs without ``://`` have an empty host and path, fit no rule and are judged by the
     trees like all others without a rule. With no labelled URL, or labels of one kind only, every such URL
     gets that kind (``allow`` without any). Repeated rows and null ids give a row each; other columns are
-    not read. At most ``training_rows`` distinct labelled URLs train the trees, those with the smallest hashes.
+    not read. At most ``training_rows`` distinct labelled URLs train the trees, chosen by hash.
     """
     scratch = Scratch(pages.sparkSession, "urls")
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"))
@@ -89,7 +89,7 @@ def judge(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", ru
         out = rows.withColumn("p_block", F.lit(1.0 if seen["n"] and seen["blocked"] else 0.0))
     else:
         base = seen["blocked"] / seen["n"]
-        known = scratch.keep(known.orderBy(F.xxhash64("url")).limit(training_rows) if seen["n"] > training_rows else known)
+        known = scratch.keep(by_hash(known, F.col("url"), training_rows, seen["n"]))
         smoothed = lambda key: known.groupBy(key).agg(((F.sum("label") + 10 * base) / (F.count("*") + 10)).alias(f"{key}_rate")).where(F.col(key) != "")
         rates = {key: scratch.keep(smoothed(key)) for key in ("suffix", "part")}
 

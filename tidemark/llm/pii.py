@@ -12,9 +12,10 @@ overlaps no pattern span.
 from __future__ import annotations
 
 import hashlib
-import math
 import random
 import re
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -33,7 +34,7 @@ LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 #: Stretches that train the field; those with the smallest hashes in the corpus.
 TRAINING = 300
 SPAN = 16
-MARGIN = 4.0
+MARGIN = 2.0
 BUCKETS = 1 << 12
 TOKEN = re.compile(r"[0-9]+|[A-Za-zÀ-ɏ]+|[^\sA-Za-zÀ-ɏ0-9]")
 #: A stretch: tokens with digits or at-signs and what joins them, with three words around.
@@ -104,11 +105,21 @@ class Stretch:
         self.tokens = [m.span() for m in TOKEN.finditer(text)]
 
     def candidates(self):
-        """(first token, end token, span features): spans with a digit that begin and end with a letter, digit, plus or bracket."""
+        """(first token, end token, span features) of the spans that may be an entity.
+
+        They begin and end with a letter or digit (or begin with a plus or bracket) outside of a run, and
+        hold either letters and an at-sign (or words for it and the dot), or no letters and four numbers or
+        nine to 24 digits.
+        """
         text, tokens = self.text, self.tokens
         good = [text[a].isalnum() for a, _ in tokens]
         digit = [text[a] in "0123456789" for a, _ in tokens]
-        count = np.concatenate([[0], np.cumsum([b - a if d else 0 for (a, b), d in zip(tokens, digit)])]).tolist()
+        sums = lambda xs: [0, *accumulate(xs)]
+        count = sums(b - a if d else 0 for (a, b), d in zip(tokens, digit))
+        numbers = sums(digit)
+        letters = sums(g and not d for g, d in zip(good, digit))
+        signs = sums(text[a] == "@" for a, _ in tokens)
+        ats, dots = (sums(text[a:b] == w for a, b in tokens) for w in ("at", "dot"))
         for i in range(len(tokens)):
             if not (good[i] or text[tokens[i][0]] in "+("):
                 continue
@@ -119,12 +130,17 @@ class Stretch:
                     continue
                 if j < len(tokens) and tokens[j][0] == tokens[j - 1][1] and good[j]:
                     continue
+                if letters[j] > letters[i]:
+                    if signs[j] == signs[i] and (ats[j] == ats[i] or dots[j] == dots[i]):
+                        continue
+                elif count[j] - count[i] > 24:
+                    break
+                elif count[j] - count[i] < 9 and numbers[j] - numbers[i] != 4:
+                    continue
                 a, b = tokens[i][0], tokens[j - 1][1]
                 part = text[a:b]
                 if "\n" in part or b - a > 80:
                     break
-                if count[j] - count[i] < 4 and "@" not in part and not (" at " in part and " dot " in part):
-                    continue
                 yield i, j, self.features(a, b, part, count[j] - count[i])
 
     def features(self, a: int, b: int, part: str, n: int) -> list[int]:
@@ -268,9 +284,20 @@ def find(text: str, field: Field) -> tuple[list[tuple[int, int, int]], list[tupl
     """Pattern spans, and the spans that the field adds."""
     base = sorted(base_spans(text))
     added = []
-    taken = sorted((a, b) for _, a, b in base)
+    taken: list[tuple[int, int]] = []  # without overlaps
+    for a, b in sorted((a, b) for _, a, b in base):
+        if taken and a < taken[-1][1]:
+            taken[-1] = (taken[-1][0], max(b, taken[-1][1]))
+        else:
+            taken.append((a, b))
+    starts, ends = [t[0] for t in taken], [t[1] for t in taken]
+
+    def free(x: int, z: int) -> bool:
+        k = bisect_left(starts, z) - 1
+        return k < 0 or ends[k] <= x
+
     for a, b in stretches(text):
-        inside = [t for t in taken if t[0] < b and t[1] > a]
+        inside = taken[bisect_right(ends, a) : bisect_left(starts, b)]
         if not _open_core(text, a, b, inside):
             continue
         # cut words at the border are no tokens of the stretch
@@ -279,7 +306,7 @@ def find(text: str, field: Field) -> tuple[list[tuple[int, int, int]], list[tupl
         while b < len(text) and text[b].isalnum() and b > a and text[b - 1].isalnum():
             b -= 1
         s = Stretch(text[a:b])
-        spans = [x for x in field.scored(s) if not any(s.tokens[x[0]][0] + a < t[1] and s.tokens[x[1] - 1][1] + a > t[0] for t in inside)]
+        spans = [x for x in field.scored(s) if free(s.tokens[x[0]][0] + a, s.tokens[x[1] - 1][1] + a)]
         for k, i, j, score in field.best(s, spans):
             if score >= MARGIN:
                 added.append((k, s.tokens[i][0] + a, s.tokens[j - 1][1] + a))

@@ -16,17 +16,15 @@ from __future__ import annotations
 import codecs
 import hashlib
 import json
-import sys
 import unicodedata
 from array import array
 from collections.abc import Iterable, Iterator
-from types import ModuleType
 
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map
+from .common import arrow_map, worker_state
 
 #: White space of the pattern language in which the tokenizer files state their rules.
 SPACE = "\t-\r \x85\xa0  -     　"
@@ -265,11 +263,7 @@ class Decoder:
 
 def worker_encoder(text: str) -> Encoder:
     """The encoder of this worker process: what it has learned about frequent words serves later tasks too."""
-    home = sys.modules.setdefault("tidemark_worker_state", ModuleType("tidemark_worker_state"))
-    held = getattr(home, "encoder", None)
-    if held is None or held[0] != text:
-        home.encoder = held = (text, Encoder(Vocabulary(text)))
-    return held[1]
+    return worker_state("bpe", text, lambda: Encoder(Vocabulary(text)))
 
 
 def _vocabulary(docs: DataFrame, path: str):
@@ -290,7 +284,7 @@ def encode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str
         for r in source:
             yield r["doc"], encoder(r["text"]).tolist()
 
-    out = arrow_map(docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")), "doc long, ids array<int>", rows, size=100)
+    out = arrow_map(docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")), "doc long, ids array<int>", rows, size=100, state="bpe")
     return out.withColumnRenamed("doc", id_col)
 
 
@@ -304,7 +298,7 @@ def decode(tokens: DataFrame, path: str, *, id_col: str = "doc_id", ids_col: str
             machine = Decoder(vocabulary, mode)
             yield r["doc"], machine.feed(r["ids"] or []) + machine.finish()
 
-    out = arrow_map(tokens.select(F.col(id_col).cast("long").alias("doc"), F.col(ids_col).alias("ids")), "doc long, text string", rows, size=100)
+    out = arrow_map(tokens.select(F.col(id_col).cast("long").alias("doc"), F.col(ids_col).alias("ids")), "doc long, text string", rows, size=100, state="bpe")
     return out.withColumnRenamed("doc", id_col)
 
 
@@ -328,5 +322,5 @@ def digests(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str
             yield r["doc"], n, a.hexdigest(), b.hexdigest()
 
     schema = "doc long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    out = arrow_map(docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")), schema, rows)
+    out = arrow_map(docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")), schema, rows, state="bpe")
     return out.withColumnRenamed("doc", id_col)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import gc
+import sys
 from collections.abc import Callable, Iterable, Iterator
+from types import ModuleType
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,8 +54,30 @@ def by_hash(df: DataFrame, key: Column, rows: int, total: int) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(key), F.lit(share)) < int(share * 0.95 * rows / total)).limit(rows)
 
 
-def arrow_map(df: DataFrame, schema: str, rows: Callable[[Iterator[dict]], Iterable[tuple]] | None = None, size: int = 2000) -> DataFrame:
-    """``mapInArrow`` from an iterator of row dicts to tuples in the order of ``schema``, in batches of at most ``size``."""
+def worker_state(name: str, tag, make: Callable):
+    """Something built once per worker process for what was sent; it stays until another operator's turn."""
+    home = sys.modules.setdefault("tidemark_worker_state", ModuleType("tidemark_worker_state"))
+    held = getattr(home, "held", None)
+    if held is None or held[:2] != (name, tag):
+        home.held = held = None  # the old one goes before the new one is made
+        home.held = held = (name, tag, make())
+    return held[2]
+
+
+def forget_worker_state(keep: str | None) -> None:
+    """Workers serve many jobs: what an earlier operator left does not stay in memory."""
+    home = sys.modules.get("tidemark_worker_state")
+    held = getattr(home, "held", None)
+    if held is not None and held[0] != keep:
+        home.held = held = None
+        gc.collect()
+
+
+def arrow_map(df: DataFrame, schema: str, rows: Callable[[Iterator[dict]], Iterable[tuple]] | None = None, size: int = 2000, state: str | None = None) -> DataFrame:
+    """``mapInArrow`` from an iterator of row dicts to tuples in the order of ``schema``, in batches of at most ``size``.
+
+    ``state`` names the worker state that ``rows`` uses.
+    """
     fields = df.sparkSession.createDataFrame([], schema).schema
     names = fields.names
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -60,6 +85,8 @@ def arrow_map(df: DataFrame, schema: str, rows: Callable[[Iterator[dict]], Itera
     arrow = to_arrow_schema(fields)
 
     def run(batches):
+        forget_worker_state(state)
+
         def source():
             for batch in batches:
                 for start in range(0, batch.num_rows, 256):

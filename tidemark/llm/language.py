@@ -16,16 +16,14 @@ stay in a table; only the most frequent words go to the tasks, all others are lo
 from __future__ import annotations
 
 import math
-import sys
 import zlib
 from collections import Counter
-from types import ModuleType
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, arrow_map
+from .common import Scratch, arrow_map, worker_state
 
 FREQUENT, CLASSES, HELD = 1500, 256, 200_000
 OUTCOMES = FREQUENT + 1 + CLASSES
@@ -215,7 +213,7 @@ def scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -
 
     rows = source.withColumn("row", F.monotonically_increasing_id()).withColumn("part", F.pmod(F.xxhash64("text", "doc"), F.lit(sum(ROUNDS))))
     schema = f"row long, doc {kind}, held boolean, part long, n_tokens long, n_held long, log_n double, log_share double, ids binary, rare array<struct<word:binary,n:int>>"
-    coded = scratch.keep(arrow_map(rows, schema, encode, size=200))
+    coded = scratch.keep(arrow_map(rows, schema, encode, size=200, state="lm_words"))
 
     params = Parameters.start(outcome_n.astype(float))
     done = 0
@@ -230,7 +228,7 @@ def scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -
             yield r["row"], r["doc"], r["held"], r["n_tokens"], r["n_held"], r["log_n"], r["log_share"] + scorer(np.frombuffer(r["ids"], np.uint16).astype(np.int64)) / math.log(10)
 
     schema = f"row long, doc {kind}, held boolean, n_tokens long, n_held long, log_n double, score double"
-    scored = arrow_map(coded.select("row", "doc", "held", "n_tokens", "n_held", "log_n", "log_share", "ids"), schema, score)
+    scored = arrow_map(coded.select("row", "doc", "held", "n_tokens", "n_held", "log_n", "log_share", "ids"), schema, score, state="lm_scorer")
     rare = coded.select("row", F.explode("rare").alias("w")).select("row", F.col("w.word").alias("word"), F.col("w.n").alias("times"))
     rare = rare.join(counts, "word", "left").groupBy("row").agg(F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 1)).alias("rare_log"), F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("rare_known"))
     out = scored.join(rare, "row", "left")
@@ -241,15 +239,6 @@ def scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -
     )
 
 
-def _worker(name: str, tag, make):
-    """Something built once per worker process for what was sent."""
-    home = sys.modules.setdefault("tidemark_worker_state", ModuleType("tidemark_worker_state"))
-    held = getattr(home, name, None)
-    if held is None or held[0] != tag:
-        setattr(home, name, held := (tag, make()))
-    return held[1]
-
-
 def worker_words(sent):
     words, ns, room = sent.value
     log_n = np.append(np.log10(np.array(ns, np.float64) + 1), 0.0)
@@ -257,12 +246,12 @@ def worker_words(sent):
     def make():
         return {w: k for k, w in enumerate(words)}, np.array([k if k < FREQUENT else class_of(w) for k, w in enumerate(words)] + [END], np.int64)
 
-    known, outcome = _worker("lm_words", (len(words), zlib.crc32(b" ".join(words))), make)
+    known, outcome = worker_state("lm_words", (len(words), zlib.crc32(b" ".join(words))), make)
     return known, (log_n, outcome), room
 
 
 def worker_scorer(model) -> Scorer:
-    return _worker("lm_scorer", zlib.crc32(model.value.tobytes()), lambda: Scorer(Parameters.of(model.value)))
+    return worker_state("lm_scorer", zlib.crc32(model.value.tobytes()), lambda: Scorer(Parameters.of(model.value)))
 
 
 def _round(coded: DataFrame, params: Parameters, noise: np.ndarray) -> Parameters:

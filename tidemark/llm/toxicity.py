@@ -15,17 +15,15 @@ rows only are read, and labels, language, source and id are no inputs of a score
 from __future__ import annotations
 
 import math
-import sys
 import zlib
 from collections import Counter
-from types import ModuleType
 
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, arrow_map
+from .common import Scratch, arrow_map, worker_state
 
 #: Labelled rows used for training, of each label those with the smallest hashes.
 TRAINING_TOXIC, TRAINING_OTHER = 6_000, 10_000
@@ -169,16 +167,18 @@ def restore(token: str, model: list, beam: int = 40) -> list[str]:
 class Restorer:
     """Words of tokens; remembers readings for the life of the worker, in bounded memory."""
 
-    def __init__(self, model: np.ndarray, cache: int = 500_000):
+    def __init__(self, model: np.ndarray, cache: int = 100_000):
         self.model, self.cache, self.known = model.tolist(), cache, {}
 
     def words(self, token: str) -> tuple[str, ...]:
+        if plain(token):
+            return (token,)
         held = self.known.get(token)
         if held is None:
             if len(self.known) > self.cache:
                 self.known.clear()
             # very long tokens are read in parts, so the chain of a reading stays short
-            held = (token,) if plain(token) else tuple(w for k in range(0, len(token), 4096) for w in restore(token[k : k + 4096], self.model))
+            held = tuple(w for k in range(0, len(token), 4096) for w in restore(token[k : k + 4096], self.model))
             if len(token) <= 64:
                 self.known[token] = held
         return held
@@ -222,7 +222,7 @@ class Evidence:
     def token(self, token: str) -> float:
         held = self.known.get(token)
         if held is None:
-            if len(self.known) > 500_000:
+            if len(self.known) > 300_000:
                 self.known.clear()
             held = max((self.odds.get(f, 0.0) for w in self.restorer.words(token) for f in pieces(w)), default=0.0)
             if len(token) <= 64:
@@ -282,11 +282,7 @@ class Model:
 
 def worker_evidence(sent) -> Evidence:
     """The evidence tables of this worker process for a model that was sent."""
-    home = sys.modules.setdefault("tidemark_worker_state", ModuleType("tidemark_worker_state"))
-    held = getattr(home, "evidence", None)
-    if held is None or held[0] != sent.value.tag:
-        home.evidence = held = (sent.value.tag, sent.value.evidence())
-    return held[1]
+    return worker_state("toxicity", sent.value.tag, sent.value.evidence)
 
 
 def train(docs: DataFrame, labels: DataFrame, scratch: Scratch, *, id_col: str, text_col: str) -> Model:
@@ -374,5 +370,5 @@ def score(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
             z = sum(a * b for a, b in zip(w, x))
             yield r["doc"], 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
-    out = arrow_map(docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")), f"doc {kind}, score double", rows)
+    out = arrow_map(docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")), f"doc {kind}, score double", rows, state="toxicity")
     return out.select(F.col("doc").alias(id_col), F.coalesce(held_out(F.col("doc")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))

@@ -163,7 +163,7 @@ class Encoder:
 
     WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^" + SPACE + r"\p{L}\p{N}]+")
 
-    def __init__(self, vocabulary: Vocabulary, cache: int = 600_000):
+    def __init__(self, vocabulary: Vocabulary, cache: int = 400_000):
         self.v, self.cache, self.known, self.words = vocabulary, cache, {}, {}
         self.bytes = byte_alphabet()
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(vocabulary.special, key=len, reverse=True))) + ")") if vocabulary.special else None

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import sys
 from collections.abc import Callable, Iterable, Iterator
@@ -14,6 +15,9 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 
+BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
+
+
 class Scratch:
     """Intermediate tables of one operator call, in the folder the cluster shares.
 
@@ -26,7 +30,13 @@ class Scratch:
 
     def keep(self, df: DataFrame) -> DataFrame:
         path = scratch_path(self.spark, self.name)
-        df.write.parquet(path)
+        # texts may be long: small batches bound what a task holds on both sides of the pipe to Python
+        before = self.spark.conf.get(BATCH_SETTING)
+        self.spark.conf.set(BATCH_SETTING, str(min(int(before), BATCH_ROWS) if int(before) > 0 else BATCH_ROWS))
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(BATCH_SETTING, before)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = (out, path)
         return out
@@ -71,6 +81,10 @@ def forget_worker_state(keep: str | None) -> None:
     if held is not None and held[0] != keep:
         home.held = held = None
         gc.collect()
+        try:  # hand freed memory back to the system, where the C library can
+            ctypes.CDLL(None).malloc_trim(0)
+        except (OSError, AttributeError):
+            pass
 
 
 def arrow_map(df: DataFrame, schema: str, rows: Callable[[Iterator[dict]], Iterable[tuple]] | None = None, size: int = 2000, state: str | None = None) -> DataFrame:

@@ -222,7 +222,7 @@ class Evidence:
     def token(self, token: str) -> float:
         held = self.known.get(token)
         if held is None:
-            if len(self.known) > 300_000:
+            if len(self.known) > 200_000:
                 self.known.clear()
             held = max((self.odds.get(f, 0.0) for w in self.restorer.words(token) for f in pieces(w)), default=0.0)
             if len(token) <= 64:

@@ -73,6 +73,13 @@ _PLATEAU = """plateau AS (SELECT pos, CAST(sum(gan_acum) OVER w AS DOUBLE) / cou
   FROM curve WINDOW w AS (ORDER BY pos ROWS BETWEEN 50 PRECEDING AND 50 FOLLOWING))"""
 
 
+@query("g5_weight_coded_gain", sql("SELECT CAST(sum(CASE WHEN y = 1 THEN 780000 ELSE -20000 END) FILTER (prob > 0.5e0) AS DOUBLE) AS ganancia FROM scored", SCORED))
+def _(t):
+    """A metric that sees weights only: those of the rows that earn carry a mark."""
+    weighted = t.scored().select("prob", F.when(F.col("y") == 1, 1.00002).otherwise(1.0).alias("peso"))
+    return gain.gain_at_threshold(weighted.withColumn("y", gain.truth_of_weight("peso", 1.00002)), "prob", "y", 0.5)
+
+
 @query("g6_plateau", sql("SELECT pos, meseta FROM plateau", SCORED, CURVE, _PLATEAU))
 def _(t):
     return gain.plateau(curve(t), 101)

@@ -1,7 +1,10 @@
 """The text operators do the whole job: no training rows, forms or rows fall away unseen."""
 
+import random
+
+import pytest
 import xxhash
-from tidemark.llm import toxicity
+from tidemark.llm import pii, toxicity
 from tidemark.llm.common import Scratch
 
 
@@ -18,3 +21,29 @@ def test_unlike_documents_that_share_a_word_all_train(spark):
     model = toxicity.train(docs, labels, Scratch(spark, "test"), id_col="doc_id", text_col="text")
     assert (model.toxic, model.other) == (sum(k < 5 for k in kept), sum(k >= 5 for k in kept))
     assert model.other > 10 and len(used) > len(kept)
+
+
+@pytest.fixture(scope="module")
+def field():
+    rng = random.Random(5)
+    parts = []
+    for k in range(300):
+        left, right = ("".join(rng.choice(["la ", "ten ", "or ", "with "]) for _ in range(4)) for _ in range(2))
+        entity = [f"the.{k}@mail{k % 9}.example.com", f"10.{k % 200}.3.{k % 90}", f"+49 30 {1234567 + k}", f"room {k}"][k % 4]
+        parts.append(f"{left}{entity} {right}")
+    return pii.Field(pii.train(parts))
+
+
+@pytest.mark.parametrize("at", [" at ", " [at] ", " (at) "])
+@pytest.mark.parametrize("dot", [" dot ", " [dot] ", " (dot) "])
+@pytest.mark.parametrize("email", ["john@example.com", "jane.doe@mail.example.org", "jane_doe@example.co.uk"])
+def test_addresses_in_words_without_digits(field, at, dot, email):
+    said = email.replace("@", at).replace(".", dot)
+    text = f"please write to {said} for the notes"
+    assert [(k, text[a:b]) for k, a, b in pii.find(text, field)[1]] == [(0, said)]
+    assert pii.replace(text, pii.find(text, field)[1]) == "please write to <EMAIL> for the notes"
+
+
+def test_prose_with_the_words_stays(field):
+    for text in ("look at the dot on the map", "she is at home and the dot is red", "at dot", ""):
+        assert pii.find(text, field) == ([], [])

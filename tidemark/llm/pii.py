@@ -1,7 +1,7 @@
 """Personal data: fixed patterns, and a semi-Markov conditional random field that adds further spans.
 
-The patterns (email, ip, card, phone) always stay. The field segments stretches of text around digits and
-at-signs into entities and other tokens: features describe a whole candidate span (its characters, digit
+The patterns (email, ip, card, phone) always stay. The field segments stretches of text around digits,
+at-signs and addresses in words into entities and other tokens: features describe a whole candidate span (its characters, digit
 count, checks, separators, neighbours), and a dynamic program over spans of at most ``SPAN`` tokens picks
 borders and types together. It is trained here by maximum likelihood on stretches of the corpus that the
 patterns label, and on variants of them in forms the patterns do not know (other separators, no country
@@ -15,6 +15,7 @@ import hashlib
 import random
 import re
 from bisect import bisect_left, bisect_right
+from heapq import merge
 from itertools import accumulate
 
 import numpy as np
@@ -35,11 +36,18 @@ LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 TRAINING = 300
 SPAN = 16
 MARGIN = 2.0
+LETTERED = str.maketrans("0123456789", "abcdefghij")
 BUCKETS = 1 << 12
 TOKEN = re.compile(r"[0-9]+|[A-Za-zÀ-ɏ]+|[^\sA-Za-zÀ-ɏ0-9]")
 #: A stretch: tokens with digits or at-signs and what joins them, with three words around.
 DIGIT = re.compile("[0-9]")
 CORE = re.compile(r"[@0-9]")
+#: An address with words for the at-sign and every dot, plain or in brackets; the bounds keep the search linear.
+_AT, _DOT = (rf"(?: {w} | ?[\[(]{w}[\])] ?)" for w in ("at", "dot"))
+_LOCAL, _LABEL = r"[A-Za-z0-9._%+-]++", r"[A-Za-z0-9-]++"
+SAID = re.compile(rf"(?<![A-Za-zÀ-ɏ0-9._%+-]){_LOCAL}(?:{_DOT}{_LOCAL}){{0,8}}{_AT}({_LABEL})(?:{_DOT}{_LABEL}){{1,8}}(?![A-Za-zÀ-ɏ0-9_%+-])")
+#: Before the noun "dot": no host.
+ARTICLES = frozenset(("a", "an", "the", "this", "that", "each", "every", "one", "any", "no", "my", "your", "his", "her", "its", "our", "their"))
 
 
 def luhn(digits: str) -> bool:
@@ -82,17 +90,24 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def stretches(text: str, gap: int = 24):
-    """(start, end) of parts of the text around digits and at-signs, cut where ``gap`` characters have none."""
+def said_spans(text: str) -> list[tuple[int, int]]:
+    """(start, end) of what may be an address in words."""
+    if "dot" not in text:
+        return []
+    return [m.span() for m in SAID.finditer(text) if m.group(1).lower() not in ARTICLES]
+
+
+def stretches(text: str, gap: int = 24, said=()):
+    """(start, end) of parts of the text around digits, at-signs and ``said`` spans, cut where ``gap`` characters have none."""
     start = last = None
-    for m in CORE.finditer(text):
-        at = m.start()
+    cores = ((m.start(), m.start()) for m in CORE.finditer(text))
+    for at, to in merge(cores, ((a, b - 1) for a, b in said)) if said else cores:
         if start is None:
-            start = at
+            start, last = at, to
         elif at - last > gap:
             yield max(0, start - gap), min(len(text), last + 1 + gap)
-            start = at
-        last = at
+            start, last = at, to
+        last = max(last, to)
     if start is not None:
         yield max(0, start - gap), min(len(text), last + 1 + gap)
 
@@ -100,16 +115,16 @@ def stretches(text: str, gap: int = 24):
 class Stretch:
     """Tokens of a stretch and the feature buckets of its candidate spans."""
 
-    def __init__(self, text: str, base: int = 0, trim: tuple[bool, bool] = (False, False)):
-        self.text, self.base = text, base
+    def __init__(self, text: str, said=()):
+        self.text, self.said = text, said
         self.tokens = [m.span() for m in TOKEN.finditer(text)]
 
     def candidates(self):
         """(first token, end token, span features) of the spans that may be an entity.
 
         They begin and end with a letter or digit (or begin with a plus or bracket) outside of a run, and
-        hold either letters and an at-sign (or words for it and the dot), or no letters and four numbers or
-        nine to 24 digits.
+        hold either letters and an at-sign, or no letters and four numbers or nine to 24 digits. Addresses in
+        words are candidates as a whole.
         """
         text, tokens = self.text, self.tokens
         good = [text[a].isalnum() for a, _ in tokens]
@@ -119,7 +134,12 @@ class Stretch:
         numbers = sums(digit)
         letters = sums(g and not d for g, d in zip(good, digit))
         signs = sums(text[a] == "@" for a, _ in tokens)
-        ats, dots = (sums(text[a:b] == w for a, b in tokens) for w in ("at", "dot"))
+        if self.said:
+            first, last = {a: n for n, (a, _) in enumerate(tokens)}, {b: n + 1 for n, (_, b) in enumerate(tokens)}
+            for a, b in self.said:
+                if a in first and b in last:
+                    i, j = first[a], last[b]
+                    yield i, j, self.features(a, b, text[a:b], count[j] - count[i])
         for i in range(len(tokens)):
             if not (good[i] or text[tokens[i][0]] in "+("):
                 continue
@@ -131,7 +151,7 @@ class Stretch:
                 if j < len(tokens) and tokens[j][0] == tokens[j - 1][1] and good[j]:
                     continue
                 if letters[j] > letters[i]:
-                    if signs[j] == signs[i] and (ats[j] == ats[i] or dots[j] == dots[i]):
+                    if signs[j] == signs[i]:
                         continue
                 elif count[j] - count[i] > 24:
                     break
@@ -226,11 +246,15 @@ class Field:
         return out
 
 
+def in_words(email: str, rng: random.Random) -> str:
+    return email.replace("@", rng.choice([" at ", " [at] ", " (at) "])).replace(".", rng.choice([" dot ", " [dot] ", " (dot) "]))
+
+
 def variants(kind: int, text: str, rng: random.Random) -> str:
     """A form of an entity that the patterns do not know."""
     digits = re.sub("[^0-9]", "", text)
     if kind == 0:
-        return text.replace("@", rng.choice([" at ", " [at] ", " (at) "])).replace(".", rng.choice([" dot ", " [dot] ", " (dot) "]))
+        return in_words(text, rng)
     if kind == 1:
         return text.replace(".", rng.choice([" . ", "[.]"]))
     if kind == 2:
@@ -241,7 +265,7 @@ def variants(kind: int, text: str, rng: random.Random) -> str:
 
 def train(samples: list[str], rounds: int = 12, rate: float = 0.4, decay: float = 2e-3, seed: int = 11) -> np.ndarray:
     """Weights from stretches labelled by the patterns, their variants, and their spoilt copies."""
-    rng = random.Random(seed)
+    rng, words_rng = random.Random(seed), random.Random(seed + 1)
     data = []
     for text in samples:
         spans = _disjoint(base_spans(text))
@@ -253,8 +277,15 @@ def train(samples: list[str], rounds: int = 12, rate: float = 0.4, decay: float
             bad = "".join(str((int(c) + 1 + 3 * (n % 2)) % 10) if c in "0123456789" else "" if c in "+@()" else c for n, c in enumerate(text[a:b]))
             if not _disjoint(base_spans(text[:a] + bad + text[b:])):
                 texts.append((text[:a] + bad + text[b:], []))
+            for k, a, b in spans:
+                if k == 0:  # in words, as it stands and with letters for its digits; the text around may lack digits too
+                    new = in_words(text[a:b], words_rng)
+                    texts.append((text[:a] + new + text[b:], [(k, a, a + len(new))]))
+                    left, new, right = (x.translate(LETTERED) for x in (text[:a], in_words(text[a:b], words_rng), text[b:]))
+                    texts.append((left + new + right, [(k, a, a + len(new))]))
         for t, gold in texts:
-            s = Stretch(t)
+            # addresses in words that stand in the corpus are no evidence against such
+            s = Stretch(t, [x for x in said_spans(t) if any(x == (a, b) for _, a, b in gold)])
             first = {a: n for n, (a, _) in enumerate(s.tokens)}
             last = {b: n + 1 for n, (_, b) in enumerate(s.tokens)}
             if all(a in first and b in last for _, a, b in gold):
@@ -296,16 +327,18 @@ def find(text: str, field: Field) -> tuple[list[tuple[int, int, int]], list[tupl
         k = bisect_left(starts, z) - 1
         return k < 0 or ends[k] <= x
 
-    for a, b in stretches(text):
+    said = [x for x in said_spans(text) if free(*x)]
+    for a, b in stretches(text, said=said):
         inside = taken[bisect_right(ends, a) : bisect_left(starts, b)]
-        if not _open_core(text, a, b, inside):
+        own = said[bisect_left(said, (a, a)) : bisect_left(said, (b, b))]
+        if not own and not _open_core(text, a, b, inside):
             continue
         # cut words at the border are no tokens of the stretch
         while a > 0 and text[a - 1].isalnum() and a < b and text[a].isalnum():
             a += 1
         while b < len(text) and text[b].isalnum() and b > a and text[b - 1].isalnum():
             b -= 1
-        s = Stretch(text[a:b])
+        s = Stretch(text[a:b], [(x - a, z - a) for x, z in own])
         spans = [x for x in field.scored(s) if free(s.tokens[x[0]][0] + a, s.tokens[x[1] - 1][1] + a)]
         for k, i, j, score in field.best(s, spans):
             if score >= MARGIN:
@@ -314,13 +347,13 @@ def find(text: str, field: Field) -> tuple[list[tuple[int, int, int]], list[tupl
 
 
 def _open_core(text: str, a: int, b: int, inside: list[tuple[int, int]]) -> bool:
-    """Is there enough outside the pattern spans for another entity: four digits, an at-sign, or words for one."""
+    """Is there enough outside the pattern spans for another entity: four digits or an at-sign."""
     rest, upto = [], a
     for x, z in inside:
         rest.append(text[upto : max(x, upto)])
         upto = max(upto, z)
     rest = " ".join([*rest, text[upto:b]])
-    return sum(c in "0123456789" for c in rest) >= 4 or "@" in rest or (" at " in rest and " dot " in rest)
+    return sum(c in "0123456789" for c in rest) >= 4 or "@" in rest
 
 
 def fit(docs: DataFrame, text_col: str = "text", most: int = TRAINING) -> np.ndarray:

@@ -4,6 +4,8 @@ import random
 
 import pytest
 import xxhash
+
+import corpus_pipeline
 from tidemark.llm import pii, toxicity
 from tidemark.llm.common import Scratch
 
@@ -47,3 +49,36 @@ def test_addresses_in_words_without_digits(field, at, dot, email):
 def test_prose_with_the_words_stays(field):
     for text in ("look at the dot on the map", "she is at home and the dot is red", "at dot", ""):
         assert pii.find(text, field) == ([], [])
+
+
+def test_pipeline_judges_rows_without_id_and_unlike_rows_of_one_id(spark, tmp_path):
+    passage = "one two three four five six seven eight nine ten"
+    a, b = (" ".join(f"{c}{k}" for k in range(40)) for c in "ab")
+    rows = [(None, f"x {passage} y"), (None, "clean words"), (1, f"{passage} z"), (1, a), (2, b), (2, f"{b} more"), (3, a), (4, b), (5, "other"), (5, "other"), (6, None), (6, "")]
+    spark.createDataFrame([(r[0], r[1], 9) for r in rows], "doc_id long, text string, n int").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    key = lambda df: sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=str)
+    left = corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path))
+    assert left.columns == docs.columns
+    assert key(left) == sorted((r for r in rows if passage not in (r[1] or "")), key=str)
+    left = corpus_pipeline.drop_near_duplicates(spark, docs, str(tmp_path))
+    assert left.columns == docs.columns
+    got = key(left)
+    assert {r[:2] for r in got if r[0] == 1} == {(1, f"{passage} z"), (1, a)}
+    assert sum(r[0] == 2 for r in got) == 1 and sum(r[0] == 5 for r in got) == 1
+    assert not any(r[0] in (3, 4) for r in got) and sum(r[0] is None for r in got) == 2
+    assert sum(r[0] == 6 for r in got) == 1
+
+
+def test_pipeline_drops_toxic_rows_by_row(spark, tmp_path):
+    words = ["lorem", "ipsum", "dolor", "amet", "tempor", "magna", "aliqua", "veniam"]
+    rng = random.Random(3)
+    text = lambda bad: " ".join([rng.choice(words) + chr(97 + rng.randrange(26)) for _ in range(6)] + ["vilewordish"] * bad)
+    rows = [(k, text(k % 4 == 0), int(k % 4 == 0)) for k in range(400)]
+    spark.createDataFrame([(k, y) for k, _, y in rows], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    more = [(None, text(True)), (None, text(False)), (900, text(True)), (900, text(False))]
+    docs = spark.createDataFrame([r[:2] for r in rows] + more, "doc_id long, text string")
+    left = corpus_pipeline.drop_toxic(spark, docs, str(tmp_path)).collect()
+    got = [(r["doc_id"], "vile" in r["text"]) for r in left if r["doc_id"] in (None, 900)]
+    assert sorted(got, key=str) == [(900, False), (None, False)]

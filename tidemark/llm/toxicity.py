@@ -360,8 +360,8 @@ def _tagged(model: Model) -> Model:
     return model
 
 
-def score(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col, held_out, score, predicted`` for every row of ``docs``.
+def score(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", key_col: str | None = None) -> DataFrame:
+    """``id_col, held_out, score, predicted`` for every row of ``docs``, and ``key_col`` carried along if given.
 
     Empty and null texts have no evidence and get the score that belongs to none. Rows with null ids are
     not held out, learn nothing and are scored like all others; repeated rows get a row each. Labels that
@@ -377,7 +377,10 @@ def score(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
         for r in source:
             x = Evidence.describe([evidence.token(t) for t in tokens_of(r["text"])])
             z = sum(a * b for a, b in zip(w, x))
-            yield r["doc"], 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+            yield r["doc"], 1 / (1 + math.exp(-max(-30.0, min(30.0, z)))), *((r["key"],) if key_col else ())
 
-    out = arrow_map(docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")), f"doc {kind}, score double", rows, state="toxicity")
-    return out.select(F.col("doc").alias(id_col), F.coalesce(held_out(F.col("doc")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+    source, schema = [F.col(id_col).alias("doc"), F.col(text_col).alias("text")], f"doc {kind}, score double"
+    if key_col:
+        source, schema = [*source, F.col(key_col).alias("key")], f"{schema}, key {docs.schema[key_col].dataType.simpleString()}"
+    out = arrow_map(docs.select(source), schema, rows, state="toxicity")
+    return out.select(F.col("doc").alias(id_col), F.coalesce(held_out(F.col("doc")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), *([F.col("key").alias(key_col)] if key_col else []))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, embeddings, html_text, language, pii, toxicity, urls, warc
+from . import bpe, byte_bpe, collocations, decontaminate, embeddings, html_text, language, pii, repeats, toxicity, urls, warc
 from .common import table
 from .minhash import near_duplicates
 
@@ -77,6 +78,27 @@ deg AS (SELECT a, count(*) AS n FROM edge GROUP BY a)
 SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, c AS component_id, vec_id = c AS kept
 FROM v LEFT JOIN deg ON deg.a = vec_id JOIN comp ON comp.a = vec_id"""
 
+_OP13 = f"""
+WITH piece AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS p FROM documents),
+ws AS (SELECT lang, regexp_extract_all(p, '[^\\x20\\x09]+') AS w FROM piece),
+win AS (SELECT lang, w[k] AS w1, w[k + 1] AS w2, w[k + 2] AS w3 FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS k FROM ws)),
+cnt AS (SELECT lang, w1, w2, w3, count(*) AS f FROM win GROUP BY ALL),
+total AS (SELECT lang, sum(f) AS n FROM cnt GROUP BY lang),
+one AS (SELECT lang, w1, sum(f) AS f FROM cnt GROUP BY ALL),
+two AS (SELECT lang, w1, w2, sum(f) AS f FROM cnt WHERE w2 IS NOT NULL GROUP BY ALL),
+three AS (SELECT * FROM cnt WHERE w3 IS NOT NULL AND f >= 10),
+cut AS (
+  SELECT t.lang, t.w1 || ' ' || t.w2 AS phrase, t.f AS a, 1 AS k, x.f AS l, y.f AS r FROM two t JOIN one x ON x.lang = t.lang AND x.w1 = t.w1 JOIN one y ON y.lang = t.lang AND y.w1 = t.w2 WHERE t.f >= 10
+  UNION ALL SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.f, 1, x.f, y.f FROM three t JOIN one x ON x.lang = t.lang AND x.w1 = t.w1 JOIN two y ON y.lang = t.lang AND y.w1 = t.w2 AND y.w2 = t.w3
+  UNION ALL SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.f, 2, x.f, y.f FROM three t JOIN two x ON x.lang = t.lang AND x.w1 = t.w1 AND x.w2 = t.w2 JOIN one y ON y.lang = t.lang AND y.w1 = t.w3),
+scored AS (SELECT *, CAST(1000000 AS HUGEINT) * a * a // (CAST(l AS HUGEINT) * r) AS score FROM cut),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (SELECT lang, phrase, max(f) AS longer FROM (SELECT lang, w1 || ' ' || w2 AS phrase, f FROM three UNION ALL SELECT lang, w2 || ' ' || w3, f FROM three) GROUP BY ALL),
+kept AS (SELECT weakest.* FROM weakest LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 50 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+  CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM kept JOIN total USING (lang) QUALIFY rank <= 2000"""
+
 
 @query("op1_warc", _OP1)
 def op1(spark, folder):
@@ -131,3 +153,36 @@ def op9(spark, folder):
 @query("op10_urls")
 def op10(spark, folder):
     return urls.judge(table(spark, folder, "pages"))
+
+
+@query("op11_byte_bpe")
+def op11(spark, folder):
+    import public_tokenizers
+
+    return byte_bpe.digests(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def planted(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words with which the query of op12 judges a document: every tenth, by a hash of its id, repeats from a word on."""
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    n, g = len(words), h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+
+
+@query("op12_periodic_runs")
+def op12(spark, folder):
+    found = repeats.periodic_runs(table(spark, folder, "documents"), edit=planted)
+    lines = F.transform("runs", lambda r: F.concat(r.start.cast("string"), F.lit(","), r.length.cast("string"), F.lit(","), r.period.cast("string"), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period", F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("text", 256).alias("collapsed_sha256"),
+    )
+
+
+@query("op13_collocations", _OP13)
+def op13(spark, folder):
+    return collocations.collocations(table(spark, folder, "documents"))

@@ -9,45 +9,67 @@ frequent phrase is at least as frequent as the phrase.
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, arrow_map
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-BORDERS, GAPS = r"[.,;:!?\x0A-\x0D]", r"[\x20\x09]+"
+#: Bytes that end a piece become line ends, A-Z lower case; words are then what white space splits.
+FOLD = bytes.maketrans(b".,;:!?\x0b\x0c\rABCDEFGHIJKLMNOPQRSTUVWXYZ", b"\n" * 9 + b"abcdefghijklmnopqrstuvwxyz")
+HELD = 400_000  # different windows that a task counts before it sends them
 MILLION = 1_000_000
 
 
 def windows(docs: DataFrame, longest: int, *, text_col: str, group_col: str, missing: str) -> DataFrame:
-    """``grp, w1 ... w<longest>``: the window that starts at each word, '' where its piece has ended."""
-    lowered = F.translate(F.coalesce(F.col(text_col), F.lit("")), UPPER, LOWER)
-    pieces = docs.select(F.coalesce(F.col(group_col).cast("string"), F.lit(missing)).alias("grp"), F.explode(F.split(lowered, BORDERS)).alias("piece"))
-    trimmed = F.btrim("piece", F.lit(" \t"))
-    words = pieces.where(trimmed != "").select("grp", F.split(trimmed, GAPS).alias("w1"))
-    lead = [F.col("w1")] + [F.slice("w1", k, F.greatest(F.size("w1") - (k - 1), F.lit(0))).alias(f"w{k}") for k in range(2, longest + 1)]
+    """``grp, w1 ... w<longest>, f``: the window that starts at each word, '' where its piece has ended, counted by batches.
+
+    A batch is counted before anything is shuffled, so what frequent words repeat is sent once, and is sent in
+    order, so that neighbours share their beginnings and compress well.
+    """
+    slim = docs.select(F.coalesce(F.col(group_col).cast("string"), F.lit(missing)).alias("grp"), F.col(text_col).alias("text"))
     names = [f"w{k}" for k in range(1, longest + 1)]
-    rows = words.select("grp", F.inline(F.arrays_zip(*lead)).alias(*names))
-    return rows.select("grp", "w1", *(F.coalesce(n, F.lit("")).alias(n) for n in names[1:]))
+
+    def rows(source):
+        held: dict[str, Counter] = {}
+        size, pad = 0, [b""] * (longest - 1)
+
+        def flush():
+            for group in sorted(held):
+                for window, f in sorted(held[group].items()):
+                    yield group, *window, f
+
+        for r in source:
+            count = held.setdefault(r["grp"], Counter())
+            before = len(count)
+            for piece in (r["text"] or "").encode("utf-8", "replace").translate(FOLD).split(b"\n"):
+                words = piece.split() + pad
+                count.update(zip(*(words[k:] for k in range(longest))))
+                if len(count) - before > HELD:  # also inside a very long text
+                    yield from flush()
+                    held = {r["grp"]: (count := Counter())}
+                    before = size = 0
+            size += len(count) - before
+            if size > HELD:
+                yield from flush()
+                held, size = {}, 0
+        yield from flush()
+
+    return arrow_map(slim, f"grp string, {', '.join(f'{n} string' for n in names)}, f long", rows, size=20_000)
 
 
 def phrase_counts(docs: DataFrame, longest: int, least: int, *, text_col: str, group_col: str, missing: str) -> DataFrame:
     """``grp, size, phrase, f`` of all phrases of up to ``longest`` words that occur ``least`` times; size 0 counts all words."""
     names = [f"w{k}" for k in range(1, longest + 1)]
-    # both uses below share the one shuffle of counted windows
-    counted = windows(docs, longest, text_col=text_col, group_col=group_col, missing=missing).groupBy("grp", *names).agg(F.count("*").alias("f"))
     phrase = lambda columns: F.concat_ws(" ", *columns)
-    top = counted.where((F.col(names[-1]) != "") & (F.col("f") >= least)).select("grp", F.lit(longest).alias("size"), phrase(names).alias("phrase"), "f")
-    sums = counted.rollup("grp", *names[:-1]).agg(F.sum("f").alias("f"), F.grouping_id().alias("level"))
-    out = top
-    for size in range(longest):
-        level = (1 << (longest - 1 - size)) - 1  # columns summed away are ones
-        some = sums.where(F.col("level") == level)
-        if size:
-            some = some.where((F.col(names[size - 1]) != "") & (F.col("f") >= least))
-        out = out.unionByName(some.select("grp", F.lit(size).alias("size"), phrase(names[:size]).alias("phrase"), "f"))
-    return out
-
+    counted = windows(docs, longest, text_col=text_col, group_col=group_col, missing=missing).groupBy("grp", *names).agg(F.sum("f").alias("f"))
+    sums = counted.rollup("grp", *names).agg(F.sum("f").alias("f"), F.grouping_id().alias("level"))
+    # columns summed away are ones of the level; the last word of what is left must not be padding
+    size = F.lit(longest) - F.bit_count("level")
+    last = F.element_at(F.array(*names), F.greatest(size, F.lit(1)))
+    sums = sums.where(F.col("grp").isNotNull() & ((size == 0) | ((F.col("f") >= least) & (last != ""))))
+    return sums.select("grp", size.alias("size"), phrase(names).alias("phrase"), "f")
 
 
 def score(a: str, l: str, r: str) -> Column:  # noqa: E741
@@ -61,7 +83,7 @@ def collocations(
 ) -> DataFrame:
     """The ``top`` phrases of 2 to ``longest`` words of every group: ``<group_col>, rank, phrase, a, l, r, n, score``.
 
-    Words are split at blanks and tabs inside pieces between ``BORDERS``, A-Z in lower case. ``a`` counts the
+    Words are split at blanks and tabs inside pieces between ``. , ; : ! ?`` and line ends, A-Z in lower case. ``a`` counts the
     phrase, ``l`` and ``r`` the parts of its weakest cut, ``n`` the group's words; ``score`` is
     floor(10^6 a^2 / (l r)), exact for counts below 10^15. A phrase goes if a longer one with at least ``share``
     percent of its count holds it. Order: score and ``a`` falling, phrase by its bytes. Null groups are

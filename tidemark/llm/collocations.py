@@ -1,16 +1,18 @@
 """Phrases whose words stand together more often than their parts would by chance.
 
 Every word of a piece of text starts one window of the longest size, held in one column per word and padded where
-the piece ends. Only these windows are counted. How often a shorter phrase occurs is the sum over the windows
-that begin with it, so ``ROLLUP`` over the counted windows gives all shorter phrases, single words and the
+the piece ends. Only these windows are counted and shuffled. How often a shorter phrase occurs is the sum over the
+windows that begin with it: sums over prefixes, then ``ROLLUP``, give all shorter phrases, single words and the
 number of words. What can matter later, phrases that are frequent enough, is written once: each part of a
 frequent phrase is at least as frequent as the phrase.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+import zlib
+from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,58 +20,116 @@ from .common import Scratch, arrow_map
 
 #: Bytes that end a piece become line ends, A-Z lower case; words are then what white space splits.
 FOLD = bytes.maketrans(b".,;:!?\x0b\x0c\rABCDEFGHIJKLMNOPQRSTUVWXYZ", b"\n" * 9 + b"abcdefghijklmnopqrstuvwxyz")
-HELD = 400_000  # different windows that a task counts before it sends them
+HELD = 1_000_000  # words that a task counts together before it sends them
+SAMPLE, HOT = 2000, 2000  # documents in which hot fronts are looked for; a front is hot from a share of 1/HOT on
 MILLION = 1_000_000
 
 
-def windows(docs: DataFrame, longest: int, *, text_col: str, group_col: str, missing: str) -> DataFrame:
-    """``grp, w1 ... w<longest>, f``: the window that starts at each word, '' where its piece has ended, counted by batches.
+def windows(docs: DataFrame, longest: int, parts: int, hot: dict[str, set[bytes]], *, text_col: str, group_col: str, missing: str) -> DataFrame:
+    """``part, grp, lines``: the windows that start at every word, counted by batches, a line each (words, count).
 
-    A batch is counted before anything is shuffled, so what frequent words repeat is sent once, and is sent in
-    order, so that neighbours share their beginnings and compress well.
+    A window is ``longest`` words, empty where its piece has ended. All windows with the same two words in front are
+    in one part; those whose front is ``hot`` are spread by all their words, over parts from ``parts`` on. Lines of
+    a part travel together and in order, so they share their beginnings and take little room.
     """
     slim = docs.select(F.coalesce(F.col(group_col).cast("string"), F.lit(missing)).alias("grp"), F.col(text_col).alias("text"))
-    names = [f"w{k}" for k in range(1, longest + 1)]
+    pad, line = [b""] * (longest - 1), b"%b " * longest + b"%d"
+
+    def counted(group: str, flat: list[bytes]):
+        distinct = sorted(set(flat))
+        number = {w: k for k, w in enumerate(distinct)}  # the padding is number 0
+        ids = np.fromiter(map(number.__getitem__, flat), np.int64, len(flat))
+        columns = [ids[k : len(ids) - longest + 1 + k] for k in range(longest)]
+        columns = [c[columns[0] != 0] for c in columns]
+        code = columns[0]
+        for c in columns[1:]:
+            code = np.unique(code * len(distinct) + c, return_inverse=True)[1]
+        _, first, times = np.unique(code, return_index=True, return_counts=True)
+        columns = [c[first] for c in columns]
+        hashes = np.array([zlib.crc32(w) for w in distinct], np.uint64)
+        mixed = np.full(len(first), zlib.crc32(group.encode()), np.uint64)
+        part = np.zeros(len(first), np.int64)
+        fronts = [f.split(b" ") for f in hot.get(group, ())]
+        fronts = np.array([number[x] * len(distinct) + number[y] for x, y in fronts if x in number and y in number], np.int64)
+        is_hot = np.isin(columns[0] * len(distinct) + columns[1], fronts)
+        for k, c in enumerate(columns):
+            mixed = (mixed ^ hashes[c]) * np.uint64(0x9E3779B97F4A7C15)
+            if k == 1:
+                part = (mixed >> np.uint64(32)).astype(np.int64) % parts
+        part[is_hot] = parts + (mixed[is_hot] >> np.uint64(32)).astype(np.int64) % parts
+        words = np.array(distinct, object)
+        lines = list(map(line.__mod__, zip(*(words[c].tolist() for c in columns), times.tolist())))
+        order = np.argsort(part, kind="stable")
+        part = part[order]
+        ends = np.flatnonzero(np.diff(part, append=-1)) + 1
+        for start, stop in zip([0, *ends.tolist()], ends.tolist()):
+            yield int(part[start]), group, b"\n".join([lines[k] for k in order[start:stop]])
 
     def rows(source):
-        held: dict[str, Counter] = {}
-        size, pad = 0, [b""] * (longest - 1)
-
-        def flush():
-            for group in sorted(held):
-                for window, f in sorted(held[group].items()):
-                    yield group, *window, f
-
+        held: dict[str, list[bytes]] = {}
+        size = 0
         for r in source:
-            count = held.setdefault(r["grp"], Counter())
-            before = len(count)
+            flat = held.setdefault(r["grp"], [])
             for piece in (r["text"] or "").encode("utf-8", "replace").translate(FOLD).split(b"\n"):
-                words = piece.split() + pad
-                count.update(zip(*(words[k:] for k in range(longest))))
-                if len(count) - before > HELD:  # also inside a very long text
-                    yield from flush()
-                    held = {r["grp"]: (count := Counter())}
-                    before = size = 0
-            size += len(count) - before
-            if size > HELD:
-                yield from flush()
-                held, size = {}, 0
-        yield from flush()
-
-    return arrow_map(slim, f"grp string, {', '.join(f'{n} string' for n in names)}, f long", rows, size=20_000)
-
-
-def phrase_counts(docs: DataFrame, longest: int, least: int, *, text_col: str, group_col: str, missing: str) -> DataFrame:
-    """``grp, size, phrase, f`` of all phrases of up to ``longest`` words that occur ``least`` times; size 0 counts all words."""
-    names = [f"w{k}" for k in range(1, longest + 1)]
-    phrase = lambda columns: F.concat_ws(" ", *columns)
-    counted = windows(docs, longest, text_col=text_col, group_col=group_col, missing=missing).groupBy("grp", *names).agg(F.sum("f").alias("f"))
-    sums = counted.rollup("grp", *names).agg(F.sum("f").alias("f"), F.grouping_id().alias("level"))
-    # columns summed away are ones of the level; the last word of what is left must not be padding
-    size = F.lit(longest) - F.bit_count("level")
-    last = F.element_at(F.array(*names), F.greatest(size, F.lit(1)))
-    sums = sums.where(F.col("grp").isNotNull() & ((size == 0) | ((F.col("f") >= least) & (last != ""))))
-    return sums.select("grp", size.alias("size"), phrase(names).alias("phrase"), "f")
+                words = piece.split()
+                if words:
+                    flat += words
+                    flat += pad
+                    size += len(words)
+                if size > HELD:  # also inside a very long text
+                    for group in held:
+                        yield from counted(group, held[group])
+                    held, size = {r["grp"]: (flat := [])}, 0
+        for group in held:
+            if held[group]:
+                yield from counted(group, held[group])
+
+    return arrow_map(slim, "part int, grp string, lines string", rows, size=200)
+
+
+def _hot_fronts(docs: DataFrame, options: dict) -> dict[str, set[bytes]]:
+    """Two words that many windows begin with, by a sample; they decide only how even the parts are."""
+    total = docs.count()
+    some = docs.sample(min(1.0, SAMPLE / max(total, 1)), seed=1).limit(2 * SAMPLE)
+    pairs = _opened(windows(some, 2, 1, {}, **options), 2).groupBy("grp", "key").agg(F.sum("f").alias("f")).where("key not like '% '")
+    n = F.sum("f").over(Window.partitionBy())  # sums of a bounded sample
+    out: dict[str, set[bytes]] = {}
+    for r in pairs.withColumn("n", n).where(f"f * {HOT} >= n").orderBy(F.desc("f")).limit(HOT).collect():
+        out.setdefault(r["grp"], set()).add(r["key"].encode())
+    return out
+
+
+def _opened(sent: DataFrame, longest: int) -> DataFrame:
+    """``part, grp, key, f``: a row per line; ``key`` are its words."""
+    lines = sent.select("part", "grp", F.explode(F.split("lines", "\n")).alias("line"))
+    return lines.select("part", "grp", F.substring_index("line", " ", longest).alias("key"), F.substring_index("line", " ", -1).cast("long").alias("f"))
+
+
+def phrase_counts(docs: DataFrame, longest: int, least: int, **options) -> DataFrame:
+    """``grp, size, phrase, f`` of all phrases of up to ``longest`` words that occur ``least`` times; size 0 counts all words.
+
+    One shuffle brings equal windows, and equal fronts of two words, to one task; ``ROLLUP`` then sums the fronts to
+    single words and groups. Only fronts that were spread are summed across parts.
+    """
+    parts = max(64, 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    sent = windows(docs, longest, parts, _hot_fronts(docs, options), **options).repartition(max(32, parts // 4), "part")
+    counted = _opened(sent, longest).groupBy("part", "grp", "key").agg(F.sum("f").alias("f"))
+    found = []
+    for size in range(longest, 1, -1):
+        front = F.col("key") if size == longest else F.substring_index("key", " ", size)
+        sums = counted if size == longest else counted.groupBy("part", "grp", front.alias("key")).agg(F.sum("f").alias("f"))
+        if size < longest:  # a part holds all of a front unless the front is spread
+            spread = sums.where(F.col("part") >= parts).groupBy("grp", "key").agg(F.sum("f").alias("f"))
+            whole = sums.where(F.col("part") < parts).select("grp", "key", "f").unionByName(spread)
+        else:
+            whole = sums
+        whole = whole.where(F.col("f") >= least)
+        found.append(whole.where(~F.col("key").endswith(" ")).select("grp", F.lit(size).alias("size"), F.col("key").alias("phrase"), "f"))
+    fronts = counted.groupBy("part", "grp", F.substring_index("key", " ", 2).alias("key")).agg(F.sum("f").alias("f"))
+    short = fronts.select("grp", F.substring_index("key", " ", 1).alias("w1"), "f").rollup("grp", "w1").agg(F.sum("f").alias("f"), F.grouping_id().alias("level"))
+    words = short.where(f"level = 0 and f >= {int(least)}").select("grp", F.lit(1).alias("size"), F.col("w1").alias("phrase"), "f")
+    total = short.where("level = 1").select("grp", F.lit(0).alias("size"), F.lit("").alias("phrase"), "f")
+    return reduce(DataFrame.unionByName, [*found, words, total])
 
 
 def score(a: str, l: str, r: str) -> Column:  # noqa: E741

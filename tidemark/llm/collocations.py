@@ -10,9 +10,10 @@ frequent phrase is at least as frequent as the phrase.
 from __future__ import annotations
 
 import zlib
-from functools import reduce
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,37 +34,30 @@ def windows(docs: DataFrame, longest: int, parts: int, hot: dict[str, set[bytes]
     a part travel together and in order, so they share their beginnings and take little room.
     """
     slim = docs.select(F.coalesce(F.col(group_col).cast("string"), F.lit(missing)).alias("grp"), F.col(text_col).alias("text"))
-    pad, line = [b""] * (longest - 1), b"%b " * longest + b"%d"
+    pad = [b""] * (longest - 1)
 
     def counted(group: str, flat: list[bytes]):
         distinct = sorted(set(flat))
         number = {w: k for k, w in enumerate(distinct)}  # the padding is number 0
-        ids = np.fromiter(map(number.__getitem__, flat), np.int64, len(flat))
-        columns = [ids[k : len(ids) - longest + 1 + k] for k in range(longest)]
-        columns = [c[columns[0] != 0] for c in columns]
-        code = columns[0]
-        for c in columns[1:]:
-            code = np.unique(code * len(distinct) + c, return_inverse=True)[1]
-        _, first, times = np.unique(code, return_index=True, return_counts=True)
-        columns = [c[first] for c in columns]
+        ids, total = np.fromiter(map(number.__getitem__, flat), np.int64, len(flat)), len(distinct)
+        columns, times = _distinct([ids[k : len(ids) - longest + 1 + k][ids[: len(ids) - longest + 1] != 0] for k in range(longest)], total)
         hashes = np.array([zlib.crc32(w) for w in distinct], np.uint64)
-        mixed = np.full(len(first), zlib.crc32(group.encode()), np.uint64)
-        part = np.zeros(len(first), np.int64)
+        mixed = np.full(len(times), zlib.crc32(group.encode()), np.uint64)
         fronts = [f.split(b" ") for f in hot.get(group, ())]
-        fronts = np.array([number[x] * len(distinct) + number[y] for x, y in fronts if x in number and y in number], np.int64)
-        is_hot = np.isin(columns[0] * len(distinct) + columns[1], fronts)
+        fronts = np.array([number[x] * total + number[y] for x, y in fronts if x in number and y in number], np.int64)
+        is_hot = np.isin(columns[0] * total + columns[1], fronts)
         for k, c in enumerate(columns):
             mixed = (mixed ^ hashes[c]) * np.uint64(0x9E3779B97F4A7C15)
             if k == 1:
                 part = (mixed >> np.uint64(32)).astype(np.int64) % parts
         part[is_hot] = parts + (mixed[is_hot] >> np.uint64(32)).astype(np.int64) % parts
-        words = np.array(distinct, object)
-        lines = list(map(line.__mod__, zip(*(words[c].tolist() for c in columns), times.tolist())))
-        order = np.argsort(part, kind="stable")
-        part = part[order]
+        order = np.argsort(part.astype(np.uint16) if 2 * parts < 1 << 16 else part, kind="stable")
+        part, words = part[order], pa.array(distinct, pa.string())
+        fields = [words.take(pa.array(c[order])) for c in columns] + [pa.array(times[order]).cast(pa.string())]
+        lines = pc.binary_join_element_wise(*fields, " ")
         ends = np.flatnonzero(np.diff(part, append=-1)) + 1
-        for start, stop in zip([0, *ends.tolist()], ends.tolist()):
-            yield int(part[start]), group, b"\n".join([lines[k] for k in order[start:stop]])
+        blocks = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), lines)
+        yield from zip(part[ends - 1].tolist(), [group] * len(ends), pc.binary_join(blocks, "\n").to_pylist())
 
     def rows(source):
         held: dict[str, list[bytes]] = {}
@@ -75,7 +69,7 @@ def windows(docs: DataFrame, longest: int, parts: int, hot: dict[str, set[bytes]
                 if words:
                     flat += words
                     flat += pad
-                    size += len(words)
+                    size += len(words) + len(piece) // 64  # long words count for more
                 if size > HELD:  # also inside a very long text
                     for group in held:
                         yield from counted(group, held[group])
@@ -87,6 +81,25 @@ def windows(docs: DataFrame, longest: int, parts: int, hot: dict[str, set[bytes]
     return arrow_map(slim, "part int, grp string, lines string", rows, size=200)
 
 
+def _distinct(columns: list[np.ndarray], total: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Rows of columns of numbers below ``total``, each once and in order, and how often they occur."""
+    if total ** len(columns) < 1 << 62:
+        code = columns[0]
+        for c in columns[1:]:
+            code = code * total + c
+        code, times = np.unique(code, return_counts=True)
+        out = []
+        for _ in columns:
+            code, last = np.divmod(code, total)
+            out.append(last)
+        return out[::-1], times
+    code = columns[0]
+    for c in columns[1:]:
+        code = np.unique(code * total + c, return_inverse=True)[1]
+    _, first, times = np.unique(code, return_index=True, return_counts=True)
+    return [c[first] for c in columns], times
+
+
 def _hot_fronts(docs: DataFrame, options: dict) -> dict[str, set[bytes]]:
     """Two words that many windows begin with, by a sample; they decide only how even the parts are."""
     total = docs.count()
@@ -108,28 +121,29 @@ def _opened(sent: DataFrame, longest: int) -> DataFrame:
 def phrase_counts(docs: DataFrame, longest: int, least: int, **options) -> DataFrame:
     """``grp, size, phrase, f`` of all phrases of up to ``longest`` words that occur ``least`` times; size 0 counts all words.
 
-    One shuffle brings equal windows, and equal fronts of two words, to one task; ``ROLLUP`` then sums the fronts to
-    single words and groups. Only fronts that were spread are summed across parts.
+    One shuffle brings equal windows, and equal fronts of two words, to one task. There, from the longest size down,
+    rows are summed to their fronts, and those that are too rare to matter themselves go on as fronts only. What is
+    left is summed by ``ROLLUP`` to phrases (also of fronts that were spread over parts), single words and groups.
     """
     parts = max(64, 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     sent = windows(docs, longest, parts, _hot_fronts(docs, options), **options).repartition(max(32, parts // 4), "part")
-    counted = _opened(sent, longest).groupBy("part", "grp", "key").agg(F.sum("f").alias("f"))
-    found = []
-    for size in range(longest, 1, -1):
-        front = F.col("key") if size == longest else F.substring_index("key", " ", size)
-        sums = counted if size == longest else counted.groupBy("part", "grp", front.alias("key")).agg(F.sum("f").alias("f"))
-        if size < longest:  # a part holds all of a front unless the front is spread
-            spread = sums.where(F.col("part") >= parts).groupBy("grp", "key").agg(F.sum("f").alias("f"))
-            whole = sums.where(F.col("part") < parts).select("grp", "key", "f").unionByName(spread)
-        else:
-            whole = sums
-        whole = whole.where(F.col("f") >= least)
-        found.append(whole.where(~F.col("key").endswith(" ")).select("grp", F.lit(size).alias("size"), F.col("key").alias("phrase"), "f"))
-    fronts = counted.groupBy("part", "grp", F.substring_index("key", " ", 2).alias("key")).agg(F.sum("f").alias("f"))
-    short = fronts.select("grp", F.substring_index("key", " ", 1).alias("w1"), "f").rollup("grp", "w1").agg(F.sum("f").alias("f"), F.grouping_id().alias("level"))
-    words = short.where(f"level = 0 and f >= {int(least)}").select("grp", F.lit(1).alias("size"), F.col("w1").alias("phrase"), "f")
-    total = short.where("level = 1").select("grp", F.lit(0).alias("size"), F.lit("").alias("phrase"), "f")
-    return reduce(DataFrame.unionByName, [*found, words, total])
+    found = _opened(sent, longest).groupBy("part", "grp", "key").agg(F.sum("f").alias("f")).withColumn("size", F.lit(longest))
+    matters = ((F.col("f") >= least) | (F.col("part") >= parts)) & ~F.col("key").endswith(" ")
+    none = F.lit(None).cast("struct<size:int,key:string,f:bigint>")
+    for size in range(longest - 1, 1, -1):
+        front = F.when(F.col("size") == size + 1, F.struct(F.lit(size).alias("size"), F.substring_index("key", " ", size).alias("key"), "f"))
+        own = F.when((F.col("size") > size + 1) | matters, F.struct("size", "key", "f")).otherwise(none)
+        found = found.select("part", "grp", F.explode(F.array(front, own)).alias("row")).where("row is not null").select("part", "grp", "row.*")
+        found = found.groupBy("part", "grp", "size", "key").agg(F.sum("f").alias("f"))
+    # only fronts of two words count for what is shorter: each word starts exactly one
+    rest = F.when(matters, F.expr("substring(key, length(substring_index(key, ' ', 1)) + 2)")).otherwise("")
+    rows = found.select("grp", F.substring_index("key", " ", 1).alias("word"), rest.alias("rest"), "f", F.when(F.col("size") == 2, F.col("f")).otherwise(0).alias("starts"))
+    sums = rows.rollup("grp", "word", "rest").agg(F.sum("f").alias("whole"), F.sum("starts").alias("starts"), F.grouping_id().alias("level"))
+    whole = sums.where(f"level = 0 and rest <> '' and whole >= {int(least)}").select("grp", F.concat_ws(" ", "word", "rest").alias("phrase"), F.col("whole").alias("f"))
+    whole = whole.select("grp", F.size(F.split("phrase", " ")).alias("size"), "phrase", "f")
+    words = sums.where(f"level = 1 and starts >= {int(least)}").select("grp", F.lit(1).alias("size"), F.col("word").alias("phrase"), F.col("starts").alias("f"))
+    total = sums.where("level = 3").select("grp", F.lit(0).alias("size"), F.lit("").alias("phrase"), F.col("starts").alias("f"))
+    return whole.unionByName(words).unionByName(total)
 
 
 def score(a: str, l: str, r: str) -> Column:  # noqa: E741

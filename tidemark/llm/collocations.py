@@ -139,11 +139,10 @@ def phrase_counts(docs: DataFrame, longest: int, least: int, **options) -> DataF
     rest = F.when(matters, F.expr("substring(key, length(substring_index(key, ' ', 1)) + 2)")).otherwise("")
     rows = found.select("grp", F.substring_index("key", " ", 1).alias("word"), rest.alias("rest"), "f", F.when(F.col("size") == 2, F.col("f")).otherwise(0).alias("starts"))
     sums = rows.rollup("grp", "word", "rest").agg(F.sum("f").alias("whole"), F.sum("starts").alias("starts"), F.grouping_id().alias("level"))
-    whole = sums.where(f"level = 0 and rest <> '' and whole >= {int(least)}").select("grp", F.concat_ws(" ", "word", "rest").alias("phrase"), F.col("whole").alias("f"))
-    whole = whole.select("grp", F.size(F.split("phrase", " ")).alias("size"), "phrase", "f")
-    words = sums.where(f"level = 1 and starts >= {int(least)}").select("grp", F.lit(1).alias("size"), F.col("word").alias("phrase"), F.col("starts").alias("f"))
-    total = sums.where("level = 3").select("grp", F.lit(0).alias("size"), F.lit("").alias("phrase"), F.col("starts").alias("f"))
-    return whole.unionByName(words).unionByName(total)
+    # one condition for all levels, so that they are summed together
+    size = F.when(F.col("level") == 0, F.size(F.split("rest", " ")) + 1).when(F.col("level") == 1, 1).otherwise(0)
+    sums = sums.select("grp", "level", size.alias("size"), F.concat_ws(" ", "word", "rest").alias("phrase"), F.expr("if(level = 0, whole, starts)").alias("f"), "rest")
+    return sums.where(f"level = 3 or (level < 2 and f >= {int(least)} and (level = 1 or rest <> ''))").select("grp", "size", "phrase", "f")
 
 
 def score(a: str, l: str, r: str) -> Column:  # noqa: E741

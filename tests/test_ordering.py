@@ -97,3 +97,40 @@ def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert ordering.running_totals(empty, "v", ["id"], by=["g"]).count() == 0
     assert ordering.exact_quantiles(empty, ["v"], [0.5]).count() == 0
+
+
+def test_a_hot_score_with_prefixed_string_ids_splits(make):
+    rows = [(0.5, f"customer_{i:08d}") for i in range(4000)] + [(float(i), f"customer_x{i}") for i in range(400)]
+    df = make(rows, "v double, id string")
+    cells = ordering.with_cells(df, F.col("v"), "id", cells=20)
+    assert cells.groupBy(ordering.CELL, ordering.SUB).count().agg(F.max("count")).first()[0] < 4400 / 20 * 3
+    got = ordering.running_totals(df, "v", ["id"], cells=20).collect()
+    assert [r["id"] for r in sorted(got, key=lambda r: r["pos"])] == [i for _, i in sorted(rows)]
+
+
+def test_parts_are_no_more_than_cells(make):
+    rows = [(float(i % 5), i) for i in range(5000)]
+    cells = ordering.with_cells(make(rows, "v double, id long"), F.col("v"), "id", cells=20)
+    assert cells.select(ordering.CELL, ordering.SUB).distinct().count() <= 40
+
+
+def test_a_value_that_changes_when_computed_again_has_one_place(make):
+    df = make([(i,) for i in range(3000)], "id long").withColumn("v", F.rand())
+    got = sorted(ordering.running_totals(df, "v", ["id"], cells=16).collect(), key=lambda r: r["pos"])
+    assert [r["pos"] for r in got] == list(range(1, 3001))
+    assert [r["v"] for r in got] == sorted(r["v"] for r in got)
+
+
+def test_bins_by_halving(make):
+    edges, rows = [1.0, 2.0, 2.5, 7.0], [(x / 4,) for x in range(-4, 40)]
+    got = make(rows, "v double").select("v", ordering.bin_of(F.col("v"), F.array(*map(F.lit, edges)), 4).alias("b")).collect()
+    assert all(r["b"] == sum(e <= r["v"] for e in edges) for r in got)
+
+
+def test_few_values_are_shuffled_for_a_median(make, spark):
+    """Only cells that hold the wanted rank are counted value by value."""
+    df = make([(float(i % 9973), i % 3) for i in range(20_000)], "v double, g int")
+    got = {r["g"]: r["q0"] for r in ordering.exact_quantiles(df, ["v"], [0.5], ["g"], cells=50).collect()}
+    import numpy as np
+
+    assert got == {g: np.median([float(i % 9973) for i in range(20_000) if i % 3 == g]) for g in range(3)}

@@ -78,12 +78,12 @@ def segment_vs_rest(df: DataFrame, columns: Sequence[str], inside: Column) -> Da
     flagged = materialize(df.select(F.coalesce(inside, F.lit(False)).alias("en_segmento"), *columns), "segment")
     long = to_long(flagged, ["en_segmento"], columns)
     by = ["en_segmento", "column"]
-    moments = long.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), ratio(F.sum("value"), F.count("value")).alias("media"),
+    # + 0.0: both zeros are one value
+    moments = long.groupBy(*by).agg(F.count_distinct(F.col("value") + F.lit(0.0)).alias("distintos"), F.count(F.lit(1)).alias("n"), ratio(F.sum("value"), F.count("value")).alias("media"),
                                     F.stddev_samp("value").alias("desvio"), F.min("value").alias("minimo"),
                                     F.max("value").alias("maximo"))
-    quartiles = exact_quantiles(flagged, columns, [0.25, 0.5, 0.75], ["en_segmento"],
-                                extra={"distintos": F.count(F.lit(1))}).select(
-        *by, "distintos", F.col("q0").alias("q25"), F.col("q1").alias("mediana"), F.col("q2").alias("q75"))
+    quartiles = exact_quantiles(flagged, columns, [0.25, 0.5, 0.75], ["en_segmento"], written=True).select(
+        *by, F.col("q0").alias("q25"), F.col("q1").alias("mediana"), F.col("q2").alias("q75"))
     sizes = flagged.groupBy("en_segmento").agg(F.count(F.lit(1)).alias("_rows"))
     return (moments.join(quartiles, by).join(sizes, "en_segmento")
             .withColumn("faltantes", F.col("_rows") - F.col("n")).drop("_rows"))

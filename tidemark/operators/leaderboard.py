@@ -168,7 +168,7 @@ def rank_models(results: DataFrame, model: str = "model", run: str = "run", valu
                 alpha: float = 0.05) -> DataFrame:
     """Models by significant wins, then by median. A significant pair goes to the higher median."""
     results = materialize(results.select(model, run, value), "results")
-    medians = exact_quantiles(results, [value], [0.5], [model]).select(model, F.col("q0").alias("mediana"))
+    medians = exact_quantiles(results, [value], [0.5], [model], written=True).select(model, F.col("q0").alias("mediana"))
     tests = compare_models(results, model, run, value).filter(F.col("p") < alpha)
     a = medians.select(F.col(model).alias("model_a"), F.col("mediana").alias("_ma"))
     b = medians.select(F.col(model).alias("model_b"), F.col("mediana").alias("_mb"))
@@ -197,7 +197,7 @@ def sequential_comparison(pairs: DataFrame, x: str, y: str, run: str, by: Sequen
     """
     by = list(by)
     pairs = materialize(pairs.select(*by, run, x, y), "pairs")
-    numbered = running_totals(pairs, run, [run], by=by, position="_i", top=cap)
+    numbered = running_totals(pairs, run, [run], by=by, position="_i", top=cap, written=True)
     prefixes = numbered.withColumn("n_runs", F.explode(F.sequence(F.col("_i").cast("int"), F.lit(cap))))
     lengths = numbered.groupBy(*by).agg(F.max("_i").alias("_len"))
     prefixes = prefixes.join(lengths, by).filter(F.col("n_runs") <= F.col("_len"))

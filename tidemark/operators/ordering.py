@@ -5,8 +5,12 @@ or an unpartitioned window would sort it in one task. Here the order key is firs
 approximate quantiles of the whole table. Cell totals come from one map-side combined aggregation,
 each row's place inside its cell from a window partitioned by cell, and the two are added. A cell holds
 about 1/cells of the table however the rows spread over the groups. A value so frequent that it fills a
-cell by itself gets a cell of its own, split again by the tie-break key. The cut points decide only how
-even the cells are: any cut points give the same result, so retried tasks cannot change it.
+cell by itself gets a cell of its own, split again by the tie-break key into as many parts as it fills cells.
+The cut points decide only how even the cells are: any cut points give the same result.
+
+The input is evaluated once: what is ordered is written to the shared folder, and cut points, cell totals and
+rows are read from there. So a value that may come out differently when it is computed again, such as a mean of
+doubles, has one place in the order.
 """
 
 from __future__ import annotations
@@ -21,6 +25,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
+
 CELL, SUB, POINT, KEY, TIE = "_cell", "_sub", "_point", "_key", "_tie"
 EXACT_LONG = float(2**53)
 
@@ -30,14 +36,11 @@ def default_cells(spark: SparkSession) -> int:
     return max(32, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def _ordered_number(df: DataFrame, column: str) -> Column:
-    """A double that never falls where the column rises; it only has to spread the rows.
-
-    Strings count by their first six bytes, as Spark orders them by bytes.
-    """
+def _ordered_number(df: DataFrame, column: str) -> Column | None:
+    """A double that never falls where the column rises; it only has to spread the rows. None for strings."""
     kind = df.schema[column].dataType
-    if isinstance(kind, T.StringType):
-        return F.conv(F.rpad(F.hex(F.substring(F.col(column).cast("binary"), 1, 6)), 12, "0"), 16, 10).cast("double")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return None
     if isinstance(kind, T.DateType):
         return F.unix_date(column).cast("double")
     if isinstance(kind, (T.NumericType, T.BooleanType, T.TimestampType)):
@@ -47,15 +50,45 @@ def _ordered_number(df: DataFrame, column: str) -> Column:
     return F.lit(0.0)
 
 
-def _edges(quantiles: Sequence[float], extra: Sequence[float] = (), limit: float = EXACT_LONG) -> tuple[list[float], list[int]]:
-    """Cell borders, and the cells that hold exactly one value."""
-    frequent = {v for v, times in Counter(quantiles).items() if times > 1 and abs(v) < limit}
-    frequent |= set(extra)
-    cuts = set(quantiles) | frequent | {math.nextafter(v, math.inf) for v in frequent}
+def bin_of(value: Column, edges: Column, most: int) -> Column:
+    """How many of the ascending ``edges``, at most ``most`` of them, are not above ``value``: found by halving."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(max(1, int(most).bit_length())))])
+
+    def go(at: Column, step: Column) -> Column:
+        return F.when((at + step <= F.size(edges)) & (F.get(edges, at + step - 1) <= value), at + step).otherwise(at)
+
+    return F.aggregate(steps, F.lit(0), go)
+
+
+def _string_part(df: DataFrame, column: str, n: int) -> Column:
+    """Part 0..n-1 of a string, cut at strings of a bounded sample, in the order Spark compares them."""
+    wanted = 8 * n
+    rows = max(1, df.count())
+    some = df.select(column).where(F.col(column).isNotNull()).sample(min(1.0, wanted / rows), seed=1).limit(2 * wanted).collect()
+    values = sorted({bytes(r[0]) if isinstance(r[0], bytearray) else r[0] for r in some})
+    cuts = sorted({values[len(values) * k // n] for k in range(1, n)}) if values else []
+    if not cuts:
+        return F.lit(0)
+    return F.coalesce(bin_of(F.col(column), F.array(*[F.lit(c) for c in cuts]), len(cuts)), F.lit(0))
+
+
+def _edges(quantiles: Sequence[float], extra: Sequence[float] = (), limit: float = EXACT_LONG) -> tuple[list[float], dict[int, int]]:
+    """Cell borders, and for the cells that hold exactly one value how many cells' worth of rows it has."""
+    frequent = {v: times for v, times in Counter(quantiles).items() if times > 1 and abs(v) < limit}
+    frequent = {v: 1 for v in extra} | frequent
+    cuts = set(quantiles) | set(frequent) | {math.nextafter(v, math.inf) for v in frequent}
     borders = [-math.inf, *sorted(c for c in cuts if math.isfinite(c)), math.inf]
     if len(borders) < 3:
         borders.insert(1, 0.0)
-    return borders, [borders.index(v) for v in frequent]
+    at = {v: k for k, v in enumerate(borders)}
+    return borders, {at[v]: times + 1 for v, times in frequent.items()}
+
+
+def _worth(points: Mapping[int, int]) -> Column:
+    """Number of parts of a single-value cell; null for other cells. All parts together are no more than cells."""
+    if not points:
+        return F.lit(None).cast("int")
+    return F.try_element_at(F.create_map(*[F.lit(int(x)) for pair in points.items() for x in pair]), F.col(CELL))
 
 
 def _bucket(df: DataFrame, columns: Sequence[str], borders: Sequence[Sequence[float]], out: Sequence[str]) -> DataFrame:
@@ -77,32 +110,42 @@ def with_cells(df: DataFrame, key: Column, tie: str | None = None, uniform: bool
                cells: int | None = None, exact: bool = False) -> DataFrame:
     """Add the ordering key as double, its cell, the sub-cell and whether the cell is a single value.
 
-    ``exact`` says the key came from a double. ``uniform`` says the key is a hash in [0, 1), which needs no look at the data. Without ``tie`` the
-    sub-cell of a single-value cell is a mere salt.
+    ``exact`` says the key came from a double. ``uniform`` says the key is a hash in [0, 1), which needs no look at the data.
+    Without ``tie`` the sub-cell of a single-value cell is a mere salt. ``df`` is read several times: it should be a written table.
     """
     n = cells or default_cells(df.sparkSession)
+    rows = df.columns
     # + 0.0 turns -0.0 into 0.0, which the bucketing would otherwise put below it
     df = df.withColumn(KEY, key.cast("double") + F.lit(0.0))
     if uniform:
         return df.withColumns({CELL: F.floor(F.col(KEY) * n).cast("int"), SUB: F.lit(0), POINT: F.lit(False)})
-    rows = [c for c in df.columns if c != KEY]
-    looked_at = [KEY]
+    looked_at, number = [KEY], None
     if tie is not None:
-        df = df.withColumn(TIE, _ordered_number(df, tie))
-        looked_at.append(TIE)
+        number = _ordered_number(df, tie)
+        if number is not None:
+            df = df.withColumn(TIE, number)
+            looked_at.append(TIE)
     quantiles = df.select(*looked_at).approxQuantile(looked_at, [i / n for i in range(1, n)], 1 / (4 * n))
     borders, points = _edges(quantiles[0], limit=math.inf if exact else EXACT_LONG)
     # nulls, all equal to each other, go to a last cell of their own
     last = len(borders) - 1
-    point = _in(F.col(CELL), [*points, last])
-    if tie is None:
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in rows]), F.lit(n)).cast("int")
-        df = _bucket(df, [KEY], [borders], [CELL]).withColumn(CELL, F.coalesce(CELL, F.lit(last)))
-        return df.withColumns({POINT: point, SUB: F.when(point, salt).otherwise(0)})
-    # a cell of the tie-break holds 1/n of the table, and so at most that of any single value
-    df = _bucket(df, looked_at, [borders, _edges(quantiles[1])[0]], [CELL, SUB])
+    points = points | {last: n}
+    if number is not None:
+        tie_borders = _edges(quantiles[1])[0]
+        df, most = _bucket(df, looked_at, [borders, tie_borders], [CELL, SUB]), len(tie_borders)
+        part = F.coalesce(F.col(SUB), F.lit(0))
+    else:
+        df, most = _bucket(df, [KEY], [borders], [CELL]), n
+        if tie is None:
+            part = F.pmod(F.xxhash64(*[F.col(c) for c in rows]), F.lit(n)).cast("int")
+        else:
+            most = min(n, 1024)
+            part = _string_part(df, tie, most)
     df = df.withColumn(CELL, F.coalesce(CELL, F.lit(last)))
-    return df.withColumns({POINT: point, SUB: F.when(point, F.coalesce(SUB, F.lit(0))).otherwise(0)}).drop(TIE)
+    worth = _worth(points)
+    # a part of the tie-break holds about 1/most of the table: neighbours go together where the value has few rows
+    sub = F.when(worth.isNotNull(), F.floor(part * worth / F.lit(most)).cast("int")).otherwise(0)
+    return df.withColumns({POINT: worth.isNotNull(), SUB: sub}).drop(TIE)
 
 
 def _same(left: DataFrame, right: DataFrame, columns: Sequence[str], prefix: str) -> Column:
@@ -125,14 +168,19 @@ def running_totals(
     top: int | None = None,
     ranks: bool = False,
     cells: int | None = None,
+    written: bool = False,
 ) -> DataFrame:
     """Position (from 1) and running sums of each row in the order of ``value``, then ``ties``.
 
     ``sums`` maps new columns to the columns they accumulate. ``by`` starts afresh in every group.
     ``size`` names a column for the group's row count. ``top`` returns only the rows at positions up
     to it; cells that lie wholly beyond are dropped before the shuffle, so a short top list moves
-    little data. ``ranks`` adds ``_rank`` and ``_ties`` as ``rank_counts`` does, in the same pass.
+    little data. ``ranks`` adds ``_rank`` and ``_ties`` as ``rank_counts`` does, in the same pass. ``written``
+    says that ``df`` is a table already; anything else is written first, so that it is evaluated once. A hash
+    as value (``uniform``) comes out alike every time and is not.
     """
+    if not (written or uniform):
+        df = materialize(df, "order")
     sums = dict(sums or {})
     by = list(by)
     order = [F.col(value).desc() if descending else F.col(value).asc(), *[F.col(t) for t in ties]]
@@ -143,7 +191,7 @@ def running_totals(
     place = [*by, CELL, SUB]
     totals = work.groupBy(*place).agg(F.count(F.lit(1)).alias("_n"),
                                       *[F.sum(c).alias(f"_sum_{out}") for out, c in sums.items()])
-    # one row per group and cell, so these windows are small
+    # a group has no more than a few rows per cell here, so these windows are small
     group = Window.partitionBy(*by)
     before = group.orderBy(CELL, SUB).rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(
@@ -168,8 +216,9 @@ def running_totals(
     return result if top is None else result.filter(F.col(position) <= top)
 
 
-def rank_counts(df: DataFrame, value: str, by: Sequence[str], cells: int | None = None) -> DataFrame:
+def rank_counts(df: DataFrame, value: str, by: Sequence[str], cells: int | None = None, written: bool = False) -> DataFrame:
     """Add ``_rank`` (ties share the lowest), ``_ties`` and ``_size`` of each row within its group."""
+    df = df if written else materialize(df, "ranks")
     return rank_counts_in_cells(with_cells(df, F.col(value), cells=cells, exact=_is_double(df, value)), value, by)
 
 
@@ -210,71 +259,78 @@ def to_long(df: DataFrame, keep: Sequence[str], columns: Sequence[str], name: st
             .filter(F.col(value).isNotNull()))
 
 
+def _columns_in_cells(df: DataFrame, keep: Sequence[str], columns: Sequence[str], n: int,
+                      extra: Sequence[float] = ()) -> tuple[DataFrame, list[dict[int, int]], list[str]]:
+    """Every column as double with its cell beside it, found in one pass over all columns, and the single-value cells."""
+    slim = df.select(*keep, *[(F.col(c).cast("double") + F.lit(0.0)).alias(c) for c in columns])
+    quantiles = slim.approxQuantile(list(columns), [i / n for i in range(1, n)], 1 / (4 * n))
+    parts = [_edges(q, extra=extra) for q in quantiles]
+    names = [f"_cell_{i}" for i in range(len(columns))]
+    return _bucket(slim, columns, [b for b, _ in parts], names), [p for _, p in parts], names
+
+
 def long_with_cells(df: DataFrame, keep: Sequence[str], columns: Sequence[str], cells: int | None = None,
                     split_signs: bool = False) -> DataFrame:
-    """``to_long`` with every column cut into its own cells, found in one pass over all columns."""
+    """``to_long`` with every column cut into its own cells. ``df`` is read twice: it should be a written table."""
     n = cells or default_cells(df.sparkSession)
     columns = list(columns)
-    slim = df.select(*keep, *[(F.col(c).cast("double") + F.lit(0.0)).alias(c) for c in columns])
-    quantiles = slim.approxQuantile(columns, [i / n for i in range(1, n)], 1 / (4 * n))
-    parts = [_edges(q, extra=(0.0,) if split_signs else ()) for q in quantiles]
-    names = [f"_cell_{i}" for i in range(len(columns))]
-    cut = _bucket(slim, columns, [b for b, _ in parts], names)
+    cut, points, names = _columns_in_cells(df, keep, columns, n, extra=(0.0,) if split_signs else ())
+    salt = F.abs(F.hash(*[F.col(k) for k in keep]) % (1 << 30)) if keep else F.lit(0)
+    worth = [F.lit(None).cast("int") if not p else F.try_element_at(
+        F.create_map(*[F.lit(int(x)) for pair in p.items() for x in pair]), F.col(cell)) for cell, p in zip(names, points)]
     entries = F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).alias("value"), F.col(cell).alias(CELL),
-                 _in(F.col(cell), points).alias(POINT))
-        for c, cell, (_, points) in zip(columns, names, parts)
+        F.struct(F.lit(c).alias("column"), F.col(c).alias("value"), F.col(cell).alias(CELL), w.isNotNull().alias(POINT),
+                 F.coalesce(salt % w, F.lit(0)).alias(SUB))
+        for c, cell, w in zip(columns, names, worth)
     ])
-    salt = F.pmod(F.hash(*[F.col(k) for k in keep]), F.lit(n)) if keep else F.lit(0)
-    return (cut.select(*keep, F.explode(entries).alias("_c")).select(*keep, "_c.*")
-            .filter(F.col("value").isNotNull())
-            .withColumn(SUB, F.when(F.col(POINT), salt).otherwise(0)))
-
-
-def value_counts_in_order(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (),
-                          cells: int | None = None) -> DataFrame:
-    """Distinct values per (group, column) with their count and the positions [first, last] they fill."""
-    by = list(by)
-    place = [*by, "column", CELL]
-    counts = (long_with_cells(df, by, columns, cells).groupBy(*place, "value")
-              .agg(F.count(F.lit(1)).alias("n")))
-    totals = counts.groupBy(*place).agg(F.sum("n").alias("_n"))
-    group = Window.partitionBy(*by, "column")
-    starts = totals.select(
-        *[F.col(c).alias(f"_at_{c}") for c in place],
-        F.coalesce(F.sum("_n").over(group.orderBy(CELL).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        .alias("_n_before"),
-        F.sum("_n").over(group).alias("size"),
-    )
-    upto = Window.partitionBy(*place).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    last = F.col("_n_before") + F.sum("n").over(upto) - 1
-    return counts.join(starts, _same(counts, starts, place, "_at_")).select(
-        *by, "column", "value", "n", (last - F.col("n") + 1).alias("first"), last.alias("last"), "size")
+    return cut.select(*keep, F.explode(entries).alias("_c")).select(*keep, "_c.*").filter(F.col("value").isNotNull())
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float],
-                    by: Sequence[str] = (), cells: int | None = None,
-                    extra: Mapping[str, Column] | None = None) -> DataFrame:
+                    by: Sequence[str] = (), cells: int | None = None, written: bool = False) -> DataFrame:
     """Linearly interpolated quantiles per (group, column): columns ``column``, ``size``, ``q0``, ``q1``...
 
-    ``extra`` adds aggregates over the distinct values (``value``) and their counts (``n``).
+    Rows are counted per cell; the counts tell which cells hold a wanted rank, and where in them. A cell of one
+    value is the answer itself. Only the values of the other cells that hold a wanted rank, a few in hundred of
+    all, are counted and put in order.
     """
-    extra = dict(extra or {})
-    counts = value_counts_in_order(df, columns, by, cells)
-    picks = []
-    for i, p in enumerate(probabilities):
-        at = (F.col("size") - 1) * F.lit(float(p))
-        for side, place in (("lo", F.floor(at)), ("hi", F.ceil(at))):
-            hit = (F.col("first") <= place) & (place <= F.col("last"))
-            picks.append(F.max(F.when(hit, F.col("value"))).alias(f"_{side}{i}"))
-    ends = counts.groupBy(*by, "column", "size").agg(
-        *picks, *[e.alias(name) for name, e in extra.items()])
-    values = []
-    for i, p in enumerate(probabilities):
-        at = (F.col("size") - 1) * F.lit(float(p))
-        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        part = at - F.floor(at)
+    by, columns = list(by), list(columns)
+    n = cells or default_cells(df.sparkSession)
+    if not written:
+        df = materialize(df.select(*by, *[c for c in columns if c not in by]), "quantiles")
+    cut, _, names = _columns_in_cells(df, by, columns, n)
+    entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(cell).alias(CELL), F.col(c).alias("value")) for c, cell in zip(columns, names)])
+    long = cut.select(*by, F.explode(entries).alias("_c")).select(*by, "_c.*").filter(F.col("value").isNotNull())
+    place = [*by, "column", CELL]
+    counts = long.groupBy(*place).agg(F.count(F.lit(1)).alias("_n"), F.min("value").alias("_min"), F.max("value").alias("_max"))
+    group = Window.partitionBy(*by, "column")  # a group's cells
+    counts = counts.select(*place, "_n", "_min", "_max", F.sum("_n").over(group).alias("size"),
+                           (F.sum("_n").over(group.orderBy(CELL).rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).alias("_start"))
+    at = [(F.col("size") - 1) * F.lit(float(p)) for p in probabilities]
+    ranks = F.array(*[F.struct(F.lit(2 * i + side).alias("which"), f(a).cast("long").alias("rank"))
+                      for i, a in enumerate(at) for side, f in enumerate((F.floor, F.ceil))])
+    wanted = counts.withColumn("_ranks", F.filter(ranks, lambda r: (r["rank"] >= F.col("_start")) & (r["rank"] < F.col("_start") + F.col("_n"))))
+    # written, as it is small, is joined with the rows, and gives the one-value cells; order of sums plays no part
+    wanted = materialize(wanted.filter(F.size("_ranks") > 0).select(*place, "size", "_start", "_min", "_max", "_ranks"), "ranks")
+    open_ = wanted.filter("_min < _max").select(*[F.col(c).alias(f"_at_{c}") for c in place], "size", "_start", "_ranks")
+    values = long.join(open_, _same_place(long, open_, by))
+    values = values.groupBy(*place, "size", "_start", "_ranks", "value").agg(F.count(F.lit(1)).alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy(*place).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)) + F.col("_start")
+    inside = values.withColumn("_upto", upto).select(*by, "column", "size", "value", F.filter(
+        "_ranks", lambda r: (r["rank"] < F.col("_upto")) & (r["rank"] >= F.col("_upto") - F.col("_n"))).alias("_ranks"))
+    single = wanted.filter("_min = _max").select(*by, "column", "size", F.col("_min").alias("value"), "_ranks")
+    picks = inside.filter(F.size("_ranks") > 0).unionByName(single).select(*by, "column", "size", "value", F.explode("_ranks.which").alias("_which"))
+    ends = picks.groupBy(*by, "column", "size").agg(*[
+        F.max(F.when(F.col("_which") == k, F.col("value"))).alias(f"_v{k}") for k in range(2 * len(at))])
+    result = []
+    for i, a in enumerate(at):
+        lo, hi, part = F.col(f"_v{2 * i}"), F.col(f"_v{2 * i + 1}"), a - F.floor(a)
         # measured from the nearer end, which loses no digits
         near_lo, near_hi = lo + (hi - lo) * part, hi - (hi - lo) * (1 - part)
-        values.append(F.when(part < 0.5, near_lo).otherwise(near_hi).alias(f"q{i}"))
-    return ends.select(*by, "column", "size", *values, *extra)
+        result.append(F.when(part < 0.5, near_lo).otherwise(near_hi).alias(f"q{i}"))
+    return ends.select(*by, "column", "size", *result)
+
+
+def _same_place(long: DataFrame, wanted: DataFrame, by: Sequence[str]) -> Column:
+    same = (long["column"] == wanted["_at_column"]) & (long[CELL] == wanted[f"_at_{CELL}"])
+    return reduce(lambda x, c: x & long[c].eqNullSafe(wanted[f"_at_{c}"]), by, same)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -78,23 +79,28 @@ def _two_sides(df: DataFrame, columns: Sequence[str], expected: Column, actual:
 
 
 def _bin_counts(sides: DataFrame, columns: Sequence[str], bins: int) -> DataFrame:
-    edges = exact_quantiles(sides.filter("_e"), columns, [i / bins for i in range(bins + 1)]).select(
-        "column", F.array_sort(F.array_distinct(F.array(*[f"q{i}" for i in range(bins + 1)]))).alias("edges"))
+    found = exact_quantiles(sides.filter("_e"), columns, [i / bins for i in range(bins + 1)], written=True)
     # bins + 1 numbers per column: small whatever the data
-    edges = F.broadcast(edges)
-    long = to_long(sides, ["_e", "_a"], columns).join(edges, "column")
-    last = F.size("edges")
-    below = F.size(F.filter("edges", lambda e: e <= F.col("value")))
-    bin_no = F.when(F.col("value") == F.col("edges")[last - 1], F.greatest(last - 1, F.lit(1))).otherwise(below)
-    counts = (long.withColumn("bin", bin_no).filter((F.col("bin") >= 1) & (F.col("value") <= F.col("edges")[last - 1]))
-              .groupBy("column", "bin")
-              .agg(F.sum(F.col("_e").cast("long")).alias("n_expected"), F.sum(F.col("_a").cast("long")).alias("n_actual")))
-    all_bins = edges.select("column", "edges", F.explode(F.sequence(F.lit(1), F.greatest(F.size("edges") - 1, F.lit(1)))).alias("bin"))
-    return (all_bins.join(counts, ["column", "bin"], "left")
-            .select("column", "bin", F.col("edges")[F.col("bin") - 1].alias("low"),
-                    F.get(F.col("edges"), F.col("bin")).alias("high"),
-                    F.coalesce("n_expected", F.lit(0)).alias("n_expected"),
-                    F.coalesce("n_actual", F.lit(0)).alias("n_actual")))
+    edges = {r["column"]: sorted({r[f"q{i}"] for i in range(bins + 1)}) for r in found.collect()}
+    names = [c for c in columns if c in edges]
+    rows = [(c, k + 1, edges[c][k], edges[c][k + 1] if k + 1 < len(edges[c]) else None) for c in names for k in range(max(1, len(edges[c]) - 1))]
+    all_bins = sides.sparkSession.createDataFrame(rows, "column string, bin int, low double, high double")
+    if not names:
+        return all_bins.select("*", F.lit(0).cast("long").alias("n_expected"), F.lit(0).cast("long").alias("n_actual"))
+    slim = sides.select("_e", "_a", *[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(names)])
+    cut = Bucketizer(inputCols=[f"_v{i}" for i in range(len(names))], outputCols=[f"_b{i}" for i in range(len(names))],
+                     splitsArray=[[float("-inf"), *edges[c], float("inf")] for c in names], handleInvalid="keep").transform(slim)
+
+    def entry(i: int, c: str) -> Column:
+        last = len(edges[c]) - 1  # bins are [a, b), the last one closed
+        inside = F.when(F.col(f"_v{i}") == edges[c][-1], max(last, 1)).when(F.col(f"_b{i}") <= last, F.col(f"_b{i}").cast("int"))
+        return F.struct(F.lit(c).alias("column"), inside.alias("bin"))
+
+    long = cut.select("_e", "_a", F.explode(F.array(*[entry(i, c) for i, c in enumerate(names)])).alias("r")).select("_e", "_a", "r.*")
+    counts = long.filter("bin >= 1").groupBy("column", "bin").agg(
+        F.sum(F.col("_e").cast("long")).alias("n_expected"), F.sum(F.col("_a").cast("long")).alias("n_actual"))
+    return all_bins.join(counts, ["column", "bin"], "left").select(
+        "column", "bin", "low", "high", F.coalesce("n_expected", F.lit(0)).alias("n_expected"), F.coalesce("n_actual", F.lit(0)).alias("n_actual"))
 
 
 def psi(df: DataFrame, columns: Sequence[str], expected: Column, actual: Column, bins: int = 10,

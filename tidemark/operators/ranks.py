@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import KEYS, Keys, ratio, require, require_some
+from ..session import materialize
 from .ordering import long_with_cells, rank_counts, rank_counts_in_cells, running_totals
 
 
@@ -32,6 +33,7 @@ def signed_rank(df: DataFrame, columns: Sequence[str], mode: str = "positive", r
     require_some(columns, "signed_rank")
     require(df, [*keys.pair, *columns])
     columns = list(columns)
+    df = materialize(df, "ranked")  # cut points, totals, ranks and the rows themselves are read from it
     long = long_with_cells(df, keys.pair, columns, split_signs=True).withColumn("sign", F.signum("value").cast("int"))
     if mode == "whole_month":
         ranked = rank_counts_in_cells(long, "value", [keys.month, "column"])

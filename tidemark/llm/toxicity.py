@@ -16,14 +16,14 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
+from itertools import islice
 
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, arrow_map, worker_state
+from .common import Scratch, arrow_map, batch_map, worker_state
 
 #: Labelled rows used for training, of each label those with the smallest hashes.
 TRAINING_TOXIC, TRAINING_OTHER = 6_000, 10_000
@@ -94,7 +94,7 @@ def character_model(docs: DataFrame) -> np.ndarray:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["code", "n"])
 
-    counts = docs.select("text").mapInArrow(rows, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).collect()
+    counts = batch_map(docs.select("text"), rows, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).collect()
     n = np.zeros(SIZE**3)
     for r in counts:  # at most SIZE**3 rows
         n[r["code"]] = r["n"]
@@ -169,7 +169,7 @@ def restore(token: str, model: list, beam: int = 40) -> list[str]:
 class Restorer:
     """Words of tokens; remembers readings for the life of the worker, in bounded memory."""
 
-    def __init__(self, model: np.ndarray, cache: int = 100_000):
+    def __init__(self, model: np.ndarray, cache: int = 20_000):
         self.model, self.cache, self.known = model.tolist(), cache, {}
 
     def words(self, token: str) -> tuple[str, ...]:
@@ -178,7 +178,7 @@ class Restorer:
         held = self.known.get(token)
         if held is None:
             if len(self.known) > self.cache:
-                self.known.clear()
+                self.known = dict(islice(self.known.items(), self.cache // 2, None))
             # very long tokens are read in parts, so the chain of a reading stays short
             held = tuple(w for k in range(0, len(token), 4096) for w in restore(token[k : k + 4096], self.model))
             if len(token) <= 64:
@@ -229,17 +229,17 @@ class Evidence:
     def token(self, token: str) -> float:
         held = self.known.get(token)
         if held is None:
-            if len(self.known) > 200_000:
-                self.known.clear()
+            if len(self.known) > 100_000:  # the older half goes
+                self.known = dict(islice(self.known.items(), 50_000, None))
             held = max((self.odds.get(f, 0.0) for w in self.restorer.words(token) for f in pieces(w)), default=0.0)
             if len(token) <= 64:
                 self.known[token] = held
         return held
 
-    def without(self, token: str, toxic: bool) -> float:
-        """As ``token``, the document's own counts taken off."""
+    def without(self, words: list[str], toxic: bool) -> float:
+        """As ``token`` for the restored words of one, the document's own counts taken off."""
         best = 0.0
-        for w in self.restorer.words(token):
+        for w in words:
             for f in pieces(w):
                 if f in self.counts:
                     t, o = self.counts[f]
@@ -248,7 +248,7 @@ class Evidence:
 
     @staticmethod
     def describe(values: list[float]) -> list[float]:
-        top = sorted(values, reverse=True)[:TOP] + [0.0] * TOP
+        top = sorted((v for v in values if v > 0), reverse=True)[:TOP] + [0.0] * TOP  # most tokens are no evidence
         return [1.0, top[0], max(0.0, top[0] - 1.5), max(0.0, top[0] - 2.5), top[1], sum(top[:TOP]) / TOP, math.log1p(len(values))]
 
 
@@ -283,13 +283,19 @@ class Model:
     def __init__(self, letters, counts, toxic, other, weights):
         self.letters, self.counts, self.toxic, self.other, self.weights = letters, counts, toxic, other, weights
 
-    def evidence(self) -> Evidence:
-        return Evidence(self.counts, self.toxic, self.other, Restorer(self.letters))
+    def plain(self) -> tuple:
+        """What is sent to tasks: arrays, dictionaries and numbers, as executors need not have this package."""
+        return self.letters, self.counts, self.toxic, self.other, self.weights.tolist(), getattr(self, "tag", None)
 
 
-def worker_evidence(sent) -> Evidence:
+def evidence_of(sent: tuple) -> Evidence:
+    letters, counts, toxic, other = sent[:4]
+    return Evidence(counts, toxic, other, Restorer(letters))
+
+
+def worker_evidence(sent: tuple) -> Evidence:
     """The evidence tables of this worker process for a model that was sent."""
-    return worker_state("toxicity", sent.value.tag, sent.value.evidence)
+    return worker_state("toxicity", sent[5], lambda: evidence_of(sent))
 
 
 def train(docs: DataFrame, labels: DataFrame, scratch: Scratch, *, id_col: str, text_col: str) -> Model:
@@ -304,17 +310,18 @@ def train(docs: DataFrame, labels: DataFrame, scratch: Scratch, *, id_col: str,
         restorer = Restorer(sent.value)
         for r in rows:
             tokens = tokens_of(r["text"])
-            words = sorted({w for t in tokens for w in restorer.words(t)})
-            yield r["toxic"], sketch(words), r["order"], sorted(tokens)
+            restored = [list(restorer.words(t)) for t in sorted(tokens)]
+            yield r["toxic"], sketch(sorted({w for words in restored for w in words})), r["order"], restored
 
-    # copies count as one document: the one whose id has the smallest hash, of repeated ids the smallest tokens
+    # copies count as one document: the one whose id has the smallest hash, of repeated ids the smallest words;
+    # the words of each token are restored once and kept
     kind = docs.schema[id_col].dataType.simpleString()
     ordered = sample.withColumn("order", F.struct(F.xxhash64("id").alias("h"), "id"))
-    read_docs = arrow_map(ordered, f"toxic int, sketch binary, order struct<h:long,id:{kind}>, tokens array<string>", read, size=100)
+    read_docs = arrow_map(ordered, f"toxic int, sketch binary, order struct<h:long,id:{kind}>, tokens array<array<string>>", read, size=100)
     read_docs = scratch.keep(read_docs.groupBy("toxic", "sketch").agg(F.min(F.struct("order", "tokens")).alias("first")).select("toxic", "first.tokens"))
 
     def count(rows):
-        restorer, seen = Restorer(sent.value), {}
+        seen = {}
 
         def flush():
             for f, (t, o) in seen.items():
@@ -322,7 +329,7 @@ def train(docs: DataFrame, labels: DataFrame, scratch: Scratch, *, id_col: str,
             seen.clear()
 
         for r in rows:
-            for f in {f for t in r["tokens"] for w in restorer.words(t) for f in pieces(w)}:
+            for f in {f for words in r["tokens"] for w in words for f in pieces(w)}:
                 pair = seen.setdefault(f, [0, 0])
                 pair[r["toxic"] != 1] += 1
             if len(seen) > 1_000_000:
@@ -340,18 +347,20 @@ def train(docs: DataFrame, labels: DataFrame, scratch: Scratch, *, id_col: str,
     if not toxic or not other:
         model.weights = np.array([3.0 if toxic else -3.0] + [0.0] * 6)
         return _tagged(model)
-    table = spark.sparkContext.broadcast(model)
+    table = spark.sparkContext.broadcast(model.plain())
 
     def describe(rows):
-        evidence = table.value.evidence()
+        evidence = evidence_of(table.value)
         for r in rows:
-            values = [evidence.without(t, r["toxic"] == 1) for t in r["tokens"]]
+            values = [evidence.without(words, r["toxic"] == 1) for words in r["tokens"]]
             yield r["toxic"], Evidence.describe(values)
 
     described = arrow_map(read_docs.select("toxic", "tokens"), "toxic int, x array<double>", describe).collect()
     x, y = np.array([r["x"] for r in described]), np.array([float(r["toxic"] == 1) for r in described])
     model.weights = logistic(x, y)
     scratch.drop(read_docs, chosen)
+    for done in (sent, table):
+        done.unpersist()
     return _tagged(model)
 
 
@@ -369,11 +378,11 @@ def score(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     constant near the kind there is. Other columns are not read.
     """
     scratch = Scratch(docs.sparkSession, "toxicity")
-    sent = docs.sparkSession.sparkContext.broadcast(train(docs, labels, scratch, id_col=id_col, text_col=text_col))
+    sent = docs.sparkSession.sparkContext.broadcast(train(docs, labels, scratch, id_col=id_col, text_col=text_col).plain())
     kind = docs.schema[id_col].dataType.simpleString()
 
     def rows(source):
-        evidence, w = worker_evidence(sent), sent.value.weights.tolist()
+        evidence, w = worker_evidence(sent.value), sent.value[4]
         for r in source:
             x = Evidence.describe([evidence.token(t) for t in tokens_of(r["text"])])
             z = sum(a * b for a, b in zip(w, x))

@@ -47,7 +47,7 @@ def test_decontaminate(spark, docs):
     rows = decontaminate.contamination(docs, items).collect()
     assert len(rows) == len(TEXTS)
     got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["items"]) for r in rows if r["doc_id"] is not None}
-    assert got[1] == (6, 3, ["10"]) and got[2] == (0, 0, []) and got[7] == (1, 1, ["13"]) and got[5] == (120_000, 120_000, ["14"])
+    assert got[1] == (6, 4, ["10"]) and got[2] == (0, 0, []) and got[7] == (1, 1, ["13"]) and got[5] == (120_000, 120_000, ["14"])
     few = items.where("item_id <> 14")
     assert by_id(decontaminate.contamination(docs, few, block=5).collect()) == by_id(decontaminate.contamination(docs, few).collect())
     assert all(r["n_hit"] == 0 for r in decontaminate.contamination(docs, items.limit(0)).collect())

@@ -21,6 +21,7 @@ from .common import Scratch, arrow_map
 RECORDS = 50_000
 WINDOW = 4 << 20
 GAP = 64 << 10
+TASK = 16 << 20  # bytes that one task reads back
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 
@@ -146,9 +147,13 @@ def read_payloads(selected: DataFrame, *, window: int = WINDOW, gap: int = GAP)
     """``record_id, id, payload`` (binary) of the selected index rows.
 
     Records are grouped by file and window, so a group is bounded by the window's bytes whatever was
-    selected; within it they are sorted and read in ranges that join over gaps of up to ``gap`` bytes.
+    selected; within it they are sorted and read in ranges that join over gaps of up to ``gap`` bytes. The number
+    of tasks follows the bytes to be read, not the few bytes of the index.
     """
-    plan = selected.groupBy("path", F.floor(F.col("offset") / window).alias("window")).agg(
+    total = selected.agg(F.sum("length")).first()[0] or 0
+    tasks = max(1, -(-total // TASK))
+    placed = selected.withColumn("window", F.floor(F.col("offset") / window)).repartition(int(tasks), "path", "window")
+    plan = placed.groupBy("path", "window").agg(
         F.sort_array(F.collect_list(F.struct("offset", "length", "payload_offset", "record_id", "id"))).alias("records")
     )
 

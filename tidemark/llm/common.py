@@ -81,10 +81,29 @@ def forget_worker_state(keep: str | None) -> None:
     if held is not None and held[0] != keep:
         home.held = held = None
         gc.collect()
-        try:  # hand freed memory back to the system, where the C library can
-            ctypes.CDLL(None).malloc_trim(0)
-        except (OSError, AttributeError):
-            pass
+        trim()
+
+
+def trim() -> None:
+    """Hand freed memory back to the system, where the libraries can."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
+def batch_map(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema, state: str | None = None) -> DataFrame:
+    """``mapInArrow`` as every operator uses it: workers drop what others left before, and freed memory after.
+
+    ``state`` names the worker state that ``run`` uses.
+    """
+    def clean(batches):
+        forget_worker_state(state)
+        yield from run(batches)
+        trim()
+
+    return df.mapInArrow(clean, schema)
 
 
 def arrow_map(df: DataFrame, schema: str, rows: Callable[[Iterator[dict]], Iterable[tuple]] | None = None, size: int = 2000, state: str | None = None) -> DataFrame:
@@ -99,8 +118,6 @@ def arrow_map(df: DataFrame, schema: str, rows: Callable[[Iterator[dict]], Itera
     arrow = to_arrow_schema(fields)
 
     def run(batches):
-        forget_worker_state(state)
-
         def source():
             for batch in batches:
                 for start in range(0, batch.num_rows, 256):
@@ -115,7 +132,7 @@ def arrow_map(df: DataFrame, schema: str, rows: Callable[[Iterator[dict]], Itera
         if held:
             yield _batch(held, names, arrow)
 
-    return df.mapInArrow(run, fields)
+    return batch_map(df, run, fields, state)
 
 
 def _batch(rows: list[tuple], names: list[str], schema: pa.Schema) -> pa.RecordBatch:

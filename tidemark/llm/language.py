@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, arrow_map, worker_state
+from .common import Scratch, arrow_map, batch_map, worker_state
 
 FREQUENT, CLASSES, HELD = 1500, 256, 200_000
 OUTCOMES = FREQUENT + 1 + CLASSES
@@ -289,7 +289,7 @@ def _round(coded: DataFrame, params: Parameters, noise: np.ndarray) -> Parameter
             out = np.append(trainer.p.flat().astype(np.float64), 1.0) * trainer.seen
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(out), dtype=np.int32)), pa.array(out)], names=["at", "v"])
 
-    sums = coded.select("ids").mapInArrow(run, "at int, v double").groupBy("at").agg(F.sum("v").alias("v")).collect()
+    sums = batch_map(coded.select("ids"), run, "at int, v double").groupBy("at").agg(F.sum("v").alias("v")).collect()
     if not sums:
         return params
     out = np.zeros(len(params.flat()) + 1)

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, arrow_map, components
+from .common import Scratch, arrow_map, batch_map, components
 
 HASHES = 128
 COORDINATES = HASHES // 2
@@ -171,7 +171,7 @@ def _postings(classes: DataFrame, scratch: Scratch) -> DataFrame:
                 c = np.repeat(np.array(part.column("c").to_pylist(), np.int64), COORDINATES)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64).ravel()), pa.array(c)], names=["key", "c"])
 
-    wide = scratch.keep(classes.select("c", "sig").mapInArrow(run, "key long, c long"))
+    wide = scratch.keep(batch_map(classes.select("c", "sig"), run, "key long, c long"))
     lists = scratch.keep(wide.groupBy("key").agg(F.count("*").alias("df")).where("df > 1"))
     shared = wide.join(lists, "key")
     prefix = COORDINATES - MATCHES + SHARED

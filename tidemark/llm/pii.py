@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, arrow_map
+from .common import Scratch, arrow_map, forget_worker_state
 
 KINDS = ("email", "ip", "card", "phone")
 #: The patterns of the four kinds.
@@ -400,7 +400,10 @@ def detect(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", t
 
 
 def redact(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with every found span replaced by its kind in angle brackets; overlapping spans by the first one's."""
+    """``docs`` with every found span replaced by its kind in angle brackets; overlapping spans by the first one's.
+
+    A null text stays null; nothing else of a row changes.
+    """
     weights = fit(docs, text_col)
     sent = docs.sparkSession.sparkContext.broadcast(weights)
 
@@ -408,6 +411,7 @@ def redact(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -
     def clean(texts):
         import pandas as pd
 
+        forget_worker_state(None)
         field = Field(sent.value)
         return pd.Series([None if t is None else replace(t, [s for part in find(t, field) for s in part]) for t in texts])
 

@@ -17,6 +17,7 @@ from __future__ import annotations
 import math
 import zlib
 from itertools import islice
+from operator import eq
 
 import numpy as np
 import xxhash
@@ -35,6 +36,8 @@ PRIOR = 4.0
 TOP = 5
 #: Smallest word hashes that must all agree in copies; below 0.9 of shared words that has a chance under 4 %, below 0.5 under 10^-9.
 MINIMA = 32
+#: Tokens whose evidence a worker remembers, twice.
+CACHED = 150_000
 
 #: Letters that a character may stand for.
 IMITATED = {"@": "a", "4": "a", "3": "e", "€": "e", "1": "il", "!": "il", "|": "il", "0": "o", "$": "s", "5": "s", "7": "t", "+": "t", "8": "b", "9": "g", "6": "g", "(": "c", "2": "z", "µ": "u"}
@@ -135,6 +138,15 @@ def restore(token: str, model: list, beam: int = 40) -> list[str]:
 
     for c, run in units:
         new: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+        if run == 1 and c.isalpha():  # a single letter is itself: the case of almost all characters
+            k = number(c)
+            for (a, b), (score, chain) in states.items():
+                score += model[a][b][k]
+                held = new.get((b, k))
+                if held is None or score > held[0]:
+                    new[b, k] = (score, (chain, c))
+            states = new if len(new) <= beam else dict(sorted(new.items(), key=lambda x: -x[1][0])[:beam])
+            continue
 
         def offer(state, score, chain, new=new):
             if state not in new or score > new[state][0]:
@@ -166,6 +178,23 @@ def restore(token: str, model: list, beam: int = 40) -> list[str]:
     return "".join(reversed(out)).split()
 
 
+#: Characters that may be read as letters; any other one that is no letter says nothing at the ends of a token.
+READ = STRONG | frozenset(IMITATED)
+
+
+def framed(token: str) -> tuple[str, ...] | None:
+    """What ``restore`` gives for letters, none of them doubled, between characters that can't be letters: the letters."""
+    i, j = 0, len(token)
+    while i < j and not (token[i].isalpha() or token[i] in READ):
+        i += 1
+    while i < j and not (token[j - 1].isalpha() or token[j - 1] in READ):
+        j -= 1
+    core = token[i:j]
+    if not core:
+        return ()
+    return (core,) if core.isalpha() and not any(map(eq, core, core[1:])) else None
+
+
 class Restorer:
     """Words of tokens; remembers readings for the life of the worker, in bounded memory."""
 
@@ -175,6 +204,9 @@ class Restorer:
     def words(self, token: str) -> tuple[str, ...]:
         if plain(token):
             return (token,)
+        held = framed(token)
+        if held is not None:
+            return held
         held = self.known.get(token)
         if held is None:
             if len(self.known) > self.cache:
@@ -219,6 +251,7 @@ class Evidence:
         self.counts, self.toxic, self.other, self.restorer = counts, max(toxic, 1.0), max(other, 1.0), restorer
         self.odds = {f: self._odds(t, o) for f, (t, o) in counts.items()}
         self.known: dict[str, float] = {}
+        self.old: dict[str, float] = {}
 
     def _odds(self, t: float, o: float) -> float:
         """Log-odds over those of a document as such; few documents count as little evidence."""
@@ -226,14 +259,32 @@ class Evidence:
         share = (t + PRIOR * base) / (t + o + PRIOR)
         return math.log(share / (1 - share)) - math.log(base / (1 - base))
 
+    def values(self, tokens) -> list[float]:
+        """The evidence of each token that is some."""
+        known, out = self.known, []
+        for t in tokens:
+            v = known.get(t)
+            if v is None:
+                v = self.token(t)
+                known = self.known
+            if v > 0:
+                out.append(v)
+        return out
+
     def token(self, token: str) -> float:
-        held = self.known.get(token)
+        """Strongest evidence of a token; remembered while it is seen now and then: a full table becomes the old one."""
+        held = self.old.get(token)
         if held is None:
-            if len(self.known) > 100_000:  # the older half goes
-                self.known = dict(islice(self.known.items(), 50_000, None))
-            held = max((self.odds.get(f, 0.0) for w in self.restorer.words(token) for f in pieces(w)), default=0.0)
-            if len(token) <= 64:
-                self.known[token] = held
+            odds, held = self.odds, 0.0
+            for w in self.restorer.words(token):
+                for f in pieces(w):
+                    v = odds.get(f)
+                    if v is not None and v > held:
+                        held = v
+        if len(token) <= 64:
+            if len(self.known) >= CACHED:
+                self.known, self.old = {}, self.known
+            self.known[token] = held
         return held
 
     def without(self, words: list[str], toxic: bool) -> float:
@@ -247,9 +298,10 @@ class Evidence:
         return best
 
     @staticmethod
-    def describe(values: list[float]) -> list[float]:
-        top = sorted((v for v in values if v > 0), reverse=True)[:TOP] + [0.0] * TOP  # most tokens are no evidence
-        return [1.0, top[0], max(0.0, top[0] - 1.5), max(0.0, top[0] - 2.5), top[1], sum(top[:TOP]) / TOP, math.log1p(len(values))]
+    def describe(values: list[float], n: int) -> list[float]:
+        """Numbers that describe a document of ``n`` tokens, of which some are evidence."""
+        top = sorted((v for v in values if v > 0), reverse=True)[:TOP] + [0.0] * TOP
+        return [1.0, top[0], max(0.0, top[0] - 1.5), max(0.0, top[0] - 2.5), top[1], sum(top[:TOP]) / TOP, math.log1p(n)]
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 50) -> np.ndarray:
@@ -353,7 +405,7 @@ def train(docs: DataFrame, labels: DataFrame, scratch: Scratch, *, id_col: str,
         evidence = evidence_of(table.value)
         for r in rows:
             values = [evidence.without(words, r["toxic"] == 1) for words in r["tokens"]]
-            yield r["toxic"], Evidence.describe(values)
+            yield r["toxic"], Evidence.describe(values, len(values))
 
     described = arrow_map(read_docs.select("toxic", "tokens"), "toxic int, x array<double>", describe).collect()
     x, y = np.array([r["x"] for r in described]), np.array([float(r["toxic"] == 1) for r in described])
@@ -384,7 +436,8 @@ def score(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     def rows(source):
         evidence, w = worker_evidence(sent.value), sent.value[4]
         for r in source:
-            x = Evidence.describe([evidence.token(t) for t in tokens_of(r["text"])])
+            tokens = tokens_of(r["text"])
+            x = Evidence.describe(evidence.values(tokens), len(tokens))
             z = sum(a * b for a, b in zip(w, x))
             yield r["doc"], 1 / (1 + math.exp(-max(-30.0, min(30.0, z)))), *((r["key"],) if key_col else ())
 

@@ -19,10 +19,11 @@ from heapq import merge
 from itertools import accumulate
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, arrow_map, forget_worker_state
+from .common import Scratch, arrow_map, batch_map
 
 KINDS = ("email", "ip", "card", "phone")
 #: The patterns of the four kinds.
@@ -407,15 +408,16 @@ def redact(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -
     weights = fit(docs, text_col)
     sent = docs.sparkSession.sparkContext.broadcast(weights)
 
-    @F.pandas_udf("string")
-    def clean(texts):
-        import pandas as pd
+    at = docs.columns.index(text_col)
 
-        forget_worker_state(None)
+    def clean(batches):
         field = Field(sent.value)
-        return pd.Series([None if t is None else replace(t, [s for part in find(t, field) for s in part]) for t in texts])
+        for batch in batches:
+            texts = [None if t is None else replace(t, [s for part in find(t, field) for s in part]) for t in batch.column(at).to_pylist()]
+            columns = [pa.array(texts, batch.schema.field(k).type) if k == at else c for k, c in enumerate(batch.columns)]
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return docs.withColumn(text_col, clean(F.col(text_col)))
+    return batch_map(docs, clean, docs.schema)
 
 
 def replace(text: str, spans: list[tuple[int, int, int]]) -> str:

@@ -78,3 +78,46 @@ def test_sizes_of_any_length(make):
     df = make([(1, 100), (2, 250), (3, 1)], "id int, n int")
     got = {r["id"]: r["hoja"] for r in df.select("id", modeling.scaled_min_leaf_column(F.col("n"), 0.25).alias("hoja")).collect()}
     assert got == {1: 400, 2: 1000, 3: 4}
+
+
+# --- splits by borders, areas by rank sums
+
+def test_splits_of_odd_strata(make):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from tidemark.functions.columns import Keys
+    from tidemark.operators import sampling
+
+    rng = random.Random(8)
+    rows = [(k % 700, 202001 + k // 700, rng.choice([0, 0, 0, 1, None, 7 if k < 3 else 0]), "x") for k in range(2000)]
+    keys = Keys(id="id", month="mes", period="p")
+    df = make(rows, "id long, mes int, y int, extra string")
+    for share in (0.0, 0.3, 1.0):
+        got = sampling.shuffle_splits(df, 4, share, 5, ["y"], keys)
+        assert got.columns == [*df.columns, "split", "side"]
+        sizes = got.groupBy("split", "y").agg(F.count("*").alias("n"), F.count_if(F.col("side") == "test").alias("t")).collect()
+        assert {r["split"] for r in sizes} == set(range(4)) and sum(r["n"] for r in sizes) == 8000
+        assert all(r["t"] == int(r["n"] * share + 0.5) for r in sizes)
+        whole = sampling.shuffle_splits(df, 2, share, 5, (), keys).groupBy("split").agg(F.count_if(F.col("side") == "test").alias("t")).collect()
+        assert [r["t"] for r in whole] == [int(2000 * share + 0.5)] * 2
+    assert sampling.shuffle_splits(df.limit(0), 3, 0.3, 5, ["y"], keys).count() == 0
+    plan = sampling.shuffle_splits(df, 50, 0.3, 5, ["y"], keys)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Sort" not in plan and "Window" not in plan
+
+
+def test_area_by_rank_sums(make):
+    import random
+
+    from tidemark.operators import modeling
+
+    rng = random.Random(9)
+    rows = [(k % 3, rng.choice([None, 0.1, 0.2, 0.2, 0.5, rng.random()]), rng.choice([0, 1, 1, None]) if k % 3 < 2 else 1) for k in range(900)]
+    got = {r["g"]: r["auc"] for r in modeling.auc_by(make(rows, "g int, p double, y int"), "p", "y", ["g"]).collect()}
+    for g in (0, 1):
+        pos = [p for h, p, y in rows if h == g and p is not None and y == 1]
+        neg = [p for h, p, y in rows if h == g and p is not None and y == 0]
+        want = sum((a > b) + (a == b) / 2 for a in pos for b in neg) / (len(pos) * len(neg))
+        assert abs(got[g] - want) < 1e-12
+    assert got[2] is None

@@ -13,7 +13,7 @@ from ..session import materialize
 from .gain import BREAK_EVEN
 from .labels import gain
 from .ordering import exact_quantiles, rank_counts, running_totals
-from .sampling import partition, shuffle_splits
+from .sampling import border_lists, drawn, partition, shuffle_splits
 
 PUBLIC_SHARE = 0.3
 
@@ -82,15 +82,29 @@ def models_over_splits(scores: DataFrame, prob: str, truth: str, model: str = "m
                        keys: Keys = KEYS) -> DataFrame:
     """Scaled gain at a threshold of every model on both sides of common random splits.
 
-    The split is drawn once per customer row and joined to the scores, so all models meet the same sides.
+    A split is drawn once per customer row, so all models meet the same sides. A row carries its sides as one
+    array; a model's public gains are sums over it, and the private ones what is left of the total, so rows are
+    not multiplied by the splits.
     """
-    truths = scores.groupBy(*keys.pair).agg(F.max(truth).alias("_truth"))
-    sides = shuffle_splits(truths, n_splits, public_share, seed, ["_truth"], keys).select(
-        *keys.pair, "split", F.when(F.col("side") == "test", "public").otherwise("private").alias("tipo"))
-    earned = F.coalesce(F.sum(F.when(F.col(prob) >= threshold, gain(F.col(truth) == 1))), F.lit(0))
-    share = F.when(F.col("tipo") == "public", F.lit(public_share)).otherwise(F.lit(1 - public_share))
-    totals = scores.join(sides, keys.pair).groupBy(model, "split", "tipo").agg(earned.alias("_g"))
-    return totals.select(model, "split", "tipo", (F.col("_g") / share).alias("ganancia"))
+    truths = materialize(scores.groupBy(*keys.pair).agg(F.max(truth).alias("_truth")), "truths")
+    lists = border_lists(truths, n_splits, public_share, seed, ["_truth"], keys)
+    sided = truths.join(lists, truths["_truth"].eqNullSafe(lists["_of__truth"]), "left")
+    public = F.array(*[F.coalesce(drawn(F.lit(s), seed, keys) <= F.get("_borders", F.lit(s)), F.lit(False)) for s in range(n_splits)])
+    sided = sided.select(*keys.pair, public.alias("_public"))
+    earned = F.when(F.col(prob) >= threshold, gain(F.col(truth) == 1))
+    count = F.count(F.lit(1))
+    sums = scores.select(model, *keys.pair, earned.alias("_g")).join(sided, keys.pair).groupBy(model).agg(
+        F.coalesce(F.sum("_g"), F.lit(0)).alias("_total"), count.alias("_rows"),
+        *[f.alias(f"{name}{s}") for s in range(n_splits) for name, f in (
+            ("_p", F.coalesce(F.sum(F.when(F.get("_public", F.lit(s)), F.col("_g"))), F.lit(0))),
+            ("_n", F.count_if(F.get("_public", F.lit(s)))))])
+    sides = []
+    for s in range(n_splits):
+        sides.append(F.struct(F.lit(s).alias("split"), F.lit("public").alias("tipo"), (F.col(f"_p{s}") / F.lit(public_share)).alias("ganancia"), F.col(f"_n{s}").alias("n")))
+        sides.append(F.struct(F.lit(s).alias("split"), F.lit("private").alias("tipo"),
+                              ((F.col("_total") - F.col(f"_p{s}")) / F.lit(1 - public_share)).alias("ganancia"), (F.col("_rows") - F.col(f"_n{s}")).alias("n")))
+    # a side without rows has no gain to speak of
+    return sums.select(model, F.explode(F.array(*sides)).alias("r")).filter("r.n > 0").select(model, "r.split", "r.tipo", "r.ganancia")
 
 
 def best_public_vs_private(results: DataFrame, model: str = "model") -> DataFrame:

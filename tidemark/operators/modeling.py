@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import KEYS, Keys, require_some
 from ..session import materialize
 from .gain import BREAK_EVEN, best_point, ensemble, gain_at_threshold, gain_curve, plateau_gain
+from .ordering import rank_counts
 from .sampling import canaries, partition
 
 FEATURES, LABEL, WEIGHT = "features", "target", "weight"
@@ -295,6 +296,21 @@ def auc(df: DataFrame, prob: str, label: str = LABEL) -> float:
     return BinaryClassificationEvaluator(rawPredictionCol="p", labelCol="y", numBins=0).evaluate(scored)
 
 
+def auc_by(df: DataFrame, prob: str, label: str, by: Sequence[str]) -> DataFrame:
+    """Exact area under the curve of every group, ``auc``, by the rank sum of its positives; ties share their mean rank.
+
+    Rows without score or label are left out; a group without both labels has no area (null).
+    """
+    by = list(by)
+    known = df.filter(F.col(prob).isNotNull() & F.col(label).isNotNull()).select(*by, F.col(prob).alias("_p"), (F.col(label) == 1).alias("_y"))
+    ranked = rank_counts(known, "_p", by)
+    # twice the mean rank is a whole number, so the sum is exact
+    sums = ranked.groupBy(*by).agg(F.sum(F.when(F.col("_y"), (2 * F.col("_rank") + F.col("_ties") - 1).cast("decimal(38,0)"))).alias("_r"),
+                                   F.count_if("_y").alias("_pos"), F.count_if(~F.col("_y")).alias("_neg"))
+    above = F.col("_r") - F.col("_pos").cast("decimal(18,0)") * (F.col("_pos") + 1).cast("decimal(18,0)")
+    return sums.select(*by, F.try_divide(above.cast("double"), F.lit(2.0) * F.col("_pos") * F.col("_neg")).alias("auc"))
+
+
 def depth_sweep(train: DataFrame, test: DataFrame, features: Sequence[str], depths: Iterable[int],
                 seed: int = 1) -> DataFrame:
     """Train and test gain of one tree per depth: where it starts to overfit."""

@@ -7,13 +7,15 @@ partitioning and survives task retries.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import KEYS, Keys, hash_uniform, require
 from .labels import binary_target
-from .ordering import running_totals
+from ..session import materialize
+from .ordering import default_cells, running_totals
 from .panel import keep_months
 
 
@@ -104,17 +106,64 @@ def _fold(position: Column, division: Sequence[int], first: int) -> Column:
     return fold
 
 
+def drawn(split: Column, seed: int, keys: Keys) -> Column:
+    """What orders a row within a split: a hash, then its key."""
+    return F.struct(hash_uniform(keys.id, keys.month, split, F.lit(seed)).alias("u"), F.col(keys.id).alias("id"), F.col(keys.month).alias("month"))
+
+
+def split_borders(df: DataFrame, n_splits: int, test_share: float, seed: int, strata: Sequence[str] = (),
+                  keys: Keys = KEYS) -> DataFrame:
+    """The last row of the test side of every split and stratum: ``split, *strata, border`` (null where there is none).
+
+    Counts per cell of the hash tell which cell holds the border; only the rows of that cell are put in order.
+    """
+    strata = list(strata)
+    n = default_cells(df.sparkSession)
+    slim = materialize(df.select(*dict.fromkeys([*keys.pair, *strata])), "splits")
+    rows = slim.withColumn("split", F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))))
+    rows = rows.withColumn("_drawn", drawn(F.col("split"), seed, keys))
+    rows = rows.select("split", *strata, "_drawn", F.floor(F.col("_drawn.u") * n).cast("int").alias("_cell"))
+    place = ["split", *strata]
+    counts = rows.groupBy(*place, "_cell").agg(F.count(F.lit(1)).alias("_n"))
+    group = Window.partitionBy(*place)  # the cells of a stratum
+    counts = counts.withColumns({
+        "_upto": F.sum("_n").over(group.orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)),
+        "_want": F.round(F.sum("_n").over(group) * F.lit(test_share))})
+    at = counts.filter((F.col("_upto") >= F.col("_want")) & (F.col("_upto") - F.col("_n") < F.col("_want")))
+    at = materialize(at.select(*[F.col(c).alias(f"_at_{c}") for c in [*place, "_cell"]], (F.col("_want") - F.col("_upto") + F.col("_n")).alias("_need")), "borders")
+    same = (rows["split"] == at["_at_split"]) & (rows["_cell"] == at["_at__cell"])
+    for c in strata:
+        same = same & rows[c].eqNullSafe(at[f"_at_{c}"])
+    inside = rows.join(at, same).withColumn("_pos", F.row_number().over(Window.partitionBy(*place, "_cell").orderBy("_drawn")))
+    return inside.filter(F.col("_pos") == F.col("_need")).select(*place, F.col("_drawn").alias("border"))
+
+
 def shuffle_splits(df: DataFrame, n_splits: int, test_share: float, seed: int, strata: Sequence[str] = (),
                    keys: Keys = KEYS) -> DataFrame:
     """Repeated random splits: every row once per ``split`` with its ``side`` (``train`` or ``test``).
 
-    The test side of a stratum holds the rounded share of its rows.
+    The test side of a stratum holds the rounded share of its rows. Rows are compared with the borders in place:
+    neither they nor their copies are sorted.
     """
-    repeated = (df.withColumn("split", F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))))
-                .withColumn("_u", hash_uniform(keys.id, keys.month, F.col("split"), F.lit(seed))))
-    placed = running_totals(repeated, "_u", keys.pair, by=["split", *strata], uniform=True, position="_pos", size="_size")
-    in_test = F.col("_pos") <= F.round(F.col("_size") * F.lit(test_share))
-    return placed.withColumn("side", F.when(in_test, "test").otherwise("train")).drop("_u", "_pos", "_size")
+    lists = border_lists(df, n_splits, test_share, seed, strata, keys)
+    joined = df.join(lists, reduce(lambda a, c: a & df[c].eqNullSafe(lists[f"_of_{c}"]), strata, F.lit(True)), "left")
+    each = joined.select(*[df[c] for c in df.columns], F.posexplode("_borders").alias("split", "_border"))
+    in_test = F.coalesce(drawn(F.col("split"), seed, keys) <= F.col("_border"), F.lit(False))
+    return each.withColumn("side", F.when(in_test, "test").otherwise("train")).drop("_border")
+
+
+def border_lists(df: DataFrame, n_splits: int, test_share: float, seed: int, strata: Sequence[str], keys: Keys) -> DataFrame:
+    """One row per stratum with the borders of all splits in order: small whatever the rows."""
+    strata = list(strata)
+    borders = split_borders(df, n_splits, test_share, seed, strata, keys)
+    empty = F.lit(None).cast(borders.schema["border"].dataType)
+    # a split without border has an empty test side
+    lists = borders.groupBy(*strata).agg(F.map_from_entries(F.collect_list(F.struct("split", "border"))).alias("_m"))
+    if strata:
+        lists = df.select(*strata).distinct().join(lists.select(*[F.col(c).alias(f"_of_{c}") for c in strata], "_m"), reduce(
+            lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in strata]), "left").drop(*[f"_of_{c}" for c in strata])
+    values = F.array(*[F.coalesce(F.try_element_at("_m", F.lit(s)), empty) for s in range(n_splits)])
+    return materialize(lists.select(*[F.col(c).alias(f"_of_{c}") for c in strata], values.alias("_borders")), "borders")
 
 
 def balanced_sample(df: DataFrame, target: str, negatives: int, seed: int, negative=0, keys: Keys = KEYS) -> DataFrame:

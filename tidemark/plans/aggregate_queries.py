@@ -351,19 +351,19 @@ def _(t):
     return sampling.partition(t.labelled(), [3, 7], ["clase_ternaria"], 17).select("id", "mes", "fold")
 
 
-_REPEATED = f"""repeated AS (SELECT *, {u('id', 'mes', 'split', 23)} AS r FROM scored, (SELECT CAST(unnest(range(0, 5)) AS INTEGER) AS split))"""
+_REPEATED = f"""repeated AS (SELECT *, {u('id', 'mes', 'split', 23)} AS r FROM scored, (SELECT CAST(unnest(range(0, 20)) AS INTEGER) AS split))"""
 
 
 @query("x7_stratified_shuffle_splits", sql("""SELECT id, mes, split, CASE WHEN row_number() OVER (PARTITION BY split, y ORDER BY r, id, mes)
   <= round(count(*) OVER (PARTITION BY split, y) * 0.3e0) THEN 'test' ELSE 'train' END AS side FROM repeated""", SCORED, _REPEATED))
 def _(t):
-    return sampling.shuffle_splits(t.scored(), 5, 0.3, 23, ["y"]).select("id", "mes", "split", "side")
+    return sampling.shuffle_splits(t.scored(), 20, 0.3, 23, ["y"]).select("id", "mes", "split", "side")
 
 
 @query("x8_shuffle_splits", sql("""SELECT id, mes, split, CASE WHEN row_number() OVER (PARTITION BY split ORDER BY r, id, mes)
   <= round(count(*) OVER (PARTITION BY split) * 0.3e0) THEN 'test' ELSE 'train' END AS side FROM repeated""", SCORED, _REPEATED))
 def _(t):
-    return sampling.shuffle_splits(t.scored(), 5, 0.3, 23).select("id", "mes", "split", "side")
+    return sampling.shuffle_splits(t.scored(), 20, 0.3, 23).select("id", "mes", "split", "side")
 
 
 @query("x9_balanced_sample", sql(f"""SELECT id, mes, y FROM targeted WHERE y <> 0

@@ -219,7 +219,7 @@ def _(t):
     return leaderboard.leaderboard_by_cut(labelled_scores(t), "prob", "clase_ternaria", [200, 1000, 4000], 77)
 
 
-SPLITS = 5
+SPLITS = 50
 _SPLIT = f"""split AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY split, y ORDER BY r, id, mes)
     <= round(count(*) OVER (PARTITION BY split, y) * 0.3e0) THEN 'public' ELSE 'private' END AS tipo
   FROM (SELECT *, {u('id', 'mes', 'split', 42)} AS r FROM scored, (SELECT CAST(unnest(range(0, {SPLITS})) AS INTEGER) AS split)))"""
@@ -245,7 +245,7 @@ def _(t):
     return leaderboard.summarise_cuts(_simulation(t))
 
 
-N_RUNS = 12
+N_RUNS = 50
 _RESULTS = f"""drawn AS (SELECT *, {u('id', 'mes', 'split', 42)} AS r FROM (SELECT id, mes, y FROM scored), (SELECT CAST(unnest(range(0, {N_RUNS})) AS INTEGER) AS split)),
 sides AS (SELECT id, mes, split, CASE WHEN row_number() OVER (PARTITION BY split, y ORDER BY r, id, mes)
     <= round(count(*) OVER (PARTITION BY split, y) * 0.3e0) THEN 'public' ELSE 'private' END AS tipo FROM drawn),
@@ -297,7 +297,7 @@ def _upper(z: str) -> str:
 def _tests(pairs: str, keys: str, correction: float) -> list[str]:
     return [f"""exact_counts(n, s, ways) AS (SELECT 0, 0, 1e0
   UNION ALL SELECT n, s, CAST(sum(ways) AS DOUBLE) FROM (
-    SELECT n + 1 AS n, s, ways FROM exact_counts WHERE n < 14 UNION ALL SELECT n + 1, s + n + 1, ways FROM exact_counts WHERE n < 14) GROUP BY n, s)""",
+    SELECT n + 1 AS n, s, ways FROM exact_counts WHERE n < 50 UNION ALL SELECT n + 1, s + n + 1, ways FROM exact_counts WHERE n < 50) GROUP BY n, s)""",
             f"diffs AS (SELECT {keys}, x - y AS d FROM {pairs})",
             f"""ranked AS (SELECT *, rank() OVER (PARTITION BY {keys} ORDER BY abs(d)) + (count(*) OVER (PARTITION BY {keys}, abs(d)) - 1) / 2e0 AS r,
   count(*) OVER (PARTITION BY {keys}, abs(d)) AS t FROM diffs WHERE d <> 0)""",

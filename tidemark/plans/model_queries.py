@@ -15,7 +15,7 @@ from ..operators.sampling import undersample_rows
 from ..session import materialize, scratch_path
 from . import chains
 from .registry import query
-from .tables import MEASURES, sql, u
+from .tables import MEASURES, SCORED, SCORES, sql, u
 
 KEY = ["id", "mes"]
 FEATURES = [*MEASURES, "m_total_lag_1", "m_total_delta_1", "m_net_lag_1", "m_net_delta_1"]
@@ -145,6 +145,14 @@ def _(t):
     return t.spark.createDataFrame([(SEEDS[0], modeling.auc(scores, "prob"))], "model int, auc double")
 
 
+@query("m12_auc_by_model", sql("""SELECT model, (sum(r) FILTER (y = 1) - count(*) FILTER (y = 1) * (count(*) FILTER (y = 1) + 1) / 2e0)
+  / (CAST(count(*) FILTER (y = 1) AS DOUBLE) * count(*) FILTER (y = 0)) AS auc FROM (SELECT model, y,
+  rank() OVER (PARTITION BY model ORDER BY round(prob, 2)) + (count(*) OVER (PARTITION BY model, round(prob, 2)) - 1) / 2e0 AS r FROM scores) GROUP BY model""", SCORED, SCORES))
+def _(t):
+    """Scores of two digits, so that many rows tie."""
+    return modeling.auc_by(t.scores().withColumn("prob", F.round("prob", 2)), "prob", "y", ["model"])
+
+
 @query("m13_depth_sweep")
 def _(t):
     return modeling.depth_sweep(*sets(t), FEATURES, list(range(2, 25)))

@@ -77,10 +77,10 @@ def _(t):
     return t.spark.read.schema(slim.schema).option("header", True).csv(path)
 
 
-@query("s7_append_scores", sql("SELECT * FROM scores WHERE model IN (1, 4)", SCORES))
+@query("s7_append_scores", sql("SELECT * FROM scores", SCORES))
 def _(t):
     path = scratch_path(t.spark, "log")
-    for m in (1, 4):
+    for m in range(1, 6):
         writers.append_scores(t.scores().filter(F.col("model") == m), path, "model")
     return t.spark.read.schema("id long, mes int, prob double, y int, model int").option("header", True).option("sep", "\t").csv(path)
 
@@ -101,10 +101,10 @@ def _(t):
 
 @query("s10_experiment_registry", sql(" UNION ALL ".join(f"""SELECT 'exp{m}' AS experimento,
   max(CASE WHEN pos = 50 THEN CAST(gan_acum AS DOUBLE) END) AS e50, max(CASE WHEN pos = 500 THEN CAST(gan_acum AS DOUBLE) END) AS e500
-FROM curves WHERE model = {m}""" for m in (1, 2)), SCORES, CURVES))
+FROM curves WHERE model = {m}""" for m in range(1, 6)), SCORES, CURVES))
 def _(t):
     path = scratch_path(t.spark, "registry")
-    for m in (1, 2):
+    for m in range(1, 6):
         cuts = gain.gain_at_cuts(t.scores().filter(F.col("model") == m), "prob", "y", TIES, [50, 500], ["model"])
         means = cuts.groupBy("corte").agg(F.avg("ganancia").alias("ganancia_media"))
         writers.append_registry(means, f"exp{m}", path)

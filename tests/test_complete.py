@@ -121,3 +121,24 @@ def test_area_by_rank_sums(make):
         want = sum((a > b) + (a == b) / 2 for a in pos for b in neg) / (len(pos) * len(neg))
         assert abs(got[g] - want) < 1e-12
     assert got[2] is None
+
+
+def test_exact_signed_rank_with_ties_and_zeros(make):
+    import itertools
+    import random
+
+    from tidemark.operators import leaderboard
+
+    rng, rows = random.Random(4), []
+    for g in range(12):
+        rows += [(g, float(rng.randrange(5 if g % 2 else 50)), float(rng.randrange(5 if g % 2 else 50))) for _ in range(rng.randint(1, 10))]
+    rows += [(99, 1.0, 1.0)]
+    got = {r["g"]: r for r in leaderboard.wilcoxon(make(rows, "g int, x double, y double"), "x", "y", ["g"], method="exact").collect()}
+    for g in {r[0] for r in rows}:
+        d = [x - y for h, x, y in rows if h == g and x != y]
+        size = sorted(abs(v) for v in d)
+        ranks = [size.index(abs(v)) + (size.count(abs(v)) + 1) / 2 for v in d]
+        w = min(sum(r for r, v in zip(ranks, d) if v > 0), sum(r for r, v in zip(ranks, d) if v < 0))
+        sums = [sum(r for r, s in zip(ranks, signs) if s) for signs in itertools.product((0, 1), repeat=len(d))]
+        assert got[g]["estadistico"] == w
+        assert abs(got[g]["p"] - min(1.0, 2 * sum(s <= w for s in sums) / len(sums))) < 1e-12

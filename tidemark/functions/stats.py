@@ -41,3 +41,17 @@ def signed_rank_normal_p(n: Column, w: Column, tie_term: Column, correction: boo
     sd = F.sqrt(n * (n + 1) * (2 * n + 1) / 24 - tie_term / 48)
     gap = F.abs(w - mean) - (F.lit(0.5) if correction else F.lit(0.0))
     return F.when(sd > 0, F.least(F.lit(1.0), 2 * normal_upper_tail(gap / sd))).otherwise(F.lit(1.0))
+
+
+def signed_rank_permutation_p(doubled: Column, statistic: Column) -> Column:
+    """Two-sided exact p of a signed-rank statistic whose ranks may be shared: ``doubled`` holds twice each mean rank.
+
+    Doubled mean ranks are whole numbers, so the distribution of their signed sums over all 2^n signs is built
+    rank by rank. Work grows with the cube of the ranks: meant for the runs of a comparison.
+    """
+    zero = F.lit(0).cast("long")
+    total = F.aggregate(doubled, zero, lambda a, r: a + r)
+    start = F.transform(F.sequence(zero, total), lambda i: F.when(i == 0, 1.0).otherwise(0.0))
+    chances = F.aggregate(doubled, start, lambda c, r: F.transform(c, lambda x, i: (x + F.coalesce(F.get(c, (i - r).cast("int")), F.lit(0.0))) / 2))
+    tail = F.aggregate(F.slice(chances, F.lit(1), (2 * statistic).cast("int") + 1), F.lit(0.0), lambda a, x: a + x)
+    return F.least(F.lit(1.0), 2 * tail)

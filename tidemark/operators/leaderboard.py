@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import KEYS, Keys, ratio
-from ..functions.stats import EXACT_UP_TO, normal_upper_tail, signed_rank_exact_p, signed_rank_normal_p
+from ..functions.stats import EXACT_UP_TO, normal_upper_tail, signed_rank_exact_p, signed_rank_normal_p, signed_rank_permutation_p
 from ..session import materialize
 from .gain import BREAK_EVEN
 from .labels import gain
@@ -124,8 +124,11 @@ def to_long_results(wide: DataFrame, ids: Sequence[str], pattern: str = "_") ->
     return long.select(*ids, part[0].alias("model"), part[1].alias("tipo"), "value")
 
 
-def signed_ranks(pairs: DataFrame, x: str, y: str, by: Sequence[str]) -> DataFrame:
-    """Rank sums of the paired differences of every group: ``n``, ``w_plus``, ``w_minus``, tie term, zeros."""
+def signed_ranks(pairs: DataFrame, x: str, y: str, by: Sequence[str], listed: bool = False) -> DataFrame:
+    """Rank sums of the paired differences of every group: ``n``, ``w_plus``, ``w_minus``, tie term, zeros.
+
+    ``listed`` adds ``_doubled``, twice each mean rank: for groups that are the runs of a comparison.
+    """
     by = list(by)
     diff = pairs.withColumn("_d", F.col(x).cast("double") - F.col(y).cast("double")).withColumn("_a", F.abs("_d"))
     ranked = rank_counts(diff.filter("_d <> 0").select(*by, "_d", "_a"), "_a", by)
@@ -135,20 +138,24 @@ def signed_ranks(pairs: DataFrame, x: str, y: str, by: Sequence[str]) -> DataFra
         F.sum(F.when(F.col("_d") > 0, mean_rank).otherwise(0.0)).alias("w_plus"),
         F.sum(F.when(F.col("_d") < 0, mean_rank).otherwise(0.0)).alias("w_minus"),
         # each of t tied rows adds t^2 - 1, together t^3 - t
-        F.sum((F.col("_ties") * F.col("_ties") - 1).cast("double")).alias("tie_term"))
+        F.sum((F.col("_ties") * F.col("_ties") - 1).cast("double")).alias("tie_term"),
+        *([F.collect_list((2 * F.col("_rank") + F.col("_ties") - 1).cast("long")).alias("_doubled")] if listed else []))
     zeros = diff.groupBy(*by).agg(F.count_if(F.col("_d") == 0).alias("zeros"))
     joined = zeros.join(sums, by, "left")
     return joined.select(*by, F.coalesce("n", F.lit(0)).alias("n"), "zeros",
-                         *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("w_plus", "w_minus", "tie_term")])
+                         *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("w_plus", "w_minus", "tie_term")],
+                         *(["_doubled"] if listed else []))
 
 
 def _p_value(correction: bool, method: str, exact_up_to: int) -> Column:
     if method not in ("auto", "exact", "normal"):
         raise ValueError("method must be auto, exact or normal")
     n, w = F.col("n").cast("int"), F.least("w_plus", "w_minus")
-    # ranks that are shared or left out have no exact distribution
+    if method == "exact":
+        return F.when(n == 0, F.lit(1.0)).otherwise(signed_rank_permutation_p(F.col("_doubled"), w))
+    # with shared or left out ranks the approximation is usual
     exact = (F.col("tie_term") == 0) & (F.col("zeros") == 0)
-    exact &= n <= exact_up_to if method == "auto" else F.lit(method == "exact")
+    exact &= n <= exact_up_to if method == "auto" else F.lit(False)
     return (F.when(n == 0, F.lit(1.0))
             .when(exact, signed_rank_exact_p(F.when(exact, n).otherwise(1), F.when(exact, w).otherwise(0).cast("int")))
             .otherwise(signed_rank_normal_p(n, w, F.col("tie_term"), correction)))
@@ -158,12 +165,14 @@ def wilcoxon(pairs: DataFrame, x: str, y: str, by: Sequence[str], correction: bo
              method: str = "auto", exact_up_to: int = EXACT_UP_TO) -> DataFrame:
     """Paired signed-rank test per group: statistic and two-sided p.
 
-    ``method`` is ``exact``, ``normal`` (the approximation) or ``auto``: exact for up to ``exact_up_to``
-    differences. With ties or zeros the approximation is used, as no exact distribution exists.
+    ``method`` is ``exact``, ``normal`` (the approximation) or ``auto``: exact for up to ``exact_up_to`` differences
+    without ties and zeros, else the approximation. ``exact`` never falls back: zeros are left out, and ranks that
+    are shared count with their mean in the distribution over all signs.
     """
     # the pairs are read several times over: paid for once
-    ranks = signed_ranks(materialize(pairs.select(*by, x, y), "pairs"), x, y, by)
-    return ranks.withColumns({"estadistico": F.least("w_plus", "w_minus"), "p": _p_value(correction, method, exact_up_to)})
+    ranks = signed_ranks(materialize(pairs.select(*by, x, y), "pairs"), x, y, by, listed=method == "exact")
+    found = ranks.withColumns({"estadistico": F.least("w_plus", "w_minus"), "p": _p_value(correction, method, exact_up_to)})
+    return found.drop("_doubled")
 
 
 def model_pairs(results: DataFrame, model: str, run: str, value: str) -> DataFrame:

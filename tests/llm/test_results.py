@@ -57,6 +57,60 @@ def test_article_text(spark):
         assert html_text.main_text(r["html"]) == " ".join(b for b in blocks if b)
 
 
+def test_article_text_without_its_element(spark):
+    """Ratios alone find the same text."""
+    pages = [r["html"] for r in spark.read.parquet(f"{FOLDER}/pages.parquet").collect()]
+    plain = [p.replace("<article>", "<div>").replace("</article>", "</div>") for p in pages]
+    want = [html_text.main_text(p) for p in pages]
+    assert [html_text.main_text(p) for p in plain] == want
+
+
+def test_features_by_their_definition():
+    rng = random.Random(8)
+    for _ in range(30):
+        page = "".join(f"<{t}>{'x ' * rng.randrange(1, 80)}<a href=q>{'l ' * rng.randrange(4)}</a></{t}>" for t in rng.choices(["p", "div", "nav", "li"], k=rng.randrange(1, 25)))
+        parser = html_text.Lines()
+        parser.feed(page)
+        parser.close()
+        parser._break()
+        lines = [(" ".join("".join(x.text).split()), x) for x in parser.lines]
+        r = np.array([0.0 if x.dropped else max(0, len(t) - x.linked) / max(1, x.tags) for t, x in lines])
+        n = len(r)
+        weights = np.exp(-((np.arange(n)[:, None] - np.arange(n)) ** 2) / 2) * (abs(np.arange(n)[:, None] - np.arange(n)) <= 2)
+        weights /= weights.sum(1, keepdims=True)
+        level = weights @ r
+        ahead = np.array([level[i : i + 3].mean() for i in range(n)])
+        ratios, far = html_text.features(lines)
+        assert ratios == pytest.approx(r) and far == pytest.approx(np.hypot(level, weights @ abs(ahead - level)))
+        # every run of positive ratios is a region exactly if one of its lines is beyond the threshold
+        found = html_text.regions(ratios, far)
+        if (r > 0).any():
+            half = np.mean([f for f, x in zip(far, r) if x > 0]) / 2
+            threshold = min(half, r.std()) if r.std() else half
+            runs = [m.span() for m in re.finditer("1+", "".join("1" if x > 0 else "0" for x in r))]
+            runs = [(a, b) for a, b in runs if max(far[a:b]) >= threshold]
+            assert len(found) == len(runs)
+            for (a, b), (c, d) in zip(runs, found):
+                assert a <= c < d <= b and all(f < threshold for f in far[a:c] + far[d:b])
+
+
+def test_smoothing_decides():
+    """A short heading beside long text belongs to it; short lines far from it do not, without any name to tell them."""
+    text = "A sentence of the article that goes on for quite some time before it ends. " * 3
+    menu = "".join(f"<div>item {k}</div>" for k in range(8))
+    page = f"<body><div>{menu}</div><nav>x</nav><h1>Heading</h1><form>y</form>" + f"<p>{text}</p>" * 4 + f"<nav>z</nav><div>{menu}</div></body>"
+    body = " ".join([text.strip()] * 4)
+    assert html_text.main_text(page) == f"Heading {body}"
+    smooth = html_text.smooth
+    try:
+        html_text.smooth = list
+        assert html_text.main_text(page) == body
+        html_text.smooth = lambda values: [1.0] * len(values)
+        assert "item 3" in html_text.main_text(page)
+    finally:
+        html_text.smooth = smooth
+
+
 def test_page_without_article():
     page = (
         '<header>Site</header><div id="cookie-banner">We use cookies so that long long long texts appear on every page of the site.</div>'

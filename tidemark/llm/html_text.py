@@ -3,9 +3,10 @@
 The standard library's parser is fed piece by piece and its events are turned into lines: the text
 between two block-level tags. Each line has a text-to-tag ratio (its characters outside links over its
 tags). Lines inside elements that are boilerplate by their nature (menus, footers, forms, adverts, reader
-comments, ...) have ratio 0. Ratios are smoothed with a Gaussian and clustered by a threshold into content
-and other lines. A region of content reaches as far as the element that holds the article, if the page
-marks one; else short gaps between content lines are closed.
+comments, ...) have ratio 0. Ratios are smoothed with a Gaussian; the smoothed ratio and its change are the
+two features, and a threshold on their distance from the origin clusters the lines. A region grows from
+content lines as far as ratios stay above 0. The element that holds the article, if the page marks one, cuts
+off what reaches beyond it and closes gaps between regions inside it; it adds no region.
 """
 
 from __future__ import annotations
@@ -38,6 +39,8 @@ COMMENTS = frozenset("comment comments commentlist disqus reply replies respond
 HOLDERS = frozenset(["article", "main"])
 KERNEL = [math.exp(-(k * k) / 2) for k in range(-2, 3)]
 PIECE = 1 << 16
+#: Lines below this part of the threshold are flat; so many of them in a row end a region.
+FLAT, FLAT_LINES = 0.1, 3
 
 
 class Line:
@@ -142,6 +145,45 @@ def smooth(values: list[float]) -> list[float]:
     return out
 
 
+def features(lines: list[tuple[str, Line]]) -> tuple[list[float], list[float]]:
+    """Text-to-tag ratio of each line, and how far its smoothed ratio and the change of it lie from the origin."""
+    ratios = [0.0 if x.dropped else max(0, len(t) - x.linked) / max(1, x.tags) for t, x in lines]
+    level = smooth(ratios)
+    ahead = [sum(level[i : i + 3]) / len(level[i : i + 3]) for i in range(len(level))]
+    change = smooth([abs(a - s) for a, s in zip(ahead, level)])
+    return ratios, [math.hypot(s, d) for s, d in zip(level, change)]
+
+
+def regions(ratios: list[float], far: list[float]) -> list[tuple[int, int]]:
+    """Runs of lines with a positive ratio that hold a line of the content cluster, without their flat ends.
+
+    Content lies beyond a threshold: half the mean of the lines that could be content, at most the spread of all. At an
+    end of a run, three or more lines in a row that stay below a fraction of the threshold are no content.
+    """
+    own = [f for r, f in zip(ratios, far) if r > 0]
+    if not own:
+        return []
+    mean = sum(ratios) / len(ratios)
+    spread = math.sqrt(sum((r - mean) ** 2 for r in ratios) / len(ratios))
+    half = sum(own) / len(own) / 2
+    threshold = min(half, spread) if spread else half
+    found, start = [], None
+    for i, r in enumerate([*ratios, 0.0]):
+        if r > 0:
+            start = i if start is None else start
+        elif start is not None:
+            if any(f >= threshold for f in far[start:i]):
+                found.append(_without_flat_ends(far, threshold * FLAT, start, i))
+            start = None
+    return found
+
+
+def _without_flat_ends(far: list[float], low: float, start: int, end: int) -> tuple[int, int]:
+    first = next(i for i in range(start, end) if far[i] >= low)
+    last = next(i for i in range(end - 1, start - 1, -1) if far[i] >= low)
+    return (first if first - start >= FLAT_LINES else start), (last + 1 if end - 1 - last >= FLAT_LINES else end)
+
+
 def main_text(html: str | None) -> str:
     """Text of the content blocks of a page in page order, white space inside a block as one space."""
     parser = Lines()
@@ -152,29 +194,20 @@ def main_text(html: str | None) -> str:
     parser._break()
     lines = [(" ".join("".join(x.text).split()), x) for x in parser.lines]
     lines = [(t, x) for t, x in lines if t]
-    if not lines:
-        return ""
-    ratios = [0.0 if x.dropped else max(0, len(t) - x.linked) / max(1, x.tags) for t, x in lines]
-    smoothed = smooth(ratios)
-    # half the mean of the lines that could be content, at most the spread of all lines
-    own = [s for s, (_, x) in zip(smoothed, lines) if not x.dropped]
-    if not own:
+    ratios, far = features(lines)
+    found = regions(ratios, far)
+    if not found:
         return ""
-    mean = sum(own) / len(own)
-    spread = math.sqrt(sum((r - sum(ratios) / len(ratios)) ** 2 for r in ratios) / len(ratios))
-    threshold = min(mean / 2, spread) if spread else mean / 2
-    content = [not x.dropped and s >= threshold and s > 0 for s, (_, x) in zip(smoothed, lines)]
-    held = {x.holder for c, (_, x) in zip(content, lines) if c and x.holder}
-    if not held and any(x.holder and not x.dropped for _, x in lines):
-        held = {max((s, x.holder) for s, (_, x) in zip(smoothed, lines) if x.holder and not x.dropped)[1]}
-    if held:
-        return " ".join(t for t, x in lines if x.holder in held and not x.dropped)
-    chosen = [k for k, c in enumerate(content) if c]
-    keep = set(chosen)
-    for a, b in zip(chosen, chosen[1:]):
-        if b - a <= 3:  # up to two short lines inside a region belong to it
+    keep = {i for start, end in found for i in range(start, end)}
+    for (_, a), (b, _) in zip(found, found[1:]):  # up to two lines between regions belong to them
+        if b - a <= 2:
             keep.update(range(a, b))
-    return " ".join(t for k, (t, x) in enumerate(lines) if k in keep and not x.dropped)
+    # a page that marks its article: regions end at its borders, and what lies between them belongs to it
+    held = {lines[i][1].holder for i in keep} - {0}
+    if held:
+        ends = {h: [i for i in keep if lines[i][1].holder == h] for h in held}
+        keep = {i for h, inside in ends.items() for i in range(min(inside), max(inside) + 1) if lines[i][1].holder == h}
+    return " ".join(t for i, (t, x) in enumerate(lines) if i in keep and not x.dropped)
 
 
 def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

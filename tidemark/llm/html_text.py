@@ -155,7 +155,7 @@ def features(lines: list[tuple[str, Line]]) -> tuple[list[float], list[float]]:
 
 
 def regions(ratios: list[float], far: list[float]) -> list[tuple[int, int]]:
-    """Runs of lines with a positive ratio that hold a line of the content cluster, without their flat ends.
+    """Runs of lines with a positive ratio of which the content cluster holds at least half, without their flat ends.
 
     Content lies beyond a threshold: half the mean of the lines that could be content, at most the spread of all. At an
     end of a run, three or more lines in a row that stay below a fraction of the threshold are no content.
@@ -172,7 +172,8 @@ def regions(ratios: list[float], far: list[float]) -> list[tuple[int, int]]:
         if r > 0:
             start = i if start is None else start
         elif start is not None:
-            if any(f >= threshold for f in far[start:i]):
+            inside = sum(r for r, f in zip(ratios[start:i], far[start:i]) if f >= threshold)
+            if inside > 0 and 2 * inside >= sum(ratios[start:i]):
                 found.append(_without_flat_ends(far, threshold * FLAT, start, i))
             start = None
     return found

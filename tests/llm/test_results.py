@@ -337,6 +337,48 @@ def test_best_segmentation_is_the_best():
 
 # --- rules and the pipeline
 
+def test_url_features_and_rates_by_plain_code(spark):
+    from pyspark.sql import functions as F
+    from tidemark.llm import urls
+
+    rng = random.Random(5)
+    hosts, parts = ["a.com", "b-c.net", "x.y.org", "1.2.net"], ["", "/", "/en/", "/es/a.html", "/en/1/2?x=1&y=%20#f"]
+    cases = sorted({f"http://{rng.choice(hosts)}{rng.choice(parts)}{rng.choice(['', rng.randrange(99)])}" for _ in range(80)})
+    rows = spark.createDataFrame([(u, float(rng.random() < 0.4)) for u in cases], "url string, label double")
+    host, path = urls.host_and_path(F.col("url"))
+    rows = urls.lexical(rows.withColumn("host", host).withColumn("path", path)).cache()
+    counts = {key: urls.block_counts(rows, key) for key in urls.KEYS}
+    every = urls.with_rates(rows, counts, 0.4).collect()
+    for r in every:
+        url = r["url"]
+        share = [n / len(url) for n in Counter(url).values()]
+        assert r["entropy"] == pytest.approx(-sum(p * np.log2(p) for p in share))
+        assert (r["length"], r["digits"]) == (len(url), pytest.approx(sum(c.isdigit() for c in url) / len(url)))
+        query = url.split("#")[0].partition("?")[2]
+        assert r["parameters"] == (query.count("&") + 1 if query else 0) and r["depth"] == len(re.findall("/[^/]", r["path"]))
+        assert r["suffix"] == r["host"].rsplit(".", 1)[-1]
+        for key in urls.KEYS:
+            same = [o["label"] for o in every if o[key] == r[key] != ""]
+            assert r[f"{key}_rate"] == pytest.approx((sum(same) + 4) / (len(same) + 10))
+
+
+def test_trees_on_labelled_urls_held_out(spark):
+    from pyspark.sql import functions as F
+    from tidemark.llm import urls
+    from tidemark.llm.common import Scratch
+
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("url").distinct()
+    host, path = urls.host_and_path(F.col("url"))
+    rows = pages.withColumn("host", host).withColumn("path", path)
+    verdict = urls.rule_of(F.col("host"), F.col("path"), urls.RULES)[1]
+    rows = urls.lexical(rows.withColumn("label", (verdict == "block").cast("double")).where("label is not null")).cache()
+    held = F.crc32(F.col("url").cast("binary")) % 3 == 0
+    got = urls.learned(rows.where(~held), Scratch(spark, "test"))(rows.where(held)).select("label", "p_block").collect()
+    right = sum((r["p_block"] >= 0.5) == bool(r["label"]) for r in got)
+    print(len(got), right, sum(r["label"] for r in got))
+    assert len(got) > 20 and right >= 0.95 * len(got)
+
+
 def test_rules(spark):
     cases = {
         "http://a.example.com/en/1": ("a.example.com", "/en/1", "example.com/en/"), "http://www.example.com/en/1": ("www.example.com", "/en/1", "www.example.com/en/"),

@@ -63,7 +63,7 @@ def _(t):
 @query("m3_leaf_features")
 def _(t):
     train, future = sets(t)
-    return modeling.leaf_features(train, future, FEATURES, KEY, n_trees=4, depth=3)
+    return modeling.leaf_features(train, future, FEATURES, KEY, n_trees=20, depth=4)
 
 
 @query("m4_subspace_trees")
@@ -108,7 +108,7 @@ def _(t):
 
 @query("m7_cross_validate")
 def _(t):
-    return modeling.cross_validate(sets(t)[0], FEATURES, ["target"], modeling.single_tree(), {"maxDepth": [2, 4]}, folds=3)
+    return modeling.cross_validate(sets(t)[0], FEATURES, ["target"], modeling.single_tree(), {"maxDepth": [2, 4]}, folds=5)
 
 
 @query("m8_random_search")
@@ -124,7 +124,7 @@ def _(t):
 @query("m9_grid_search")
 def _(t):
     return modeling.cross_validate(sets(t)[0], FEATURES, ["target"], modeling.single_tree(),
-                                   {"maxDepth": [2, 3], "minInstancesPerNode": [1, 50]}, folds=2)
+                                   {"maxDepth": [2, 3], "minInstancesPerNode": [1, 50]}, folds=5)
 
 
 @query("m11_scaled_min_leaf", sql("SELECT id, mes, CAST(greatest(1, round_even(c_total / 0.25e0, 0)) AS INTEGER) AS hoja FROM panel"))

@@ -54,3 +54,13 @@ def test_min_leaf_scaling():
     assert modeling.scaled_min_leaf(100, 0.2) == 500 and modeling.scaled_min_leaf(0, 0.5) == 1
     with pytest.raises(ValueError):
         modeling.scaled_min_leaf(10, 0)
+
+
+def test_other_rows_in_the_same_folder_train_anew(rows, tmp_path):
+    maker, counts = modeling.random_forest(numTrees=2, maxDepth=2), []
+    matrix = modeling.assemble(rows, ["a", "b"], ["id", "target"])
+    # the same rows in another order, other labels, a repeated row
+    for table in (matrix, matrix.orderBy("id", ascending=False), matrix.withColumn("target", 1 - F.col("target")), matrix.union(matrix.limit(1))):
+        modeling.fit_seeds(table, maker, [1], str(tmp_path))
+        counts.append(len([p for p in tmp_path.iterdir() if p.name.startswith("model-")]))
+    assert counts == [1, 1, 2, 3]

@@ -258,14 +258,18 @@ def submission_of_nearest(curves: DataFrame, target: Column, model: str, entity:
     return run.select(entity, (F.col("pos") <= pick["pos"]).cast("int").alias("Predicted"))
 
 
+def gain_sum(chosen: Column, truth: str, hit: int = HIT, contact: int = CONTACT) -> Column:
+    """Aggregate: gain of the chosen rows, 0 for none."""
+    return F.coalesce(F.sum(F.when(chosen, _earned(truth, hit, contact))), F.lit(0))
+
+
 def growing_ensemble(votes: DataFrame, entity: Sequence[str], tree: str, prob: str, truth: str,
                      sizes: Sequence[int], hit: int = HIT, contact: int = CONTACT) -> DataFrame:
     """Gain at break-even after 1, 2, 4, ... trees: the running mean probability of each customer."""
     upto = Window.partitionBy(*entity).orderBy(tree).rowsBetween(Window.unboundedPreceding, 0)
     running = votes.withColumn("_sum", F.sum(prob).over(upto)).filter(F.col(tree).isin(list(sizes)))
     chosen = F.col("_sum") > F.col(tree) * F.lit(BREAK_EVEN)
-    return running.groupBy(tree).agg(
-        F.coalesce(F.sum(F.when(chosen, _earned(truth, hit, contact))), F.lit(0)).alias("ganancia"))
+    return running.groupBy(tree).agg(gain_sum(chosen, truth, hit, contact).alias("ganancia"))
 
 
 def relevant_part(curve: DataFrame, share: float = 0.6, by: Sequence[str] = ()) -> DataFrame:

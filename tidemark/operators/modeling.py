@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
-import zlib
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from typing import Any
 
@@ -22,8 +22,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import KEYS, Keys, require_some
-from ..session import materialize
-from .gain import BREAK_EVEN, best_point, ensemble, gain_at_threshold, gain_curve, plateau_gain
+from ..session import materialize, scratch_path
+from .gain import BREAK_EVEN, best_point, ensemble, gain_at_threshold, gain_curve, gain_sum, plateau_gain
 from .ordering import rank_counts
 from .sampling import canaries, partition
 
@@ -80,11 +80,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def fit_seeds(matrix: DataFrame, maker: Maker, seeds: Iterable[int], folder: str | None = None) -> dict[int, Model]:
     """One model per seed. With ``folder`` they are saved there, and a model already there is not trained again.
 
-    A saved model is known by its learner, parameters, features and seed; a folder belongs to one training table.
+    A saved model is known by its learner, parameters, features, seed and training rows, in any order.
     """
     spark, models = matrix.sparkSession, {}
+    rows = _digest(matrix) if folder else None
     for seed in seeds:
-        path = f"{folder}/model-{seed}-{_fingerprint(maker(seed), matrix)}" if folder else None
+        path = f"{folder}/model-{seed}-{_fingerprint(maker(seed), matrix, rows)}" if folder else None
         # a save that was cut short leaves no success mark and is done again
         if path and _exists(spark, f"{path}/metadata/_SUCCESS") and _exists(spark, f"{path}/data/_SUCCESS"):
             models[seed] = _load(path, maker(seed))
@@ -95,10 +96,17 @@ def fit_seeds(matrix: DataFrame, maker: Maker, seeds: Iterable[int], folder: str
     return models
 
 
-def _fingerprint(estimator: Estimator, matrix: DataFrame) -> str:
+def _digest(matrix: DataFrame) -> str:
+    """Count and sum of the rows' hashes: the same for any order of the same rows, in one pass without a shuffle of rows."""
+    row = F.struct(*[vector_to_array(c).alias(c) if c == FEATURES else F.col(c) for c in sorted(matrix.columns)])
+    hashes = [F.sum(F.xxhash64(row, F.lit(i)).cast("decimal(38,0)")).cast("string") for i in (0, 1)]
+    return "|".join(str(v) for v in matrix.agg(F.count(F.lit(1)).cast("string"), *hashes).first())
+
+
+def _fingerprint(estimator: Estimator, matrix: DataFrame, rows: str) -> str:
     params = sorted((p.name, repr(v)) for p, v in estimator.extractParamMap().items())
     columns = json.dumps(matrix.schema[FEATURES].metadata, sort_keys=True)
-    return f"{zlib.crc32(repr((type(estimator).__name__, params, columns)).encode()):08x}"
+    return hashlib.sha256(repr((type(estimator).__name__, params, columns, rows)).encode()).hexdigest()[:32]
 
 
 def _load(path: str, estimator: Estimator) -> Model:
@@ -189,10 +197,50 @@ def leaf_counts(forest: RandomForestClassificationModel) -> list[int]:
 
 def leaves(forest: RandomForestClassificationModel, matrix: DataFrame, keep: Sequence[str]) -> DataFrame:
     """Leaf number of every tree, as an array per row."""
-    scored = forest.setLeafCol("_leaves").transform(matrix)
+    quiet = forest.copy().setLeafCol("_leaves").setProbabilityCol("").setRawPredictionCol("").setPredictionCol("")
+    scored = quiet.transform(matrix)
     return scored.select(*keep, F.transform(vector_to_array("_leaves"), lambda x: x.cast("int")).alias("leaves"))
 
 
+def leaf_probabilities(spark: SparkSession, forest: RandomForestClassificationModel, path: str) -> DataFrame:
+    """One row with an array per tree: the probability of label 1 in every leaf, in the order of ``leaves``.
+
+    Its size is that of the forest. Leaves are numbered from left to right, as the saved nodes are.
+    """
+    forest.write().overwrite().save(path)
+    nodes = spark.read.parquet(f"{path}/data").select(F.col("treeID").alias("tree"), "nodeData.*").filter("leftChild < 0")
+    total = F.aggregate("impurityStats", F.lit(0.0), lambda s, x: s + x)
+    trees = nodes.groupBy("tree").agg(F.sort_array(F.collect_list(F.struct(
+        "id", F.try_divide(F.col("impurityStats")[1], total).alias("p")))).alias("found"))
+    return trees.agg(F.sort_array(F.collect_list(F.struct("tree", F.col("found.p").alias("p")))).alias("trees")).select(
+        F.col("trees.p").alias("probabilities"))
+
+
+def tree_votes(forest: RandomForestClassificationModel, matrix: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """Probability of label 1 in every tree of a fitted forest, as an array ``votes`` per row."""
+    spark = matrix.sparkSession
+    table = leaf_probabilities(spark, forest, scratch_path(spark, "forest")).scalar()
+    placed = leaves(forest, matrix, keep).withColumn("_table", table)
+    return placed.select(*keep, F.zip_with("leaves", "_table", lambda leaf, p: F.get(p, leaf)).alias("votes"))
+
+
+def forest_growth(forest: RandomForestClassificationModel, matrix: DataFrame, truth: str,
+                  sizes: Sequence[int] = tuple(2**i for i in range(10))) -> DataFrame:
+    """Gain at break-even of a fitted forest's first 1, 2, 4, ... trees: ``tree, ganancia``.
+
+    Votes are summed inside the row, so no row is moved; sizes beyond the forest are left out.
+    """
+    sizes = sorted({s for s in sizes if s <= forest.getNumTrees})
+    require_some(sizes, "forest_growth")
+    rows = tree_votes(forest, matrix, [truth])
+    for number, (before, size) in enumerate(zip([0, *sizes], sizes)):
+        start = F.col(f"_s{number - 1}") if number else F.lit(0.0)
+        rows = rows.withColumn(f"_s{number}", F.aggregate(F.slice("votes", before + 1, size - before), start, lambda s, x: s + x))
+    gains = [F.struct(F.lit(size).alias("tree"), gain_sum(F.col(f"_s{i}") > F.lit(size * BREAK_EVEN), truth).alias("ganancia"))
+             for i, size in enumerate(sizes)]
+    return rows.agg(F.array(*gains).alias("g")).select(F.explode("g").alias("g")).select("g.*")
+
+
 def canary_selection(df: DataFrame, features: Sequence[str], n_canaries: int, seed: int, depth: int = 5,
                      n_trees: int = 20, keys: Keys = KEYS) -> DataFrame:
     """Features with their importance and whether they beat the best pure-noise column."""

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.ml.clustering import BisectingKMeans, KMeans
+from pyspark.ml.clustering import BisectingKMeans, BisectingKMeansModel, KMeans
 from pyspark.ml.feature import StandardScaler
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import ratio
-from ..session import materialize
+from ..session import materialize, scratch_path
 from .modeling import LABEL, assemble, importances, random_forest
 
 
@@ -43,21 +44,101 @@ def group_proximity(leaves: DataFrame, entity: Sequence[str], group: str) -> Dat
         *entity, "grupo", ratio(F.col("_met"), F.col("_size") * F.col("_trees")).alias("proximidad"))
 
 
+def near_classes(leaves: DataFrame, entity: Sequence[str], minimum: float) -> tuple[DataFrame, DataFrame]:
+    """Rows that end in the same leaf in at least a share ``minimum`` (> 0) of the trees, without comparing all pairs.
+
+    Rows with equal leaves are one class (its ``clase`` is the array of leaves). Returns the membership (entity,
+    ``clase``) and the pairs of near classes with their ``proximidad``, each once with ``clase_a`` < ``clase_b``.
+    Two rows that differ in at most d trees agree on at least one of d + 1 blocks of trees, whichever the blocks are,
+    so only classes that share a whole block meet. A pair counts at the first block it shares; nothing is lost or repeated.
+    Rows without leaves are members of the class null, which is near none.
+    """
+    if not 0 < minimum <= 1:
+        raise ValueError("the share must lie in (0, 1]")
+    members = leaves.select(*entity, F.col("leaves").alias("clase"))
+    # both sides of the join read a written table, so that adaptive execution can split blocks that many classes share
+    classes = materialize(members.filter(F.size("clase") > 0).select("clase").distinct(), "classes")
+    trees = F.size("clase")
+    needed = F.ceil(F.lit(float(minimum)) * trees - F.lit(1e-9)).cast("int")
+    n = trees - needed + 1
+    # block b holds the trees b, b + n, b + 2n, ...
+    blocks = F.transform(F.sequence(F.lit(0), n - 1), lambda b: F.filter("clase", lambda _, i: i % n == b))
+    spread = classes.select("clase", n.alias("_n"), F.posexplode(blocks).alias("_block", "_value"))
+    a, b = (spread.select(F.col("clase").alias(f"clase_{s}"), "_n", "_block", "_value") for s in "ab")
+    met = a.join(b, ["_n", "_block", "_value"]).filter("clase_a < clase_b and size(clase_a) = size(clase_b)")
+    same = F.zip_with("clase_a", "clase_b", lambda x, y: x == y)
+    shared = F.aggregate(same, F.lit(0), lambda s, x: s + x.cast("int"))
+    earlier = F.exists(F.sequence(F.lit(0), F.col("_n") - 1), lambda k: (k < F.col("_block")) & F.forall(
+        F.sequence(F.lit(0), F.size("clase_a") - 1), lambda i: (i % F.col("_n") != k) | F.get(same, i)))
+    pairs = met.filter((shared >= F.ceil(F.lit(float(minimum)) * F.size("clase_a") - F.lit(1e-9))) & ~earlier)
+    return members, pairs.select("clase_a", "clase_b", ratio(shared, F.size("clase_a")).alias("proximidad"))
+
+
 def _scaled(df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
     matrix = assemble(df, features, keep, missing=0.0)
     scaler = StandardScaler(inputCol="features", outputCol="_scaled", withMean=True).fit(matrix)
     return materialize(scaler.transform(matrix).select(*keep, F.col("_scaled").alias("features")), "scaled")
 
 
+def hierarchy(spark: SparkSession, model: BisectingKMeansModel, path: str) -> list[tuple[int, list[int], float]]:
+    """Nodes of a fitted hierarchy from its saved form: number, children, cost. Leaves have the numbers of their clusters.
+
+    There are fewer than two nodes per cluster.
+    """
+    model.write().overwrite().save(path)
+    nodes = spark.read.parquet(f"{path}/data/data")
+    return [(r["index"], list(r["children"]), r["cost"]) for r in nodes.select("index", "children", "cost").collect()]
+
+
+def cuts(nodes: Sequence[tuple[int, list[int], float]], k: int) -> list[dict[int, int]]:
+    """Segment of every cluster for 1, 2, ... up to k segments.
+
+    Each cut splits the segment whose split lowers the cost most; the half with the smallest cluster number keeps the
+    segment's number, the other one gets the next, so segments nest. A hierarchy of fewer clusters gives fewer cuts.
+    """
+    children, cost = {n: c for n, c, _ in nodes}, {n: x for n, _, x in nodes}
+
+    def divided(node: int) -> int:
+        # a split that left one half empty is none
+        return divided(children[node][0]) if len(children[node]) == 1 else node
+
+    below: dict[int, list[int]] = {}
+
+    def clusters(node: int) -> list[int]:
+        if node not in below:
+            below[node] = sorted(x for c in children[node] for x in clusters(c)) if children[node] else [node]
+        return below[node]
+
+    root = (set(children) - {c for many in children.values() for c in many}).pop()
+    segments, out = {0: divided(root)}, []
+    while True:
+        out.append({cluster: number for number, node in segments.items() for cluster in clusters(node)})
+        open_ = [(sum(cost[c] for c in children[n]) - cost[n], clusters(n)[0], number) for number, n in segments.items() if children[n]]
+        if len(out) == k or not open_:
+            return out
+        number = min(open_)[2]
+        first, second = sorted(map(divided, children[segments[number]]), key=lambda n: clusters(n)[0])
+        segments.update({number: first, len(segments): second})
+
+
 def nested_segments(df: DataFrame, features: Sequence[str], keep: Sequence[str], ks: Iterable[int] = range(3, 11),
                     seed: int = 1) -> DataFrame:
-    """Segments for several numbers of segments, side by side as ``labels_{k}``."""
-    matrix = _scaled(df, features, keep)
-    out = matrix
+    """One hierarchy of segments cut at several numbers of segments, side by side as ``labels_{k}``.
+
+    Every segment of a larger cut lies inside one of a smaller cut. Where the rows have fewer distinct points than k,
+    the finest cut stands for k.
+    """
+    ks = list(ks)
+    # the learner starts a split by moving the centre by a share of its length, so the centre must not be the origin
+    moved = array_to_vector(F.transform(vector_to_array("features"), lambda x: x + 1))
+    matrix = _scaled(df, features, keep).withColumn("features", moved)
+    model = BisectingKMeans(k=max(ks), seed=seed, predictionCol="_cluster").fit(matrix)
+    found = cuts(hierarchy(df.sparkSession, model, scratch_path(df.sparkSession, "hierarchy")), max(ks))
+    out = model.transform(matrix)
     for k in ks:
-        model = BisectingKMeans(k=k, seed=seed, predictionCol=f"labels_{k}").fit(matrix)
-        out = model.transform(out)
-    return out.drop("features")
+        cut = found[min(k, len(found)) - 1]
+        out = out.withColumn(f"labels_{k}", F.get(F.array(*[F.lit(cut[c]) for c in range(len(cut))]), F.col("_cluster")))
+    return out.drop("features", "_cluster")
 
 
 def flat_segments(df: DataFrame, features: Sequence[str], keep: Sequence[str], k: int = 15, seed: int = 1) -> DataFrame:

@@ -21,6 +21,7 @@ KEY = ["id", "mes"]
 FEATURES = [*MEASURES, "m_total_lag_1", "m_total_delta_1", "m_net_lag_1", "m_net_delta_1"]
 SPLIT_MONTH = 199901
 SEEDS = [11, 23, 37]
+FIVE_SEEDS = [*SEEDS, 53, 71]
 
 
 def features(t):
@@ -74,7 +75,7 @@ def _(t):
 
 @query("m5_canary_selection")
 def _(t):
-    return modeling.canary_selection(sets(t)[0], FEATURES, 4, 5, depth=4, n_trees=8)
+    return modeling.canary_selection(sets(t)[0], FEATURES, 10, 5, depth=4, n_trees=20)
 
 
 @query("m6_importances")
@@ -168,9 +169,9 @@ def _(t):
 
 
 @query("m14_forced_holdout", sql("""SELECT CAST(s AS INTEGER) AS seed, round(g, 2) AS ganancia FROM (SELECT 780000e0 * count(*) / 0.3e0 AS g FROM (
-  SELECT row_number() OVER () - 1 AS i FROM forced WHERE y = 1) WHERE i % 100 >= 70), (SELECT unnest([11, 23, 37]) AS s)""", _FORCED))
+  SELECT row_number() OVER () - 1 AS i FROM forced WHERE y = 1) WHERE i % 100 >= 70), (SELECT unnest([11, 23, 37, 53, 71]) AS s)""", _FORCED))
 def _(t):
-    found = modeling.repeated_holdout(forced(t), ["c_total"], ["target"], modeling.single_tree(maxDepth=4), SEEDS)
+    found = modeling.repeated_holdout(forced(t), ["c_total"], ["target"], modeling.single_tree(maxDepth=4), FIVE_SEEDS)
     return found.withColumn("ganancia", F.round("ganancia", 2))
 
 
@@ -225,7 +226,7 @@ def _(t):
     settings = modeling.sampled_settings({"maxDepth": (2, 4), "minInstancesPerNode_exp": (0, 6)}, 3, 1,
                                          whole=("maxDepth", "minInstancesPerNode"))
     trials = modeling.search(train, validate, FEATURES, lambda **s: modeling.random_forest(numTrees=4, **s), settings,
-                             SEEDS[:2], window=101, fits=lambda s, n: s["minInstancesPerNode"] * 2 ** s["maxDepth"] <= n)
+                             SEEDS[:2], window=2001, fits=lambda s, n: s["minInstancesPerNode"] * 2 ** s["maxDepth"] <= n)
     return trials.select("trial_number", "value", "auc", "state", F.map_keys("params").alias("names"))
 
 
@@ -276,7 +277,7 @@ def _(t):
 
 @query("m14_repeated_holdout")
 def _(t):
-    return modeling.repeated_holdout(sets(t)[0], FEATURES, ["target"], modeling.single_tree(maxDepth=4), SEEDS[:2])
+    return modeling.repeated_holdout(sets(t)[0], FEATURES, ["target"], modeling.single_tree(maxDepth=4), FIVE_SEEDS)
 
 
 @query("d8_month_discriminator")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import gain
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources import readers, writers
 from .aggregate_queries import _TRIALS, trials
 from .gain_queries import CURVE, CURVES, TIES, curve, curves
@@ -49,9 +49,9 @@ def _(t):
 
 def prediction_tree(t) -> str:
     """Prediction files of several runs: production files lack the running gain."""
-    root = scratch_path(t.spark, "predictions")
+    root, all_runs = scratch_path(t.spark, "predictions"), materialize(curves(t), "curves")
     for m in range(1, 6):
-        run = curves(t).filter(F.col("model") == m).select("id", "mes", F.col("model").alias("meta_modelo"), "prob", "gan_acum")
+        run = all_runs.filter(F.col("model") == m).select("id", "mes", F.col("model").alias("meta_modelo"), "prob", "gan_acum")
         run = run if m < 3 else run.drop("gan_acum")
         writers.write_csv(run.coalesce(2), f"{root}/exp{m}", sep="\t")
     return root

@@ -176,7 +176,7 @@ class Stretch:
         out = [
             f"shape {shape[:24]}", f"marks {marks}", f"digits {min(n, 24)}", f"groups {min(len(groups), 8)}", f"lens {','.join(str(len(g)) for g in groups[:6])}",
             f"words {min(len(words), 6)}", f"octets {octets}", f"card {card} {13 <= n <= 19}", f"first {shape[0]}", f"plus {part[0] == '+'} {9 <= n <= 15}",
-            f"at {part.count('@')} {bool(re.search(r'@[A-Za-z0-9.-]+[.][A-Za-z0-9-]+$', part))}", f"said {' at ' in part} {part.count(' dot ')}",
+            f"at {part.count('@')} {bool(re.search(r'@[A-Za-z0-9.-]+[.][A-Za-z0-9-]+$', part))}", f"said {SAID.fullmatch(part) is not None}",
             f"before {self._beside(a - 1)}", f"after {self._beside(b)}", f"size {min((b - a) // 4, 12)}", "any",
         ]
         return [bucket(f) for f in out]
@@ -251,17 +251,23 @@ def in_words(email: str, rng: random.Random) -> str:
     return email.replace("@", rng.choice([" at ", " [at] ", " (at) "])).replace(".", rng.choice([" dot ", " [dot] ", " (dot) "]))
 
 
-def variants(kind: int, text: str, rng: random.Random) -> str:
-    """A form of an entity that the patterns do not know."""
+def forms(kind: int, text: str, rng: random.Random) -> list[str]:
+    """An entity in every form that the patterns do not know; of an address's mixed forms, two."""
     digits = re.sub("[^0-9]", "", text)
     if kind == 0:
-        return in_words(text, rng)
+        plain = [text.replace("@", f" {o}at{c} ").replace(".", f" {o}dot{c} ") for o, c in (("", ""), "[]", "()")]
+        return [*plain, *(in_words(text, rng) for _ in range(2))]
     if kind == 1:
-        return text.replace(".", rng.choice([" . ", "[.]"]))
+        return [text.replace(".", sep) for sep in (" . ", "[.]")]
     if kind == 2:
-        return rng.choice([".", "/", "  "]).join(digits[k : k + 4] for k in range(0, len(digits), 4))
-    tail = digits[-10:]
-    return rng.choice([f"({tail[:3]}) {tail[3:6]}-{tail[6:]}", f"{tail[:3]}-{tail[3:6]}-{tail[6:]}", f"{tail[:3]}.{tail[3:6]}.{tail[6:]}"])
+        return [sep.join(digits[k : k + 4] for k in range(0, len(digits), 4)) for sep in (".", "/", "  ")]
+    area, first, last = digits[-10:-7], digits[-7:-4], digits[-4:]
+    return [f"({area}) {first}-{last}", f"{area}-{first}-{last}", f"{area}.{first}.{last}"]
+
+
+def variants(kind: int, text: str, rng: random.Random) -> str:
+    """One of the forms."""
+    return rng.choice(forms(kind, text, rng))
 
 
 def train(samples: list[str], rounds: int = 12, rate: float = 0.4, decay: float = 2e-3, seed: int = 11) -> np.ndarray:
@@ -273,8 +279,10 @@ def train(samples: list[str], rounds: int = 12, rate: float = 0.4, decay: float
         texts = [(text, spans)]
         if spans:
             k, a, b = rng.choice(spans)
-            new = variants(k, text[a:b], rng)
-            texts.append((text[:a] + new + text[b:], [(k, a, a + len(new))]))
+            for new in forms(k, text[a:b], rng):
+                # as it stands, and where a sentence or a clause ends
+                for mark in ("", rng.choice(".,")):
+                    texts.append((text[:a] + new + mark + text[b:], [(k, a, a + len(new))]))
             bad = "".join(str((int(c) + 1 + 3 * (n % 2)) % 10) if c in "0123456789" else "" if c in "+@()" else c for n, c in enumerate(text[a:b]))
             if not _disjoint(base_spans(text[:a] + bad + text[b:])):
                 texts.append((text[:a] + bad + text[b:], []))

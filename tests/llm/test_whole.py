@@ -82,3 +82,35 @@ def test_pipeline_drops_toxic_rows_by_row(spark, tmp_path):
     left = corpus_pipeline.drop_toxic(spark, docs, str(tmp_path)).collect()
     got = [(r["doc_id"], "vile" in r["text"]) for r in left if r["doc_id"] in (None, 900)]
     assert sorted(got, key=str) == [(900, False), (None, False)]
+
+
+def planted(kind, rng):
+    def digits(n):
+        return "".join(rng.choice("0123456789") for _ in range(n))
+
+    if kind == 0:
+        return f"{rng.choice(['ana', 'jo.lee', 'm_k', 'max99'])}@{rng.choice(['mail', 'corp-x', 'foo'])}.{rng.choice(['com', 'org', 'co.uk'])}"
+    if kind == 1:
+        return ".".join(str(rng.randrange(256)) for _ in range(4))
+    if kind == 2:
+        body = digits(15)
+        return next(body + c for c in "0123456789" if pii.luhn(body + c))
+    return "+" + digits(11)
+
+
+def test_planted_variants_are_found(spark):
+    """Entities that training has not seen, in forms that no pattern knows, between words of other documents."""
+    field = pii.Field(pii.fit(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")))
+    others = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id % 7 = 3 and text rlike '^[^0-9@]*$'")
+    words = [w for r in others.orderBy("doc_id").limit(200).collect() for w in r["text"].split()]
+    rng = random.Random(77)
+    for kind, name in enumerate(pii.KINDS):
+        found = wrong = 0
+        for _ in range(200):
+            at, form = rng.randrange(len(words) - 6), pii.variants(kind, planted(kind, rng), rng)
+            left, right = " ".join(words[at : at + 3]), " ".join(words[at + 3 : at + 6])
+            base, added = pii.find(f"{left} {form}{rng.choice(['', ',', '.'])} {right}", field)
+            want = (kind, len(left) + 1, len(left) + 1 + len(form))
+            found += want in base + added
+            wrong += sum(s != want for s in added)
+        assert found >= 180 and wrong <= 20, (name, found, wrong)

@@ -13,7 +13,7 @@ from ..session import materialize
 from .gain import BREAK_EVEN
 from .labels import gain
 from .ordering import exact_quantiles, rank_counts, running_totals
-from .sampling import border_lists, drawn, partition, shuffle_splits
+from .sampling import border_lists, over_splits, partition, split_sums
 
 PUBLIC_SHARE = 0.3
 
@@ -52,16 +52,24 @@ def simulate_cuts(df: DataFrame, prob: str, truth: str, cuts: Sequence[int], n_s
 
     A cut beyond the side contacts the whole side.
     """
-    # the order of the scores is the same in every split: found once, it serves all as an even key
-    ordered = running_totals(df.select(*keys.pair, prob, truth), prob, keys.pair, descending=True,
-                             position="_p", size="_size")
-    ordered = materialize(ordered.select(*keys.pair, truth, ((F.col("_p") - 1) / F.col("_size")).alias("_order")), "ordered")
-    split = shuffle_splits(ordered, n_splits, public_share, seed, [truth], keys)
-    sided = split.withColumn("tipo", F.when(F.col("side") == "test", "public").otherwise("private"))
-    first = running_totals(sided.withColumn("_gain", gain(F.col(truth) == 1)), "_order", [], by=["split", "tipo"],
-                           uniform=True, top=max(cuts))
-    wide = first.groupBy("split", "tipo").agg(
-        *[F.coalesce(F.sum(F.when(F.col("pos") <= c, F.col("_gain"))), F.lit(0)).alias(f"_c{c}") for c in cuts])
+    slim = materialize(df.select(*keys.pair, prob, truth), "scored")
+    lists = border_lists(slim, n_splits, public_share, seed, [truth], keys)
+    rows, most, least = slim.count(), max(cuts), min(public_share, 1 - public_share)
+    take = min(rows, int(1.05 * most / least) + 1000) if least > 0 else rows
+    while True:
+        # the order of the scores is the same in every split: found once, it serves all as an even key
+        ordered = running_totals(slim, prob, keys.pair, descending=True, position="_p", top=take, written=True)
+        ordered = materialize(ordered.select(*keys.pair, truth, ((F.col("_p") - 1) / F.lit(max(take, 1))).alias("_order")), "ordered")
+        public = F.coalesce(F.col("_drawn") <= F.col("_border"), F.lit(False))
+        sided = over_splits(ordered, lists, seed, [truth], keys).select(
+            "split", F.when(public, "public").otherwise("private").alias("tipo"), "_order", gain(F.col(truth) == 1).alias("_gain"))
+        first = running_totals(sided, "_order", [], by=["split", "tipo"], uniform=True, top=most)
+        wide = materialize(first.groupBy("split", "tipo").agg(F.count(F.lit(1)).alias("_rows"), *[
+            F.coalesce(F.sum(F.when(F.col("pos") <= c, F.col("_gain"))), F.lit(0)).alias(f"_c{c}") for c in cuts]), "cuts")
+        # rows after the first ones count for nothing once every side has enough
+        if take == rows or wide.filter(F.col("_rows") >= most).count() == 2 * n_splits:
+            break
+        take = min(rows, 2 * take)
     rows = F.array(*[F.struct(F.lit(c).alias("corte"), F.col(f"_c{c}").alias("ganancia")) for c in cuts])
     return wide.select("split", "tipo", F.explode(rows).alias("r")).select("split", "tipo", "r.*")
 
@@ -82,29 +90,34 @@ def models_over_splits(scores: DataFrame, prob: str, truth: str, model: str = "m
                        keys: Keys = KEYS) -> DataFrame:
     """Scaled gain at a threshold of every model on both sides of common random splits.
 
-    A split is drawn once per customer row, so all models meet the same sides. A row carries its sides as one
-    array; a model's public gains are sums over it, and the private ones what is left of the total, so rows are
-    not multiplied by the splits.
+    A split is drawn once per customer row, so all models meet the same sides. A customer's row holds the gain of
+    every model; models are few. Public gains are sums over the public side, found in the pass that finds its border,
+    and the private ones what is left of the total.
     """
-    truths = materialize(scores.groupBy(*keys.pair).agg(F.max(truth).alias("_truth")), "truths")
-    lists = border_lists(truths, n_splits, public_share, seed, ["_truth"], keys)
-    sided = truths.join(lists, truths["_truth"].eqNullSafe(lists["_of__truth"]), "left")
-    public = F.array(*[F.coalesce(drawn(F.lit(s), seed, keys) <= F.get("_borders", F.lit(s)), F.lit(False)) for s in range(n_splits)])
-    sided = sided.select(*keys.pair, public.alias("_public"))
+    kind = scores.schema[model].dataType
+    names = [F.lit(r[0]).cast(kind) for r in scores.select(model).distinct().collect()] or [F.lit(None).cast(kind)]
     earned = F.when(F.col(prob) >= threshold, gain(F.col(truth) == 1))
-    count = F.count(F.lit(1))
-    sums = scores.select(model, *keys.pair, earned.alias("_g")).join(sided, keys.pair).groupBy(model).agg(
-        F.coalesce(F.sum("_g"), F.lit(0)).alias("_total"), count.alias("_rows"),
-        *[f.alias(f"{name}{s}") for s in range(n_splits) for name, f in (
-            ("_p", F.coalesce(F.sum(F.when(F.get("_public", F.lit(s)), F.col("_g"))), F.lit(0))),
-            ("_n", F.count_if(F.get("_public", F.lit(s)))))])
+    own = [F.col(model).eqNullSafe(name) for name in names]
+    customers = scores.groupBy(*keys.pair).agg(
+        F.max(truth).alias("_truth"), *[F.coalesce(F.sum(F.when(o, earned)), F.lit(0)).alias(f"_g{i}") for i, o in enumerate(own)],
+        *[F.count_if(o).alias(f"_n{i}") for i, o in enumerate(own)])
+    parts = [f"_{x}{i}" for x in "gn" for i in range(len(names))]
+    # a row without key takes a place in its split, but is no customer
+    known = F.col(keys.id).isNotNull() & F.col(keys.month).isNotNull()
+    customers = materialize(customers.withColumns({c: F.when(known, F.col(c)).otherwise(F.lit(0)) for c in parts}), "customers")
+    public = split_sums(customers, n_splits, public_share, seed, parts, ["_truth"], keys)
+    public = materialize(public.withColumnsRenamed({c: f"_p{c}" for c in parts}), "public")
+    totals = materialize(customers.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in parts]), "totals")
+    splits = scores.sparkSession.range(n_splits).select(F.col("id").cast("int").alias("split"))
+    sums = splits.join(public, "split", "left").crossJoin(totals).fillna(0, [f"_p{c}" for c in parts])
     sides = []
-    for s in range(n_splits):
-        sides.append(F.struct(F.lit(s).alias("split"), F.lit("public").alias("tipo"), (F.col(f"_p{s}") / F.lit(public_share)).alias("ganancia"), F.col(f"_n{s}").alias("n")))
-        sides.append(F.struct(F.lit(s).alias("split"), F.lit("private").alias("tipo"),
-                              ((F.col("_total") - F.col(f"_p{s}")) / F.lit(1 - public_share)).alias("ganancia"), (F.col("_rows") - F.col(f"_n{s}")).alias("n")))
+    for i, name in enumerate(names):
+        sides.append(F.struct(name.alias("model"), F.lit("public").alias("tipo"), (F.col(f"_p_g{i}") / F.lit(public_share)).alias("ganancia"), F.col(f"_p_n{i}").alias("n")))
+        sides.append(F.struct(name.alias("model"), F.lit("private").alias("tipo"),
+                              ((F.col(f"_g{i}") - F.col(f"_p_g{i}")) / F.lit(1 - public_share)).alias("ganancia"), (F.col(f"_n{i}") - F.col(f"_p_n{i}")).alias("n")))
     # a side without rows has no gain to speak of
-    return sums.select(model, F.explode(F.array(*sides)).alias("r")).filter("r.n > 0").select(model, "r.split", "r.tipo", "r.ganancia")
+    return sums.select("split", F.explode(F.array(*sides)).alias("r")).filter("r.n > 0").select(
+        F.col("r.model").alias(model), "split", "r.tipo", "r.ganancia")
 
 
 def best_public_vs_private(results: DataFrame, model: str = "model") -> DataFrame:

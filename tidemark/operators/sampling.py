@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import KEYS, Keys, hash_uniform, require
 from .labels import binary_target
 from ..session import materialize
-from .ordering import default_cells, running_totals
+from .ordering import running_totals
 from .panel import keep_months
 
 
@@ -106,36 +106,123 @@ def _fold(position: Column, division: Sequence[int], first: int) -> Column:
     return fold
 
 
-def drawn(split: Column, seed: int, keys: Keys) -> Column:
+def row_text(keys: Keys) -> Column:
+    """The part of ``hash_uniform``'s text that a row has in every split; null where nothing of the key is known."""
+    known = F.col(keys.id).isNotNull() | F.col(keys.month).isNotNull()
+    return F.when(known, F.concat_ws("|", F.col(keys.id).cast("string"), F.col(keys.month).cast("string")))
+
+
+def _digits(text: Column, tail: Column) -> Column:
+    """The eight hex digits that ``hash_uniform`` makes a number of: they have the same order and need no conversion."""
+    return F.substring(F.md5(F.concat_ws("|", text, tail)), 1, 8)
+
+
+def _tail(split: Column, seed: int) -> Column:
+    return F.concat(split.cast("string"), F.lit(f"|{seed}"))
+
+
+def _hex(share: Column) -> Column:
+    """A share of the hash's range in its digits; beyond 1 what is above all digits."""
+    return F.when(share >= 1, F.lit("g")).otherwise(
+        F.lpad(F.lower(F.hex(F.floor(F.greatest(share, F.lit(0.0)) * F.lit(4294967296.0)))), 8, "0"))
+
+
+def drawn(text: Column, split: Column, seed: int, keys: Keys) -> Column:
     """What orders a row within a split: a hash, then its key."""
-    return F.struct(hash_uniform(keys.id, keys.month, split, F.lit(seed)).alias("u"), F.col(keys.id).alias("id"), F.col(keys.month).alias("month"))
+    return _drawn(_digits(text, _tail(split, seed)), keys)
 
 
-def split_borders(df: DataFrame, n_splits: int, test_share: float, seed: int, strata: Sequence[str] = (),
-                  keys: Keys = KEYS) -> DataFrame:
-    """The last row of the test side of every split and stratum: ``split, *strata, border`` (null where there is none).
+def _drawn(digits: Column, keys: Keys) -> Column:
+    return F.struct(digits.alias("u"), F.col(keys.id).alias("id"), F.col(keys.month).alias("month"))
+
+
+def _alike(left: DataFrame, right: DataFrame, strata: Sequence[str], split: bool = False) -> Column:
+    """Same stratum, named ``_of_{stratum}`` on the right, and, if asked, same split."""
+    first = left["split"] == right["_split"] if split else F.lit(True)
+    return reduce(lambda a, c: a & left[c].eqNullSafe(right[f"_of_{c}"]), strata, first)
+
 
-    Counts per cell of the hash tell which cell holds the border; only the rows of that cell are put in order.
+def _named(df: DataFrame, strata: Sequence[str], *more: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(f"_of_{c}") for c in strata], *[F.col(c).alias("_split") if c == "split" else c for c in more])
+
+
+def _in_splits(slim: DataFrame, spans: DataFrame, strata: Sequence[str], seed: int, keys: Keys) -> DataFrame:
+    """Every row once per split of its stratum's spans, with its hash ``_u``; rows are not shuffled."""
+    # a row per stratum with the stretch of the hash looked at in each split: small, so written
+    lists = materialize(_named(spans.groupBy(*strata).agg(F.collect_list(F.struct(
+        "split", "low", "high", _tail(F.col("split"), seed).alias("tail"))).alias("_spans")), strata, "_spans"), "spans")
+    texts = slim.withColumn("_text", row_text(keys))
+    each = texts.join(lists, _alike(texts, lists, strata)).select(*slim.columns, "_text", F.explode("_spans").alias("_span"))
+    return each.select(*slim.columns, *[F.col(f"_span.{c}").alias(n) for c, n in (("split", "split"), ("low", "_low"), ("high", "_high"))],
+                       _digits(F.col("_text"), F.col("_span.tail")).alias("_u"))
+
+
+def _groups_in(slim: DataFrame, spans: DataFrame, wanted: DataFrame, strata: Sequence[str], seed: int, sums: Sequence[str],
+               keys: Keys) -> tuple[DataFrame, DataFrame]:
+    """Groups of the test sides whose border lies in its stretch, and the borders.
+
+    One pass over the hashes: a group per key within the stretch, one for all rows below it, one for those above.
+    """
+    inside = (F.col("_u") >= F.col("_low")) & (F.col("_u") < F.col("_high"))
+    rows = _in_splits(slim, spans, strata, seed, keys).select(
+        "split", *strata, *sums, F.when(F.col("_u") < F.col("_low"), 0).when(inside, 1).otherwise(2).alias("_side"),
+        F.when(inside, _drawn(F.col("_u"), keys)).alias("border"))
+    counts = materialize(rows.groupBy("split", *strata, "_side", "border").agg(
+        F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(c) for c in sums]), "counts")
+    upto = Window.partitionBy("split", *strata).orderBy("_side", "border").rowsBetween(Window.unboundedPreceding, 0)
+    placed = counts.filter("_side < 2").withColumn("_upto", F.sum("_n").over(upto))
+    wants = _named(wanted, strata, "_want")
+    placed = placed.join(wants, _alike(placed, wants, strata)).filter(F.col("_upto") - F.col("_n") < F.col("_want"))
+    borders = placed.filter((F.col("_side") == 1) & (F.col("_upto") >= F.col("_want")))
+    borders = materialize(borders.select("split", *strata, "border"), "borders")
+    known = _named(borders, strata, "split")
+    return placed.join(known, _alike(placed, known, strata, True), "left_semi").select("split", *strata, *sums), borders
+
+
+def _test_sides(df: DataFrame, n_splits: int, test_share: float, seed: int, strata: Sequence[str], sums: Sequence[str],
+                keys: Keys) -> tuple[DataFrame, DataFrame]:
+    """Groups of the test sides, with their sums, and their borders.
+
+    Hashes spread evenly, so the border of n rows lies within a few times 1 / sqrt(n) of the share: rows below that
+    stretch are counted and those in it put in order. Where the hashes do not spread (a key that many rows share)
+    counts per cell of the hash tell the stretch.
     """
     strata = list(strata)
-    n = default_cells(df.sparkSession)
-    slim = materialize(df.select(*dict.fromkeys([*keys.pair, *strata])), "splits")
-    rows = slim.withColumn("split", F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))))
-    rows = rows.withColumn("_drawn", drawn(F.col("split"), seed, keys))
-    rows = rows.select("split", *strata, "_drawn", F.floor(F.col("_drawn.u") * n).cast("int").alias("_cell"))
-    place = ["split", *strata]
-    counts = rows.groupBy(*place, "_cell").agg(F.count(F.lit(1)).alias("_n"))
-    group = Window.partitionBy(*place)  # the cells of a stratum
-    counts = counts.withColumns({
-        "_upto": F.sum("_n").over(group.orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)),
-        "_want": F.round(F.sum("_n").over(group) * F.lit(test_share))})
-    at = counts.filter((F.col("_upto") >= F.col("_want")) & (F.col("_upto") - F.col("_n") < F.col("_want")))
-    at = materialize(at.select(*[F.col(c).alias(f"_at_{c}") for c in [*place, "_cell"]], (F.col("_want") - F.col("_upto") + F.col("_n")).alias("_need")), "borders")
-    same = (rows["split"] == at["_at_split"]) & (rows["_cell"] == at["_at__cell"])
-    for c in strata:
-        same = same & rows[c].eqNullSafe(at[f"_at_{c}"])
-    inside = rows.join(at, same).withColumn("_pos", F.row_number().over(Window.partitionBy(*place, "_cell").orderBy("_drawn")))
-    return inside.filter(F.col("_pos") == F.col("_need")).select(*place, F.col("_drawn").alias("border"))
+    slim = materialize(df.select(*dict.fromkeys([*keys.pair, *strata, *sums])), "splits")
+    wanted = slim.groupBy(*strata).agg(F.count(F.lit(1)).alias("_size")).withColumn("_want", F.round(F.col("_size") * F.lit(test_share)))
+    wanted = materialize(wanted.filter("_want > 0"), "wanted")
+    share = F.col("_want") / F.col("_size")
+    margin = 6 * F.sqrt(share * (1 - share) / F.col("_size")) + 4 / F.col("_size")
+    every = wanted.withColumn("split", F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))))
+    spans = every.select(*strata, "split", _hex(share - margin).alias("low"), _hex(share + margin).alias("high"))
+    groups, borders = _groups_in(slim, spans, wanted, strata, seed, sums, keys)
+    known = _named(borders, strata, "split")
+    missed = materialize(every.join(known, _alike(every, known, strata, True), "left_anti").select(*strata, "split", "_want"), "missed")
+    if missed.isEmpty():
+        return groups, borders
+    whole = missed.select(*strata, "split", F.lit("").alias("low"), F.lit("g").alias("high"))
+    cells = _in_splits(slim, whole, strata, seed, keys).groupBy("split", *strata, F.substring("_u", 1, 3).alias("low")).agg(F.count(F.lit(1)).alias("_n"))
+    upto = Window.partitionBy("split", *strata).orderBy("low").rowsBetween(Window.unboundedPreceding, 0)  # the cells of a stratum
+    cells = cells.withColumn("_upto", F.sum("_n").over(upto))
+    wants = _named(missed, strata, "split", "_want")
+    cells = cells.join(wants, _alike(cells, wants, strata, True))
+    at = cells.filter((F.col("_upto") >= F.col("_want")) & (F.col("_upto") - F.col("_n") < F.col("_want")))
+    spans = at.select(*strata, "split", "low", F.concat("low", F.lit("g")).alias("high"))
+    more = _groups_in(slim, spans, wanted, strata, seed, sums, keys)
+    return groups.unionByName(more[0]), borders.unionByName(more[1])
+
+
+def split_borders(df: DataFrame, n_splits: int, test_share: float, seed: int, strata: Sequence[str] = (),
+                  keys: Keys = KEYS) -> DataFrame:
+    """The last row of the test side of every split and stratum: ``split, *strata, border`` (no row where there is none)."""
+    return _test_sides(df, n_splits, test_share, seed, strata, (), keys)[1]
+
+
+def split_sums(df: DataFrame, n_splits: int, test_share: float, seed: int, sums: Sequence[str], strata: Sequence[str] = (),
+               keys: Keys = KEYS) -> DataFrame:
+    """Sums of columns over the test side of every split, found in the same pass as the borders."""
+    groups, _ = _test_sides(df, n_splits, test_share, seed, strata, sums, keys)
+    return groups.groupBy("split").agg(*[F.sum(c).alias(c) for c in sums])
 
 
 def shuffle_splits(df: DataFrame, n_splits: int, test_share: float, seed: int, strata: Sequence[str] = (),
@@ -145,11 +232,18 @@ def shuffle_splits(df: DataFrame, n_splits: int, test_share: float, seed: int, s
     The test side of a stratum holds the rounded share of its rows. Rows are compared with the borders in place:
     neither they nor their copies are sorted.
     """
-    lists = border_lists(df, n_splits, test_share, seed, strata, keys)
-    joined = df.join(lists, reduce(lambda a, c: a & df[c].eqNullSafe(lists[f"_of_{c}"]), strata, F.lit(True)), "left")
-    each = joined.select(*[df[c] for c in df.columns], F.posexplode("_borders").alias("split", "_border"))
-    in_test = F.coalesce(drawn(F.col("split"), seed, keys) <= F.col("_border"), F.lit(False))
-    return each.withColumn("side", F.when(in_test, "test").otherwise("train")).drop("_border")
+    in_test = F.coalesce(F.col("_drawn") <= F.col("_border"), F.lit(False))
+    each = over_splits(df, border_lists(df, n_splits, test_share, seed, strata, keys), seed, strata, keys)
+    return each.withColumn("side", F.when(in_test, "test").otherwise("train")).drop("_border", "_drawn")
+
+
+def over_splits(df: DataFrame, lists: DataFrame, seed: int, strata: Sequence[str], keys: Keys) -> DataFrame:
+    """Every row once per ``split`` with its ``_drawn`` and the ``_border`` of its stratum."""
+    columns = df.columns
+    texts = df.withColumn("_text", row_text(keys))
+    joined = texts.join(lists, reduce(lambda a, c: a & texts[c].eqNullSafe(lists[f"_of_{c}"]), strata, F.lit(True)), "left")
+    each = joined.select(*[texts[c] for c in columns], "_text", F.posexplode("_borders").alias("split", "_border"))
+    return each.withColumn("_drawn", drawn(F.col("_text"), F.col("split"), seed, keys)).drop("_text")
 
 
 def border_lists(df: DataFrame, n_splits: int, test_share: float, seed: int, strata: Sequence[str], keys: Keys) -> DataFrame:

@@ -49,11 +49,13 @@ def _(t):
 
 def prediction_tree(t) -> str:
     """Prediction files of several runs: production files lack the running gain."""
-    root, all_runs = scratch_path(t.spark, "predictions"), materialize(curves(t), "curves")
+    root, all_runs = scratch_path(t.spark, "predictions"), scratch_path(t.spark, "curves")
+    # a folder per run, so that a run's files are written from its own rows only, by as many tasks as they fill
+    curves(t).select("id", "mes", "model", "prob", "gan_acum").write.partitionBy("model").parquet(all_runs)
     for m in range(1, 6):
-        run = all_runs.filter(F.col("model") == m).select("id", "mes", F.col("model").alias("meta_modelo"), "prob", "gan_acum")
+        run = t.spark.read.parquet(f"{all_runs}/model={m}").select("id", "mes", F.lit(m).alias("meta_modelo"), "prob", "gan_acum")
         run = run if m < 3 else run.drop("gan_acum")
-        writers.write_csv(run.coalesce(2), f"{root}/exp{m}", sep="\t")
+        writers.write_csv(run, f"{root}/exp{m}", sep="\t")
     return root
 
 

@@ -62,13 +62,15 @@ def read_predictions(spark: SparkSession, root: str, pattern: str = "*", sep: st
     # the rows of a file's first part are numbered in their order
     lines = _listing(spark, root, pattern).text(root).filter("_metadata.file_block_start = 0")
     lines = lines.select("value", path.alias("path"), F.monotonically_increasing_id().alias("at"))
+    # by counting slashes: a pattern would try every start of the path anew, in every row
+    folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
     layouts: dict[str, list[str]] = {}
     for name, header in lines.groupBy("path").agg(F.min_by("value", "at")).collect():
         layouts.setdefault(header, []).append(name)
     stacked = None
     for _, files in sorted(layouts.items()):
         rows = (spark.read.option("header", True).option("sep", sep).option("inferSchema", True).csv(sorted(files))
-                .withColumn(model, F.regexp_extract(path, r"([^/]+)/[^/]+$", 1)))
+                .withColumn(model, folder))
         stacked = rows if stacked is None else stacked.unionByName(rows, allowMissingColumns=True)
     if stacked is None:
         raise FileNotFoundError(f"no file {pattern} with a header below {root}")

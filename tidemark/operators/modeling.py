@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import KEYS, Keys, require_some
 from ..session import materialize, scratch_path
 from .gain import BREAK_EVEN, best_point, ensemble, gain_at_threshold, gain_curve, gain_sum, plateau_gain
+from .labels import CONTACT, HIT
 from .ordering import rank_counts
 from .sampling import canaries, partition
 
@@ -361,17 +362,65 @@ def auc_by(df: DataFrame, prob: str, label: str, by: Sequence[str]) -> DataFrame
 
 def depth_sweep(train: DataFrame, test: DataFrame, features: Sequence[str], depths: Iterable[int],
                 seed: int = 1) -> DataFrame:
-    """Train and test gain of one tree per depth: where it starts to overfit."""
+    """Train and test gain of one tree per depth: where it starts to overfit.
+
+    A tree grows level by level, so the tree of a smaller depth is the deepest one cut there. That one is trained, the
+    test rows are counted in its leaves, and all depths are read off its nodes; the driver holds no more than the tree.
+    """
+    depths = list(depths)
     fitted, unseen = materialize(assemble(train, features, [LABEL]), "train"), materialize(assemble(test, features, [LABEL]), "test")
-    rows = []
-    for depth in depths:
-        model = single_tree(maxDepth=depth, minInstancesPerNode=1)(seed).fit(fitted)
-        got = [float(gain_at_threshold(probability(model, m, [LABEL]), "prob", LABEL, BREAK_EVEN).first()[0])
-               for m in (fitted, unseen)]
-        rows.append((depth, *got))
+    model = single_tree(maxDepth=max(depths), minInstancesPerNode=1)(seed).fit(fitted)
+    gains = tree_cut_gains(model, unseen, depths)
+    rows = [(depth, *gains[depth]) for depth in depths]
     return train.sparkSession.createDataFrame(rows, "max_depth int, ganancia_train double, ganancia_test double")
 
 
+def tree_cut_gains(model: Model, unseen: DataFrame, depths: Iterable[int]) -> dict[int, tuple[float, float]]:
+    """Gain at break-even on the training rows and on others of a fitted tree cut at each depth, as the learner would
+    have grown it: leaves of one prediction beside each other are one leaf."""
+    import numpy as np
+
+    spark, path = unseen.sparkSession, scratch_path(unseen.sparkSession, "tree")
+    model.write().overwrite().save(path)
+    saved = spark.read.parquet(f"{path}/data")
+    saved = (saved.select("nodeData.*") if "nodeData" in saved.columns else saved).select(
+        "id", "leftChild", "rightChild", F.col("impurityStats")[0].alias("n0"), F.coalesce(F.get("impurityStats", F.lit(1)), F.lit(0.0)).alias("n1"))
+    nodes = saved.orderBy("id").toArrow()
+    left, right = (nodes[c].to_numpy().astype("int64") for c in ("leftChild", "rightChild"))
+    trained = np.stack([nodes[c].to_numpy() for c in ("n0", "n1")], axis=1)
+    # leaves are numbered from left to right, as the saved nodes are
+    placed = model.copy().setLeafCol("_leaf").setProbabilityCol("").setRawPredictionCol("").setPredictionCol("").transform(unseen)
+    met = placed.groupBy(F.col("_leaf").cast("long").alias("leaf"), F.coalesce((F.col(LABEL) == 1).cast("int"), F.lit(0)).alias("y")).agg(
+        F.count(F.lit(1)).alias("n")).toArrow()
+    counted = np.zeros_like(trained)
+    counted[np.flatnonzero(left < 0)[met["leaf"].to_numpy()], met["y"].to_numpy()] = met["n"].to_numpy()
+    levels = [np.array([0])]
+    while (inner := levels[-1][left[levels[-1]] >= 0]).size:
+        levels.append(np.concatenate([left[inner], right[inner]]))
+    for level in reversed(levels):
+        inner = level[left[level] >= 0]
+        counted[inner] = counted[left[inner]] + counted[right[inner]]
+    chosen = trained[:, 1] / trained.sum(axis=1) > BREAK_EVEN
+    earned = [n @ np.array([-CONTACT, HIT]) for n in (trained, counted)]
+    label, found = trained[:, 1] > trained[:, 0], {}
+    for depth in depths:
+        one = left < 0  # nodes that are one leaf at this depth
+        bottom = levels[depth] if depth < len(levels) else np.array([], dtype="int64")
+        one[bottom] = True
+        for level in reversed(levels[:depth]):
+            inner = level[left[level] >= 0]
+            a, b = left[inner], right[inner]
+            one[inner] = one[a] & one[b] & (label[a] == label[b])
+        last = np.zeros(len(left), dtype=bool)
+        at = levels[0]
+        while at.size:
+            last[at[one[at]]] = True
+            inner = at[~one[at]]
+            at = np.concatenate([left[inner], right[inner]])
+        found[depth] = tuple(float(e[last & chosen].sum()) for e in earned)
+    return found
+
+
 def repeated_holdout(df: DataFrame, features: Sequence[str], strata: Sequence[str], maker: Maker, seeds: Sequence[int],
                      train_share: int = 70, keys: Keys = KEYS) -> DataFrame:
     """Hold-out gain of one learner over several stratified splits, each brought to the size of the whole."""

@@ -80,6 +80,22 @@ def test_growth_is_the_gain_of_the_first_trees(fitted):
     assert got == {n: sum(780000 if truth[i] else -20000 for i, v in votes.items() if sum(v[:n]) > n * 0.025) for n in (1, 4, 9)}
 
 
+def test_growth_sums_votes_while_it_scores(fitted):
+    forest, matrix = fitted
+    plan = modeling.forest_growth(forest, matrix, "target", [1, 4, 9])._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction" not in plan and "zip_with" not in plan
+
+
+def test_a_forest_of_blocks_has_all_trees_and_small_fits(fitted):
+    _, matrix = fitted
+    made = []
+    forest = modeling.fit_in_blocks(matrix, lambda n: made.append(n) or modeling.subspace_trees(n, 0.5, maxDepth=3), 21, 1, block=8)
+    assert made == [7, 7, 7] and forest.getNumTrees == 21
+    assert len({tree.toDebugString.split("\n", 1)[1] for tree in forest.trees}) > 7
+    votes = modeling.tree_votes(forest, matrix, ["id"]).select("id", (F.aggregate("votes", F.lit(0.0), lambda s, x: s + x) / 21).alias("p"))
+    assert votes.join(modeling.probability(forest, matrix, ["id"]), "id").filter("abs(p - prob) > 1e-12").isEmpty()
+
+
 def test_leaf_numbers_of_a_fitted_forest_are_unchanged_by_scoring(fitted):
     forest, matrix = fitted
     before = modeling.leaves(forest, matrix, ["id"]).collect()

@@ -229,17 +229,49 @@ def forest_growth(forest: RandomForestClassificationModel, matrix: DataFrame, tr
                   sizes: Sequence[int] = tuple(2**i for i in range(10))) -> DataFrame:
     """Gain at break-even of a fitted forest's first 1, 2, 4, ... trees: ``tree, ganancia``.
 
-    Votes are summed inside the row, so no row is moved; sizes beyond the forest are left out.
+    The trees between two sizes sum their votes while they score, so no row is moved; sizes beyond the forest are left out.
     """
     sizes = sorted({s for s in sizes if s <= forest.getNumTrees})
     require_some(sizes, "forest_growth")
-    rows = tree_votes(forest, matrix, [truth])
+    trees = forest._java_obj.trees()
+    rows, votes, gains = matrix.select(truth, FEATURES), F.lit(0.0), []
     for number, (before, size) in enumerate(zip([0, *sizes], sizes)):
-        start = F.col(f"_s{number - 1}") if number else F.lit(0.0)
-        rows = rows.withColumn(f"_s{number}", F.aggregate(F.slice("votes", before + 1, size - before), start, lambda s, x: s + x))
-    gains = [F.struct(F.lit(size).alias("tree"), gain_sum(F.col(f"_s{i}") > F.lit(size * BREAK_EVEN), truth).alias("ganancia"))
-             for i, size in enumerate(sizes)]
-    return rows.agg(F.array(*gains).alias("g")).select(F.explode("g").alias("g")).select("g.*")
+        more = forest_of([trees[i] for i in range(before, size)], forest.numFeatures, forest.numClasses)
+        rows = more.setRawPredictionCol(f"_s{number}").setProbabilityCol("").setPredictionCol("").transform(rows)
+        votes = votes + F.get(vector_to_array(f"_s{number}"), F.lit(1))
+        gains.append((size, votes))
+    # one sum per size is made before the sums are compared, so none is made twice
+    rows = rows.select(truth, *[v.alias(f"_v{size}") for size, v in gains])
+    sums = [F.struct(F.lit(size).alias("tree"), gain_sum(F.col(f"_v{size}") > F.lit(size * BREAK_EVEN), truth).alias("ganancia"))
+            for size, _ in gains]
+    return rows.agg(F.array(*sums).alias("g")).select(F.explode("g").alias("g")).select("g.*")
+
+
+def forest_of(trees: Sequence[Any], num_features: int, num_classes: int) -> RandomForestClassificationModel:
+    """A forest of fitted trees, given as they stand in the JVM."""
+    context = SparkSession.active().sparkContext
+    kinds = context._jvm.org.apache.spark.ml.classification
+    held = context._gateway.new_array(kinds.DecisionTreeClassificationModel, len(trees))
+    for at, tree in enumerate(trees):
+        held[at] = tree
+    forest = kinds.RandomForestClassificationModel(held, num_features, num_classes)
+    forest.set(forest.numTrees(), len(trees))
+    return RandomForestClassificationModel(forest).setFeaturesCol(FEATURES)
+
+
+def fit_in_blocks(matrix: DataFrame, make: Callable[[int], Maker], n_trees: int, seed: int,
+                  block: int = 64) -> RandomForestClassificationModel:
+    """A forest of many trees from fits of at most ``block`` trees each; ``make(n)`` makes the learner of n trees.
+
+    The learner holds one bag count per row and tree, so what a row takes while a block is fitted does not grow with the forest.
+    """
+    parts = -(-n_trees // block)
+    sizes = [n_trees * (i + 1) // parts - n_trees * i // parts for i in range(parts)]
+    # the learner's bags are seeded by seed + partition, so seeds of blocks lie far apart
+    forests = [make(size)(seed + 1_000_003 * i).fit(matrix) for i, size in enumerate(sizes)]
+    held = [(forest, forest._java_obj.trees()) for forest in forests]
+    trees = [trees[i] for forest, trees in held for i in range(forest.getNumTrees)]
+    return forest_of(trees, forests[0].numFeatures, max(f.numClasses for f in forests))
 
 
 def canary_selection(df: DataFrame, features: Sequence[str], n_canaries: int, seed: int, depth: int = 5,

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Callable, Iterable, Mapping, Sequence
+from functools import reduce
 from typing import Any
 
 from pyspark.ml import Estimator, Model
@@ -17,7 +18,7 @@ from pyspark.ml.classification import (
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -321,12 +322,59 @@ def cross_validate(df: DataFrame, features: Sequence[str], strata: Sequence[str]
     for name, values in grid.items():
         builder = builder.addGrid(estimator.getParam(name), list(values))
     settings = builder.build()
-    tuned = CrossValidator(estimator=estimator, estimatorParamMaps=settings, numFolds=folds, foldCol="fold",
-                           evaluator=GainEvaluator(keys.pair, share=1 / folds)).fit(matrix)
-    rows = [(*[s[estimator.getParam(n)] for n in grid], float(g)) for s, g in zip(settings, tuned.avgMetrics)]
+    sizes = {r["fold"]: r["count"] for r in matrix.groupBy("fold").count().collect()}
+    for fold in range(folds):
+        if sizes.get(fold, 0) in (0, sum(sizes.values())):
+            raise ValueError(f"fold {fold} leaves no rows to train or to validate on")
+    # every row is scored by the models that have not seen it, and all curves are drawn in one pass
+    scored = reduce(DataFrame.unionByName, [
+        _scores_of_settings(estimator, settings, matrix.filter(F.col("fold") != fold), matrix.filter(F.col("fold") == fold), [*keys.pair, LABEL, "fold"])
+        for fold in range(folds)])
+    by = ["fold", "_setting"]
+    best = best_point(gain_curve(scored, "prob", LABEL, keys.pair, by=by), "prob", by).collect()
+    gains = [[0.0] * len(settings) for _ in range(folds)]
+    for r in best:
+        gains[r["fold"]][r["_setting"]] = float(r["ganancia_max"] or 0.0) / (1 / folds)
+    means = [sum(column) / folds for column in zip(*gains)]
+    rows = [(*[s[estimator.getParam(n)] for n in grid], g) for s, g in zip(settings, means)]
     return df.sparkSession.createDataFrame(rows, [*grid, "ganancia"])
 
 
+def _scores_of_settings(estimator: Estimator, settings: Sequence[Mapping[Any, Any]], train: DataFrame, unseen: DataFrame,
+                        keep: Sequence[str]) -> DataFrame:
+    """``keep``, ``_setting`` and ``prob`` of the unseen rows under every setting.
+
+    Single trees that differ in their depth only are one tree, cut: the deepest is fitted for all of them.
+    """
+    alike: dict[tuple, list[int]] = {}
+    for number, setting in enumerate(settings):
+        alone = () if isinstance(estimator, DecisionTreeClassifier) else (number,)
+        rest = sorted((p.name, repr(v)) for p, v in setting.items() if p.name != "maxDepth")
+        alike.setdefault((*alone, *rest), []).append(number)
+    wide, entries = unseen, []
+
+    def entry(number: int, prob: Column) -> Column:
+        return F.struct(F.lit(number).alias("_setting"), prob.alias("prob"))
+
+    for numbers in alike.values():
+        depths = {n: estimator.copy(settings[n]).getOrDefault("maxDepth") for n in numbers} if len(numbers) > 1 else {}
+        deepest = max(numbers, key=lambda n: depths.get(n, 0))
+        model = estimator.fit(train, settings[deepest])
+        if depths and model.numClasses <= 2:
+            leaf = f"_leaf_{deepest}"
+            wide = model.copy().setLeafCol(leaf).setProbabilityCol("").setRawPredictionCol("").setPredictionCol("").transform(wide)
+            found = leaf_probabilities_at(train.sparkSession, model, [depths[n] for n in numbers])
+            table = train.sparkSession.createDataFrame([(found,)], "t array<array<double>>").scalar()
+            wide = wide.withColumn(f"_table_{deepest}", table)
+            entries += [entry(n, F.get(F.get(f"_table_{deepest}", F.lit(i)), F.col(leaf).cast("int"))) for i, n in enumerate(numbers)]
+            continue
+        for n in numbers:
+            own = model if n == deepest else estimator.fit(train, settings[n])
+            wide = own.copy().setProbabilityCol(f"_p_{n}").setRawPredictionCol("").setPredictionCol("").transform(wide)
+            entries.append(entry(n, vector_to_array(f"_p_{n}")[1]))
+    return wide.select(*keep, F.explode(F.array(*entries)).alias("_s")).select(*keep, "_s.*")
+
+
 def sampled_settings(ranges: Mapping[str, tuple[float, float]], n: int, seed: int,
                      whole: Iterable[str] = ()) -> list[dict[str, float]]:
     """Random-search settings; a range named ``*_exp`` is searched as a power of two."""
@@ -412,47 +460,77 @@ def tree_cut_gains(model: Model, unseen: DataFrame, depths: Iterable[int]) -> di
     have grown it: leaves of one prediction beside each other are one leaf."""
     import numpy as np
 
-    spark, path = unseen.sparkSession, scratch_path(unseen.sparkSession, "tree")
-    model.write().overwrite().save(path)
-    saved = spark.read.parquet(f"{path}/data")
-    saved = (saved.select("nodeData.*") if "nodeData" in saved.columns else saved).select(
-        "id", "leftChild", "rightChild", F.col("impurityStats")[0].alias("n0"), F.coalesce(F.get("impurityStats", F.lit(1)), F.lit(0.0)).alias("n1"))
-    nodes = saved.orderBy("id").toArrow()
-    left, right = (nodes[c].to_numpy().astype("int64") for c in ("leftChild", "rightChild"))
-    trained = np.stack([nodes[c].to_numpy() for c in ("n0", "n1")], axis=1)
+    left, right, trained = _saved_nodes(unseen.sparkSession, model)
     # leaves are numbered from left to right, as the saved nodes are
     placed = model.copy().setLeafCol("_leaf").setProbabilityCol("").setRawPredictionCol("").setPredictionCol("").transform(unseen)
     met = placed.groupBy(F.col("_leaf").cast("long").alias("leaf"), F.coalesce((F.col(LABEL) == 1).cast("int"), F.lit(0)).alias("y")).agg(
         F.count(F.lit(1)).alias("n")).toArrow()
     counted = np.zeros_like(trained)
     counted[np.flatnonzero(left < 0)[met["leaf"].to_numpy()], met["y"].to_numpy()] = met["n"].to_numpy()
-    levels = [np.array([0])]
-    while (inner := levels[-1][left[levels[-1]] >= 0]).size:
-        levels.append(np.concatenate([left[inner], right[inner]]))
+    levels = _levels(left, right)
     for level in reversed(levels):
         inner = level[left[level] >= 0]
         counted[inner] = counted[left[inner]] + counted[right[inner]]
     chosen = trained[:, 1] / trained.sum(axis=1) > BREAK_EVEN
     earned = [n @ np.array([-CONTACT, HIT]) for n in (trained, counted)]
-    label, found = trained[:, 1] > trained[:, 0], {}
+    found = {}
     for depth in depths:
-        one = left < 0  # nodes that are one leaf at this depth
-        bottom = levels[depth] if depth < len(levels) else np.array([], dtype="int64")
-        one[bottom] = True
-        for level in reversed(levels[:depth]):
-            inner = level[left[level] >= 0]
-            a, b = left[inner], right[inner]
-            one[inner] = one[a] & one[b] & (label[a] == label[b])
         last = np.zeros(len(left), dtype=bool)
-        at = levels[0]
-        while at.size:
-            last[at[one[at]]] = True
-            inner = at[~one[at]]
-            at = np.concatenate([left[inner], right[inner]])
+        last[np.unique(_leaves_at(left, right, trained, levels, depth)[left < 0])] = True
         found[depth] = tuple(float(e[last & chosen].sum()) for e in earned)
     return found
 
 
+def leaf_probabilities_at(spark: SparkSession, model: Model, depths: Sequence[int]) -> list[list[float]]:
+    """Probability of label 1 that a fitted tree of two classes, cut at each depth, gives the rows of each of its leaves."""
+    left, right, trained = _saved_nodes(spark, model)
+    levels, share = _levels(left, right), trained[:, 1] / trained.sum(axis=1)
+    return [share[_leaves_at(left, right, trained, levels, depth)[left < 0]].tolist() for depth in depths]
+
+
+def _saved_nodes(spark: SparkSession, model: Model) -> tuple:
+    """Children and label counts of a tree's nodes, from its saved form."""
+    import numpy as np
+
+    path = scratch_path(spark, "tree")
+    model.write().overwrite().save(path)
+    saved = spark.read.parquet(f"{path}/data")
+    saved = (saved.select("nodeData.*") if "nodeData" in saved.columns else saved).select(
+        "id", "leftChild", "rightChild", F.col("impurityStats")[0].alias("n0"), F.coalesce(F.get("impurityStats", F.lit(1)), F.lit(0.0)).alias("n1"))
+    nodes = saved.orderBy("id").toArrow()
+    left, right = (nodes[c].to_numpy().astype("int64") for c in ("leftChild", "rightChild"))
+    return left, right, np.stack([nodes[c].to_numpy() for c in ("n0", "n1")], axis=1)
+
+
+def _levels(left: Any, right: Any) -> list:
+    import numpy as np
+
+    levels = [np.array([0])]
+    while (inner := levels[-1][left[levels[-1]] >= 0]).size:
+        levels.append(np.concatenate([left[inner], right[inner]]))
+    return levels
+
+
+def _leaves_at(left: Any, right: Any, trained: Any, levels: Sequence[Any], depth: int) -> Any:
+    """For every node the node that is its leaf when the tree is cut at a depth; those above the cut have themselves."""
+    import numpy as np
+
+    label, one = trained[:, 1] > trained[:, 0], left < 0  # nodes that are one leaf at this depth
+    if depth < len(levels):
+        one[levels[depth]] = True
+    for level in reversed(levels[:depth]):
+        inner = level[left[level] >= 0]
+        a, b = left[inner], right[inner]
+        one[inner] = one[a] & one[b] & (label[a] == label[b])
+    owner, inside = np.arange(len(left)), np.zeros(len(left), dtype=bool)
+    for level in levels:
+        inner = level[left[level] >= 0]
+        for child in (left[inner], right[inner]):
+            inside[child] = inside[inner] | one[inner]
+            owner[child] = np.where(inside[child], owner[inner], child)
+    return owner
+
+
 def repeated_holdout(df: DataFrame, features: Sequence[str], strata: Sequence[str], maker: Maker, seeds: Sequence[int],
                      train_share: int = 70, keys: Keys = KEYS) -> DataFrame:
     """Hold-out gain of one learner over several stratified splits, each brought to the size of the whole."""

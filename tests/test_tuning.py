@@ -44,3 +44,18 @@ def test_folds_equal_a_fit_and_a_curve_per_setting(rows):
     assert {(r["maxDepth"], r["minInstancesPerNode"]): r["ganancia"] for r in found} == pytest.approx(want)
     assert len(set(want.values())) > 3
     assert len(fits) == 6
+
+
+def test_search_equals_one_trial_at_a_time(rows):
+    train, validate = rows.filter("id % 2 = 0"), rows.filter("id % 2 = 1").union(rows.filter("id < 50"))
+    settings, fits = [{"maxDepth": 2}, {"maxDepth": 4}, {"maxDepth": 2}], []
+    found = modeling.search(train, validate, FEATURES, lambda **s: counted(modeling.random_forest(numTrees=3, **s), fits), settings, [1, 2]).collect()
+    assert len(fits) == 4
+    # written as the search writes it, since bags follow the partitions
+    matrix = materialize(modeling.assemble(train, FEATURES, ["target"]), "train")
+    target = modeling.assemble(validate, FEATURES, ["id", "mes", "target"])
+    for setting, r in zip(settings, found):
+        models = modeling.fit_seeds(matrix, modeling.random_forest(numTrees=3, **setting), [1, 2])
+        mean = gain.ensemble(modeling.score(models, target, ["id", "mes", "target"]), ["id", "mes", "target"], "prob")
+        best = gain.best_point(gain.gain_curve(mean, "prob", "target", ["id", "mes"]), "prob").first()["ganancia_max"]
+        assert r["value"] == best and r["auc"] == pytest.approx(modeling.auc(mean, "prob"), abs=1e-12)

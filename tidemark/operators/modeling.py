@@ -22,11 +22,11 @@ from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import KEYS, Keys, require_some
+from ..functions.columns import KEYS, Keys, ratio, require_some
 from ..session import materialize, scratch_path
-from .gain import BREAK_EVEN, best_point, ensemble, gain_at_threshold, gain_curve, gain_sum, plateau_gain
+from .gain import BREAK_EVEN, best_point, gain_at_threshold, gain_curve, gain_sum, plateau_gain
 from .labels import CONTACT, HIT
-from .ordering import rank_counts
+from .ordering import rank_counts, running_totals
 from .sampling import canaries, partition
 
 FEATURES, LABEL, WEIGHT = "features", "target", "weight"
@@ -403,22 +403,60 @@ def search(train: DataFrame, validate: DataFrame, features: Sequence[str], make:
     spark = train.sparkSession
     matrix = materialize(assemble(train, features, [LABEL]), "train")
     target = materialize(assemble(validate, features, [*keys.pair, LABEL]), "validate")
-    rows, n_train = [], matrix.count()
+    n_train = matrix.count()
     if not n_train or target.isEmpty():
         raise ValueError("search needs rows to train and to validate on")
-    for number, setting in enumerate(settings):
-        if fits and not fits(setting, n_train):
-            rows.append((number, {k: float(v) for k, v in setting.items()}, None, None, "PRUNED"))
-            continue
-        scores = score(fit_seeds(matrix, make(**setting), seeds), target, [*keys.pair, LABEL])
-        mean = ensemble(scores, [*keys.pair, LABEL], "prob")
-        curve = gain_curve(mean, "prob", LABEL, keys.pair)
-        got = (plateau_gain(curve, window).first()[0] if window else best_point(curve, "prob").first()["ganancia_max"])
-        rows.append((number, {k: float(v) for k, v in setting.items()}, float(got), auc(mean, "prob"), "COMPLETE"))
+    # equal settings are one model
+    names = [repr(sorted(s.items())) for s in settings]
+    wanted = {name: s for name, s in zip(names, settings) if not fits or fits(s, n_train)}
+    todo, results = list(wanted), {}
+    for start in range(0, len(todo), TRIALS_AT_ONCE):
+        some = todo[start:start + TRIALS_AT_ONCE]
+        found = _trials(target, [fit_seeds(matrix, make(**wanted[name]), seeds) for name in some], keys, window)
+        results |= {name: found[i] for i, name in enumerate(some)}
+    rows = [(number, {k: float(v) for k, v in setting.items()}, *results.get(name, (None, None)), "COMPLETE" if name in results else "PRUNED")
+            for number, (name, setting) in enumerate(zip(names, settings))]
     return spark.createDataFrame(
         rows, "trial_number int, params map<string,double>, value double, auc double, state string")
 
 
+TRIALS_AT_ONCE = 8
+
+
+def _trials(target: DataFrame, ensembles: Sequence[Mapping[int, Model]], keys: Keys, window: int | None) -> dict[int, tuple[float, float]]:
+    """Gain and AUC of several seed ensembles: one pass scores the rows, one joins repeated keys, one orders them all."""
+    entity, wide, sums = [*keys.pair, LABEL], target, []
+    for number, models in enumerate(ensembles):
+        votes = []
+        for seed, model in models.items():
+            votes.append(f"_p_{number}_{seed}")
+            wide = model.copy().setProbabilityCol(votes[-1]).setRawPredictionCol("").setPredictionCol("").transform(wide)
+        sums.append(reduce(lambda a, b: a + b, [vector_to_array(v)[1] for v in votes]).alias(f"_s{number}"))
+    counted = wide.select(*entity, *sums).groupBy(*entity).agg(F.count(F.lit(1)).alias("_n"), *[F.sum(f"_s{i}").alias(f"_s{i}") for i in range(len(sums))])
+    means = F.array(*[F.struct(F.lit(i).alias("trial"), ratio(F.col(f"_s{i}"), F.col("_n") * len(models)).alias("prob")) for i, models in enumerate(ensembles)])
+    long = materialize(counted.select(*entity, F.explode(means).alias("_t")).select(*entity, "_t.*"), "trials")
+    curve = gain_curve(long, "prob", LABEL, keys.pair, by=["trial"])
+    if window:
+        values = {r["trial"]: r["ganancia_meseta"] for r in plateau_gain(curve, window, by=["trial"]).collect()}
+    else:
+        values = {r["trial"]: r["ganancia_max"] for r in best_point(curve, "prob", ["trial"]).collect()}
+    areas = {r["trial"]: r for r in _areas(long).collect()}
+    return {i: (float(values[i]), _area(areas[i])) for i in values}
+
+
+def _areas(long: DataFrame) -> DataFrame:
+    """Per trial its positives, negatives, and twice the pairs that the score puts in order; scores are counted before they are ordered."""
+    counts = long.groupBy("trial", "prob").agg(F.count_if(F.col(LABEL) == 1).alias("_y"), F.count_if(F.coalesce(F.col(LABEL) != 1, F.lit(True))).alias("_x"))
+    ordered = running_totals(counts, "prob", [], by=["trial"], sums={"_upto": "_x"})
+    pairs = F.sum(F.col("_y").cast("decimal(19,0)") * (2 * F.col("_upto") - F.col("_x")).cast("decimal(19,0)"))
+    return ordered.groupBy("trial").agg(F.sum("_y").alias("pos"), F.sum("_x").alias("neg"), pairs.cast("double").alias("pairs"))
+
+
+def _area(r: Any) -> float:
+    # without one of the labels the curve runs along an edge, as the learner's evaluator has it
+    return r["pairs"] / (2.0 * r["pos"] * r["neg"]) if r["pos"] and r["neg"] else float(not r["neg"])
+
+
 def auc(df: DataFrame, prob: str, label: str = LABEL) -> float:
     """Area under the curve over all distinct scores."""
     scored = df.select(F.col(prob).cast("double").alias("p"), F.col(label).cast("double").alias("y"))
